@@ -91,14 +91,27 @@ def pair(order: Column, key: Column) -> Column:
     return F.struct(order.alias("order"), key.alias("key"))
 
 
-def cut_point(df: DataFrame, key: str, order: Column, cuts: Sequence[Cut]) -> Column:
-    """:func:`cut_keys` of one ungrouped table as a scalar subquery (a struct Column)."""
-    return cut_keys(df, key, order, cuts).select(F.struct("*")).scalar()
+def cut_point(df: DataFrame, key: str, order: Column, cuts: Sequence[Cut]) -> list[tuple | None]:
+    """:func:`cut_keys` of one ungrouped table, evaluated: one ``(order, key)`` pair per cut.
+
+    The result is a single row however large the table is.  Having the pairs as literals
+    keeps later plans linear: as a subquery, each stage of a split would carry the plans
+    of all earlier stages several times over.
+    """
+    row = cut_keys(df, key, order, cuts).first()
+    return [None if row[i] is None else (row[i]["order"], row[i]["key"]) for i in range(len(cuts))]
 
 
-def at_or_before(order: Column, key: Column, cut: Column) -> Column:
-    """True when the row's rank is at most the cut's rank; false for an empty cut."""
-    return F.coalesce(pair(order, key) <= cut, F.lit(False))
+def at_or_before(order: Column, key: Column, cut: tuple | Column | None) -> Column:
+    """True when the row's rank is at most the cut's rank; false for an empty cut.
+
+    ``cut`` is a pair from :func:`cut_point` or a struct column of :func:`cut_keys`.
+    """
+    if cut is None:
+        return F.lit(False)
+    if isinstance(cut, Column):
+        return F.coalesce(pair(order, key) <= cut, F.lit(False))
+    return (order < F.lit(cut[0])) | ((order == F.lit(cut[0])) & (key <= F.lit(cut[1])))
 
 
 def hashed_rank(df: DataFrame, key: str, order: Column, groups: Sequence[str] = (), name: str = "rank") -> DataFrame:

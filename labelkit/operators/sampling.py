@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelkit.functions.keys import hash_int, keyed_text, order_key
 from labelkit.operators.ranks import at_or_before, cut_point, hashed_rank
 from labelkit.operators.relations import minus_keys, union_examples
-from labelkit.session import small_side
+from labelkit.session import SMALL_SIDE_ROWS, sized_table
 
 DRAW_DIGITS = 15  # 60 random bits: even over classes of many billions of rows
 
@@ -22,8 +22,8 @@ def truncated(fraction: float) -> Callable[[Column], Column]:
 
 def _sample(df: DataFrame, size: Callable[[Column], Column], seed: int, stage: str, key: str) -> DataFrame:
     order = order_key(seed, stage, F.col(key))
-    cut = cut_point(df, key, order, [size])
-    return df.filter(at_or_before(order, F.col(key), cut["cut_0"]))
+    (cut,) = cut_point(df, key, order, [size])
+    return df.filter(at_or_before(order, F.col(key), cut))
 
 
 def sample_exact(df: DataFrame, n: int, seed: int, stage: str = "sample", key: str = "example_id") -> DataFrame:
@@ -69,14 +69,11 @@ def balanced_resample(
         .select(label, "_size", (F.row_number().over(numbered) - 1).cast("bigint").alias("_class"))
     )
     draws = df.sparkSession.range(n).select(F.col("id").alias("draw")) if n else rows.select(F.col(key).alias("draw"))
-    n_classes = classes.agg(F.count(F.lit(1))).scalar()
+    classes, n_classes = sized_table(classes, "classes")
     pick = hash_int(keyed_text(seed, "class", F.col("draw")), DRAW_DIGITS)
     place = hash_int(keyed_text(seed, "place", F.col("draw")), DRAW_DIGITS)
-    chosen = draws.withColumn("_class", F.pmod(pick, n_classes))
-    # Beyond the size check there are so many classes that each gets few draws: a plain
-    # shuffle on the class number is even.
-    few = small_side(classes)
-    chosen = chosen.join(classes if few is None else few, "_class").withColumn(
-        "_ordinal", F.pmod(place, F.col("_size")) + 1
-    )
+    chosen = draws.withColumn("_class", F.pmod(pick, F.lit(n_classes)))
+    # With more classes than that each gets few draws: a shuffle on the class number is even.
+    side = F.broadcast(classes) if n_classes <= SMALL_SIDE_ROWS else classes
+    chosen = chosen.join(side, "_class").withColumn("_ordinal", F.pmod(place, F.col("_size")) + 1)
     return chosen.join(ranked, [label, "_ordinal"]).select("draw", key, label)

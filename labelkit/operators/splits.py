@@ -60,11 +60,13 @@ class SplitSpec:
         return truncated(self.val_frac)(self.n_kept(n))
 
 
-def _label_ranges(df: DataFrame, order: Column, key: str, cut: Column, names: Sequence[str | None]) -> DataFrame:
+def _label_ranges(
+    df: DataFrame, order: Column, key: str, cuts: Sequence[tuple | Column | None], names: Sequence[str | None]
+) -> DataFrame:
     """Name the rank range that each row falls into; rows in unnamed ranges are dropped."""
     split = F.lit(None).cast("string")
     for i in reversed(range(len(names))):
-        inside = at_or_before(order, F.col(key), cut[f"cut_{i}"])
+        inside = at_or_before(order, F.col(key), cuts[i])
         split = F.when(inside, F.lit(names[i])).otherwise(split)
     return df.withColumn("split", split).filter(F.col("split").isNotNull())
 
@@ -157,8 +159,8 @@ def source_pool(
     )
     order = order_key(spec.seed, "pool", F.col(key))
     pool = staged.filter(F.col("split") == "train")
-    limit = cut_point(pool, key, order, [lambda n: F.lit(example_threshold)])
-    return staged.filter((F.col("split") == "val") | at_or_before(order, F.col(key), limit["cut_0"]))
+    (limit,) = cut_point(pool, key, order, [lambda n: F.lit(example_threshold)])
+    return staged.filter((F.col("split") == "val") | at_or_before(order, F.col(key), limit))
 
 
 def transfer_split(
@@ -183,7 +185,7 @@ def transfer_split(
     set with all its copies.
     """
     order = order_key(spec.seed, "split", F.col(key))
-    test_cut = cut_point(spec.select(df), key, order, [spec.n_test])["cut_0"]
+    (test_cut,) = cut_point(spec.select(df), key, order, [spec.n_test])
     sources = list(source_ids)
     in_source = F.lit(True) if use_all else F.col("task_id").isin(sources) if sources else F.lit(False)
     test = F.col("_test")
@@ -204,12 +206,12 @@ def transfer_split(
         return F.when(F.col(f"_{copy}"), F.lit(copy))
 
     pool = marked.select(key, F.explode(F.array_compact(F.array(present("rest"), present("source")))).alias("copy"))
-    val_cut = cut_point(
+    (val_cut,) = cut_point(
         pool,
         key,
         copy_order(F.col("copy")),
         [lambda n: F.floor(F.lit(float(spec.val_frac)) * n.cast("double") * F.lit(float(spec.train_frac)))],
-    )["cut_0"]
+    )
     for copy in ("rest", "source"):
         drawn = F.col(f"_{copy}") & at_or_before(copy_order(F.lit(copy)), F.col(key), val_cut)
         marked = marked.withColumn(f"_{copy}_val", drawn)
@@ -228,7 +230,7 @@ def transfer_split(
         return out
     cap_order = order_key(spec.seed, "cap", F.col(key), F.col("copy"))
     train = out.filter(F.col("split") == "train")
-    cap = cut_point(train, key, cap_order, [lambda n: F.lit(sample_train_to)])["cut_0"]
+    (cap,) = cut_point(train, key, cap_order, [lambda n: F.lit(sample_train_to)])
     return out.filter((F.col("split") != "train") | at_or_before(cap_order, F.col(key), cap))
 
 
@@ -240,7 +242,7 @@ def review_partition(
     The first two may overlap, in which case a row appears under both names.
     """
     order = order_key(seed, "review", F.col(key))
-    random_cut = cut_point(df, key, order, [lambda _: F.lit(n)])["cut_0"]
+    (random_cut,) = cut_point(df, key, order, [lambda _: F.lit(n)])
     least = lowest(confidence, n, [score, key]).select(key, F.lit(True).alias("_least"))
     if n <= SMALL_SIDE_ROWS:
         least = F.broadcast(least)
@@ -276,8 +278,9 @@ def trial_splits(df: DataFrame, spec: SplitSpec, trials: int, key: str = "exampl
         ],
         groups=["trial"],
         group_bound=trials,
-    ).select("trial", F.struct("cut_0", "cut_1", "cut_2").alias("_cuts"))
+    )
     if trials <= 10_000:
         cuts = F.broadcast(cuts)
     joined = numbered.join(cuts, "trial")
-    return _label_ranges(joined, order, key, F.col("_cuts"), ["test", "val", "train"]).select("trial", key, "split")
+    at = [F.col("cut_0"), F.col("cut_1"), F.col("cut_2")]
+    return _label_ranges(joined, order, key, at, ["test", "val", "train"]).select("trial", key, "split")

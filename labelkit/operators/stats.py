@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkit.session import small_side
+from labelkit.session import SMALL_SIDE_ROWS, sized_table
 
 SALTS = 32
 
@@ -13,11 +13,10 @@ SALTS = 32
 def label_distribution(df: DataFrame, label: str = "label", normalize: bool = False) -> DataFrame:
     """``(label, count)`` or ``(label, share)``, most frequent first; NULL labels are left out."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    ordered = counts.orderBy(F.desc("count"), label)
     if not normalize:
-        return ordered
-    total = counts.agg(F.sum("count")).scalar()
-    return ordered.select(label, (F.col("count") / total).alias("share"))
+        return counts.orderBy(F.desc("count"), label)
+    total = F.sum("count").over(Window.partitionBy())  # over one row per label
+    return counts.withColumn("share", F.col("count") / total).orderBy(F.desc("count"), label).select(label, "share")
 
 
 def class_weights(df: DataFrame, label: str = "label", key: str = "example_id", name: str = "weight") -> DataFrame:
@@ -30,9 +29,9 @@ def class_weights(df: DataFrame, label: str = "label", key: str = "example_id",
     counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
     total = F.sum("_count").over(Window.partitionBy())
     weights = counts.select(label, (total / F.col("_count")).alias(name))
-    few = small_side(weights)
-    if few is not None:
-        return labelled.join(few, label).select(*df.columns, name)
+    weights, n_labels = sized_table(weights, "weights")
+    if n_labels <= SMALL_SIDE_ROWS:
+        return labelled.join(F.broadcast(weights), label).select(*df.columns, name)
     spread = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = labelled.withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
     return salted.join(spread, [label, "_salt"]).select(*df.columns, name)

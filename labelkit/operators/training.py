@@ -6,7 +6,11 @@ model, trained by Spark over the partitions of the training table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.base import Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -17,13 +21,12 @@ from labelkit.operators.stats import class_weights
 from labelkit.session import stage_table
 
 
-def _text_stages(features: int) -> list:
-    return [
-        SQLTransformer(statement="SELECT *, coalesce(input_text, '') AS _text FROM __THIS__"),
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=SEPARATOR, toLowercase=True),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-    ]
+@dataclass(frozen=True)
+class LabelModel:
+    """Fitted stages, from ``input_text`` to ``_prediction``, and the labels by index."""
+
+    stages: PipelineModel
+    labels: Sequence[str]
 
 
 def train_label_model(
@@ -32,19 +35,28 @@ def train_label_model(
     features: int = 1 << 16,
     max_iter: int = 50,
     reg: float = 0.01,
-    extra: list | None = None,
-    inputs: list[str] | None = None,
+    source: LabelModel | None = None,
     key: str = "example_id",
-) -> PipelineModel:
-    """Fit on ``(key, input_text, label)``; ``balanced`` weights rows by N / count(label)."""
-    rows = train.filter(F.col("label").isNotNull()).select(key, "input_text", F.col("label").cast("string").alias("label"))
+) -> LabelModel:
+    """Fit on ``(key, input_text, label)``; ``balanced`` weights rows by N / count(label).
+
+    With a ``source`` model its class probabilities become additional features.  The
+    training rows are staged once, since every stage and iteration reads them.
+    """
+    rows = train.filter(F.col("label").isNotNull()).select(
+        key, F.coalesce("input_text", F.lit("")).alias("input_text"), F.col("label").cast("string").alias("label")
+    )
     rows = class_weights(rows, key=key) if balanced else rows.withColumn("weight", F.lit(1.0))
-    rows = stage_table(rows, "train")  # every stage and every iteration reads it
+    rows = stage_table(rows, "train")
+    index = StringIndexer(inputCol="label", outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
     stages = [
-        *(extra or []),
-        *_text_stages(features),
-        StringIndexer(inputCol="label", outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="keep"),
-        VectorAssembler(inputCols=["_tfidf", *(inputs or [])], outputCol="_features"),
+        *([] if source is None else _belief(source)),
+        RegexTokenizer(inputCol="input_text", outputCol="_words", pattern=SEPARATOR, toLowercase=True),
+        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
+        IDF(inputCol="_tf", outputCol="_tfidf"),
+        VectorAssembler(
+            inputCols=["_tfidf"] if source is None else ["_tfidf", "_belief"], outputCol="_features"
+        ),
         LogisticRegression(
             featuresCol="_features",
             labelCol="_label",
@@ -57,33 +69,31 @@ def train_label_model(
             family="multinomial",
         ),
     ]
-    return Pipeline(stages=stages).fit(rows)
+    return LabelModel(Pipeline(stages=stages).fit(index.transform(rows)), index.labels)
 
 
-def transfer_train(
-    source: DataFrame, target: DataFrame, features: int = 1 << 16, key: str = "example_id", **options
-) -> PipelineModel:
-    """Fit on source tasks, then on the target with the source model's belief as input."""
-    first = train_label_model(source, features=features, key=key, **options)
-    bridge = [
-        first,
-        SQLTransformer(
-            statement="SELECT * EXCEPT (_text, _words, _tf, _tfidf, _label, _features, _raw, _probability, _prediction),"
-            " _probability AS _source_belief FROM __THIS__"
-        ),
-    ]
-    return train_label_model(
-        target, features=features, extra=bridge, inputs=["_source_belief"], key=key, **options
+def _belief(source: LabelModel) -> list[Transformer]:
+    """The source model, with everything but its class probabilities removed again."""
+    keep = SQLTransformer(
+        statement="SELECT * EXCEPT (_words, _tf, _tfidf, _features, _raw, _probability, _prediction),"
+        " _probability AS _belief FROM __THIS__"
     )
+    nested = "SELECT * EXCEPT (_belief) FROM __THIS__"
+    has_belief = any(isinstance(s, SQLTransformer) for s in source.stages.stages)
+    return [source.stages, *([SQLTransformer(statement=nested)] if has_belief else []), keep]
+
+
+def transfer_train(source: DataFrame, target: DataFrame, key: str = "example_id", **options) -> LabelModel:
+    """Fit on source tasks, then on the target with the source model's belief as input."""
+    return train_label_model(target, source=train_label_model(source, key=key, **options), key=key, **options)
 
 
-def apply_label_model(model: PipelineModel, df: DataFrame, key: str = "example_id") -> DataFrame:
-    """``(key, predicted, ground_truth)``; label names come from the fitted indexer."""
-    names = next(s for s in reversed(model.stages) if hasattr(s, "labels")).labels
-    rows = df.select(key, "input_text", F.col("label").cast("string").alias("label"))
-    known = F.array(*[F.lit(n) for n in names])
-    return model.transform(rows).select(
+def apply_label_model(model: LabelModel, df: DataFrame, key: str = "example_id") -> DataFrame:
+    """``(key, predicted, ground_truth)`` for any rows, labelled or not."""
+    rows = df.select(key, F.coalesce("input_text", F.lit("")).alias("input_text"), F.col("label").cast("string").alias("_truth"))
+    names = F.array(*[F.lit(n) for n in model.labels])
+    return model.stages.transform(rows).select(
         key,
-        F.get(known, F.col("_prediction").cast("int")).alias("predicted"),
-        F.col("label").alias("ground_truth"),
+        F.get(names, F.col("_prediction").cast("int")).alias("predicted"),
+        F.col("_truth").alias("ground_truth"),
     )

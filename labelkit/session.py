@@ -1,4 +1,4 @@
-"""Session defaults, shared scratch space and the checked small-side broadcast."""
+"""Session defaults, shared scratch space and tables of a checked size."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SMALL_SIDE_ROWS = 10_000
 
@@ -61,13 +60,11 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame | None:
-    """``df`` as a broadcast literal table when it has at most ``max_rows`` rows, else ``None``.
+def sized_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A staged table with its row count, to decide whether it may be broadcast.
 
-    The check reads at most ``max_rows + 1`` rows, so the driver never holds more
-    than that; callers must have a shuffle-based way for the ``None`` case.
+    For aggregates that are usually small but have no proven bound, such as the labels of
+    a table; callers must have a shuffle-based way beyond ``SMALL_SIDE_ROWS``.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    table = stage_table(df, name)
+    return table, table.count()
