@@ -8,6 +8,7 @@ from checks import views as V
 from checks.registry import query, tidy
 from checks.views import h, with_views
 from labelkit.functions.encoding import mask_targets as mask_padding
+from labelkit.functions.encoding import tokens
 from labelkit.operators import inference as I
 from labelkit.operators import text as T
 from labelkit.operators import training
@@ -40,12 +41,21 @@ def build_vocab(spark, sf_dir):
     return tidy(_vocab(spark, sf_dir))
 
 
-@query("encode_text", with_views(
+ENCODE_SQL = with_views(
     """SELECT m.example_id, coalesce(string_agg(CAST(i.id AS VARCHAR), ',' ORDER BY i.pos), '') AS ids
        FROM master m LEFT JOIN items i ON i.example_id = m.example_id GROUP BY m.example_id""",
-    "master", vocab=VOCAB_SQL, items=ITEMS_SQL))
+    "master", vocab=VOCAB_SQL, items=ITEMS_SQL)
+
+
+@query("encode_text", ENCODE_SQL)
 def encode_text(spark, sf_dir):
-    return tidy(T.encode_text(V.master(spark, sf_dir), _vocab(spark, sf_dir), VOCAB))
+    return tidy(T.encode_text(V.master(spark, sf_dir), T.compact(_vocab(spark, sf_dir))))
+
+
+@query("encode_text_by_join", ENCODE_SQL)
+def encode_text_by_join(spark, sf_dir):
+    """The way of a vocabulary too large for a dictionary."""
+    return tidy(T.encode_text(V.master(spark, sf_dir), _vocab(spark, sf_dir)))
 
 
 @query("decode_ids", with_views(
@@ -53,8 +63,8 @@ def encode_text(spark, sf_dir):
        FROM master m LEFT JOIN items i ON i.example_id = m.example_id AND i.token IS NOT NULL GROUP BY m.example_id""",
     "master", vocab=VOCAB_SQL, items=ITEMS_SQL))
 def decode_ids(spark, sf_dir):
-    vocab = _vocab(spark, sf_dir)
-    return tidy(T.decode_ids(T.encode_text(V.master(spark, sf_dir), vocab, VOCAB), vocab, VOCAB))
+    vocab = T.compact(_vocab(spark, sf_dir))
+    return tidy(T.decode_ids(T.encode_text(V.master(spark, sf_dir), vocab), vocab))
 
 
 def _padded(column: str, length: int) -> str:
@@ -80,14 +90,14 @@ def _join(column: str, item: str = "x") -> str:
                {_join('target_ids', 'CASE WHEN x = 0 THEN 0 ELSE 1 END')} AS target_mask FROM encoded""",
     "master", vocab=VOCAB_SQL, items=ITEMS_SQL, encoded=ENCODED_SQL))
 def pad_truncate(spark, sf_dir):
-    return tidy(T.encode_examples(V.master(spark, sf_dir), _vocab(spark, sf_dir), VOCAB))
+    return tidy(T.encode_examples(V.master(spark, sf_dir), T.compact(_vocab(spark, sf_dir))))
 
 
 @query("mask_targets", with_views(
     f"SELECT example_id, {_join('target_ids', 'CASE WHEN x = 0 THEN -100 ELSE x END')} AS targets FROM encoded",
     "master", vocab=VOCAB_SQL, items=ITEMS_SQL, encoded=ENCODED_SQL))
 def mask_targets(spark, sf_dir):
-    encoded = T.encode_examples(V.master(spark, sf_dir), _vocab(spark, sf_dir), VOCAB)
+    encoded = T.encode_examples(V.master(spark, sf_dir), T.compact(_vocab(spark, sf_dir)))
     return tidy(encoded.select("example_id", mask_padding(F.col("target_ids")).alias("targets")))
 
 
@@ -99,8 +109,8 @@ def mask_targets(spark, sf_dir):
              FROM master m LEFT JOIN items i ON i.example_id = m.example_id GROUP BY m.example_id)
        QUALIFY batch_rows = 16""", "master", vocab=VOCAB_SQL, items=ITEMS_SQL))
 def assign_batches(spark, sf_dir):
-    encoded = T.encode_text(V.master(spark, sf_dir), _vocab(spark, sf_dir), VOCAB)
-    return tidy(T.assign_batches(encoded, 16, "ids", drop_last=True))
+    length = F.size(tokens(F.col("input_text")))
+    return tidy(T.assign_batches(V.master(spark, sf_dir), 16, length, drop_last=True))
 
 
 def load_hash_labels():

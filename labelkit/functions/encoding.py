@@ -20,8 +20,7 @@ TARGET_LEN = 16
 
 def tokens(text: Column) -> Column:
     """Lower-cased whitespace tokens of the whole text; an empty array for NULL."""
-    parts = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATOR)
-    return F.filter(parts, lambda t: t != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATOR), "")
 
 
 def pad_truncate(ids: Column, length: int, eos_id: int | None = EOS_ID) -> Column:

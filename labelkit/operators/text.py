@@ -1,7 +1,13 @@
-"""Corpus vocabulary, id encoding and decoding, batches."""
+"""Corpus vocabulary, id encoding and decoding, batches.
+
+A vocabulary is a table ``(token, id, count)``.  Encoding and decoding take either that
+table, of any size, or the :class:`Dictionary` that :func:`compact` makes of it when it is
+small.  With a dictionary every row is encoded where it is read, without a shuffle.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,18 +16,20 @@ from pyspark.sql import functions as F
 from labelkit.functions import encoding as E
 from labelkit.operators.ranks import ordered_rank
 
-BROADCAST_VOCAB = 500_000
+DICTIONARY_LIMIT = 50_000
 
 
 def build_vocab(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
     """``(token, id, count)`` of the ``size`` most frequent tokens of the whole texts.
 
     Ids follow frequency, then the token, after the reserved ones.  Counting combines on
-    the map side, so frequent tokens cost one row per task.
+    the map side, so a frequent token costs one row per task.
     """
-    both = F.concat(*[E.tokens(F.col(c)) for c in columns])
+    words = E.tokens(F.concat_ws(" ", *columns))
     top = (
-        df.select(F.explode(both).alias("token"))
+        # The outer form, because the inner one adds a filter that tokenises once more.
+        df.select(F.explode_outer(words).alias("token"))
+        .filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc("count"), "token")
@@ -31,67 +39,83 @@ def build_vocab(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
     return top.select("token", (F.row_number().over(by_frequency) + (E.FIRST_TOKEN_ID - 1)).alias("id"), "count")
 
 
-def _lookup(items: DataFrame, vocab: DataFrame, on: str, vocab_size: int) -> DataFrame:
-    """Left join with a vocabulary of at most ``vocab_size`` rows.
+class Dictionary:
+    """A small vocabulary as literals: lookups are Column expressions.
 
-    A larger vocabulary is joined by shuffle, where AQE splits frequent tokens.
+    Tokens are spread over as many buckets as there are tokens, by a hash that Spark
+    computes on both sides; a lookup is an array access and a search in a map of a few
+    entries.  Ids index an array of words directly.
     """
-    side = F.broadcast(vocab) if vocab_size <= BROADCAST_VOCAB else vocab
-    return items.join(side, on, "left")
 
+    def __init__(self, rows: Sequence[tuple[str, int, int]]):
+        """``rows`` are (token, id, Spark hash of the token)."""
+        self._n_buckets = max(len(rows), 1)
+        buckets: list[dict[str, int]] = [{} for _ in range(self._n_buckets)]
+        words: list[str | None] = [None] * (1 + max((i for _, i, _ in rows), default=0))
+        for token, i, token_hash in rows:
+            buckets[token_hash % self._n_buckets][token] = i
+            words[i] = token
+        self._buckets = json.dumps(buckets)
+        self._words = json.dumps(words)
 
+    def ids(self, tokens: Column) -> Column:
+        """Ids of an array of tokens; the unknown id for tokens outside the vocabulary."""
+        buckets = F.from_json(F.lit(self._buckets), "array<map<string,int>>")
 
-def encode_text(
-    df: DataFrame, vocab: DataFrame, vocab_size: int, text: str = "input_text", key: str = "example_id"
-) -> DataFrame:
-    """``(key, ids)`` of the whole text; tokens outside the vocabulary become the unknown id.
+        def lookup(token: Column) -> Column:
+            bucket = F.get(buckets, F.pmod(F.hash(token), F.lit(self._n_buckets)))
+            return F.coalesce(F.try_element_at(bucket, token), F.lit(E.UNK_ID))
+
+        return F.transform(tokens, lookup)
 
-    Each row is moved once, as a compact token array; exploding, lookup and reassembly
-    then happen inside its partition.
+    def text(self, ids: Column) -> Column:
+        """Words of an array of ids, joined by blanks; reserved ids are skipped."""
+        words = F.from_json(F.lit(self._words), "array<string>")
+        return F.array_join(F.transform(ids, lambda i: F.get(words, i)), " ")
+
+
+def compact(vocab: DataFrame, limit: int = DICTIONARY_LIMIT) -> Dictionary | DataFrame:
+    """The dictionary of a vocabulary of at most ``limit`` tokens, else the table unchanged.
+
+    At most ``limit + 1`` rows reach the driver.
     """
-    rows = df.select(key, E.tokens(F.col(text)).alias("_tokens")).repartition(key)
-    items = rows.select(key, F.posexplode_outer("_tokens").alias("_pos", "token"))
-    ids = F.when(F.col("token").isNotNull(), F.struct("_pos", F.coalesce("id", F.lit(E.UNK_ID)).alias("id")))
-    return (
-        _lookup(items, vocab.select("token", "id"), "token", vocab_size)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(ids))["id"].alias("ids"))
-    )
+    rows = vocab.select("token", "id", F.hash("token")).limit(limit + 1).collect()
+    return vocab if len(rows) > limit else Dictionary(rows)
+
+
+def encode_text(
+    df: DataFrame, vocab: Dictionary | DataFrame, text: str = "input_text", key: str = "example_id"
+) -> DataFrame:
+    """``(key, ids)`` of the whole text; tokens outside the vocabulary become the unknown id."""
+    if isinstance(vocab, Dictionary):
+        return df.select(key, vocab.ids(E.tokens(F.col(text))).alias("ids"))
+    return _encode_by_join(df.select(key, F.col(text).alias("_text")), vocab, key, [("_text", None, "ids")])
 
 
 def encode_examples(
     df: DataFrame,
-    vocab: DataFrame,
-    vocab_size: int,
+    vocab: Dictionary | DataFrame,
     source_len: int = E.SOURCE_LEN,
     target_len: int = E.TARGET_LEN,
     key: str = "example_id",
 ) -> DataFrame:
     """Padded source and target ids with their masks, the input shape of a text model.
 
-    Both texts share one lookup.  Tokens beyond the model's length are cut before it.
+    Tokens beyond the model's length are cut before the lookup.
     """
-    def tagged(name: str, length: int, tag: int) -> Column:
-        return F.transform(F.slice(E.tokens(F.col(name)), 1, length), lambda t, i: F.struct(
-            F.lit(tag).alias("field"), i.alias("pos"), t.alias("token")))
-
-    rows = df.select(
-        key, F.concat(tagged("input_text", source_len, 0), tagged("label", target_len, 1)).alias("_items")
-    ).repartition(key)
-    items = rows.select(key, F.explode_outer("_items").alias("_item")).select(key, "_item.*")
-    found = _lookup(items, vocab.select("token", "id"), "token", vocab_size)
-    placed = F.when(
-        F.col("token").isNotNull(), F.struct("field", "pos", F.coalesce("id", F.lit(E.UNK_ID)).alias("id"))
-    )
-    gathered = found.groupBy(key).agg(F.sort_array(F.collect_list(placed)).alias("_items"))
-
-    def ids(tag: int) -> Column:
-        return F.filter("_items", lambda x: x["field"] == tag)["id"]
-
-    return gathered.select(
+    if isinstance(vocab, Dictionary):
+        ids = df.select(
+            key,
+            vocab.ids(F.slice(E.tokens(F.col("input_text")), 1, source_len)).alias("_source"),
+            vocab.ids(F.slice(E.tokens(F.col("label")), 1, target_len)).alias("_target"),
+        )
+    else:
+        fields = [("input_text", source_len, "_source"), ("label", target_len, "_target")]
+        ids = _encode_by_join(df, vocab, key, fields)
+    return ids.select(
         key,
-        E.pad_truncate(ids(0), source_len).alias("source_ids"),
-        E.pad_truncate(ids(1), target_len).alias("target_ids"),
+        E.pad_truncate(F.col("_source"), source_len).alias("source_ids"),
+        E.pad_truncate(F.col("_target"), target_len).alias("target_ids"),
     ).select(
         key,
         "source_ids",
@@ -101,29 +125,53 @@ def encode_examples(
     )
 
 
+def _encode_by_join(
+    df: DataFrame, vocab: DataFrame, key: str, fields: Sequence[tuple[str, int | None, str]]
+) -> DataFrame:
+    """Encode ``(column, length, name)`` fields by one shuffle join with a large vocabulary.
+
+    Adaptive execution splits the partitions of frequent tokens.
+    """
+
+    def tagged(tag: int, column: str, length: int | None) -> Column:
+        words = E.tokens(F.col(column))
+        cut = words if length is None else F.slice(words, 1, length)
+        return F.transform(cut, lambda t, i: F.struct(F.lit(tag).alias("field"), i.alias("pos"), t.alias("token")))
+
+    items = df.select(key, F.explode_outer(F.concat(*[tagged(i, c, n) for i, (c, n, _) in enumerate(fields)])).alias("_i"))
+    found = items.select(key, "_i.*").join(vocab.select("token", "id"), "token", "left")
+    known = F.struct("field", "pos", F.coalesce("id", F.lit(E.UNK_ID)).alias("id"))
+    gathered = found.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), known))).alias("_items")
+    )
+
+    def ids(tag: int) -> Column:
+        return F.filter("_items", lambda x: x["field"] == tag)["id"]
+
+    return gathered.select(key, *[ids(i).alias(name) for i, (_, _, name) in enumerate(fields)])
+
+
 def decode_ids(
-    df: DataFrame, vocab: DataFrame, vocab_size: int, ids: str = "ids", key: str = "example_id"
+    df: DataFrame, vocab: Dictionary | DataFrame, ids: str = "ids", key: str = "example_id"
 ) -> DataFrame:
     """``(key, text)`` with reserved ids (padding, end, unknown) skipped."""
-    rows = df.select(key, F.filter(F.col(ids), lambda x: x >= E.FIRST_TOKEN_ID).alias("_ids")).repartition(key)
-    items = rows.select(key, F.posexplode_outer("_ids").alias("_pos", "id"))
+    if isinstance(vocab, Dictionary):
+        return df.select(key, vocab.text(F.col(ids)).alias("text"))
+    items = df.select(key, F.posexplode_outer(ids).alias("_pos", "id"))
+    found = items.join(vocab.select("id", "token"), "id", "left")
     words = F.when(F.col("token").isNotNull(), F.struct("_pos", "token"))
-    return (
-        _lookup(items, vocab.select("id", "token"), "id", vocab_size)
-        .groupBy(key)
-        .agg(F.array_join(F.sort_array(F.collect_list(words))["token"], " ").alias("text"))
-    )
+    return found.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(words))["token"], " ").alias("text"))
 
 
 def assign_batches(
-    df: DataFrame, size: int, ids: str, drop_last: bool = False, key: str = "example_id"
+    df: DataFrame, size: int, length: Column, drop_last: bool = False, key: str = "example_id"
 ) -> DataFrame:
     """``(key, batch_id, batch_rows, pad_to)``: consecutive batches in key order.
 
-    ``pad_to`` is the longest id array of the batch.  ``drop_last`` leaves out an
+    ``pad_to`` is the greatest ``length`` of the batch.  ``drop_last`` leaves out an
     incomplete last batch.
     """
-    narrow = df.select(key, F.size(ids).cast("bigint").alias("_length"))
+    narrow = df.select(key, length.cast("bigint").alias("_length"))
     numbered = ordered_rank(narrow, [key], name="_rank").withColumn(
         "batch_id", F.floor((F.col("_rank") - 1) / F.lit(size))
     )

@@ -21,11 +21,13 @@ EXAMPLE_SCHEMA = T.StructType(
     ]
 )
 
-# RFC 4180 quoting, with blanks and empty strings kept as they are.
+# RFC 4180 quoting; blanks and empty strings are kept, NULL is written as \\N
+# and read from that or from an unquoted empty field.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
+    "nullValue": "\\N",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
