@@ -180,13 +180,13 @@ def sample_labels(spark, sf_dir):
     return tidy(I.sample_labels(V.logits(spark, sf_dir), n=10, seed=6, temperature=0.5, top_k=3))
 
 
-FEATURES = 1 << 14
+FIT = {"features": 1 << 14, "max_iter": 10}
 
 
 @query("train_label_model")
 def train_label_model(spark, sf_dir):
     rows = normal_split(V.labelled(spark, sf_dir), SplitSpec(task_ids=range(20)))
-    model = training.train_label_model(rows.filter("split = 'train'"), features=FEATURES, max_iter=20)
+    model = training.train_label_model(rows.filter("split = 'train'"), **FIT)
     return tidy(training.apply_label_model(model, rows.filter("split = 'test'")))
 
 
@@ -195,7 +195,7 @@ def transfer_train(spark, sf_dir):
     rows = V.labelled(spark, sf_dir)
     target = normal_split(rows, SplitSpec(task_ids=range(10, 20)))
     model = training.transfer_train(
-        rows.filter("dataset_type = 'SRC'"), target.filter("split = 'train'"), features=FEATURES, max_iter=20
+        rows.filter("dataset_type = 'SRC'"), target.filter("split = 'train'"), **FIT
     )
     return tidy(training.apply_label_model(model, target.filter("split = 'test'")))
 
@@ -207,7 +207,7 @@ def transfer(spark, sf_dir):
         SplitSpec(task_ids=range(10), test_frac=0.3, val_frac=0.3),
         SplitSpec(task_ids=range(10, 20)),
         labeled=50,
-        features=FEATURES,
+        **FIT,
     )
     return tidy(predictions)
 

@@ -171,6 +171,15 @@ def split_bundle_roundtrip(spark, sf_dir):
     return tidy(io.read_split_bundle(spark, path, splits.schema))
 
 
+@query("fixed_splits", with_views("SELECT example_id, input_text, label, split FROM splits", "master", splits=SPLIT_EN))
+def fixed_splits(spark, sf_dir):
+    splits = normal_split(V.master(spark, sf_dir), SplitSpec(dataset="en"))
+    paths = {name: scratch_path(spark, name) for name in ("train", "val", "test")}
+    for name, path in paths.items():
+        io.write_examples(splits.filter(F.col("split") == name).drop("split"), path)
+    return tidy(io.read_fixed_splits(spark, paths).select("example_id", "input_text", "label", "split"))
+
+
 @query("split_sizes", with_views(
     """SELECT split, count(*) AS n_rows, CAST(ceil(count(*) / 16e0) AS BIGINT) AS n_batches,
               CAST(floor(count(*) / 16e0) AS BIGINT) AS n_full_batches

@@ -12,6 +12,7 @@ from labelkit.functions.encoding import IGNORE_ID
 from labelkit.operators import confidence as C
 from labelkit.operators import metrics as M
 from labelkit.operators import votes as W
+from labelkit.operators.relations import prediction_table
 
 FIVE = range(5)
 EXPS = "list_transform(logits, lambda z: exp(z - list_max(logits)))"
@@ -22,10 +23,8 @@ def _scored(spark, sf_dir):
 
 
 def _judged(spark, sf_dir):
-    df = V.logits(spark, sf_dir)
-    return C.best_label(df, V.ID2LABEL).join(df.select("example_id", "target"), "example_id").select(
-        "example_id", F.col("label").alias("predicted"), (F.col("target") + 1).cast("string").alias("ground_truth")
-    )
+    best = C.best_label(V.logits(spark, sf_dir), V.ID2LABEL, keep=["target"])
+    return prediction_table(best.withColumn("truth", F.col("target") + 1), "label", "truth")
 
 
 @query("softmax", with_views(

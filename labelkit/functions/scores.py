@@ -1,22 +1,35 @@
-"""Row-local score arithmetic on ``ARRAY<DOUBLE>`` columns of logits."""
+"""Row-local score arithmetic on ``ARRAY<DOUBLE>`` columns of logits.
+
+Everything is linear in the number of classes: a value used inside a lambda is bound with
+:func:`let` first, because Spark evaluates a lambda's body once per element, whatever it
+refers to.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def array_sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def normalizer(logits: Column) -> Column:
+    """``struct(top, total)``: the largest logit and the sum of ``exp(z - top)``."""
 
+    def total(top: Column) -> Column:
+        sum_exp = F.aggregate(logits, F.lit(0.0), lambda acc, z: acc + F.exp(z - top))
+        return F.struct(top.alias("top"), sum_exp.alias("total"))
 
-def shifted_exp(logits: Column, temperature: float = 1.0) -> Column:
-    """``exp((z - max z) / T)`` element by element; the shift keeps it finite."""
-    return F.transform(logits, lambda z: F.exp((z - F.array_max(logits)) / F.lit(float(temperature))))
+    return let(F.array_max(logits), total)
 
 
 def log_sum_exp(logits: Column) -> Column:
-    return F.array_max(logits) + F.log(array_sum(shifted_exp(logits)))
+    return let(normalizer(logits), lambda n: n["top"] + F.log(n["total"]))
 
 
 def best_index(logits: Column) -> Column:
@@ -26,20 +39,14 @@ def best_index(logits: Column) -> Column:
 
 def best_probability(logits: Column) -> Column:
     """The largest softmax value: ``exp(0)`` over the shifted sum."""
-    return F.lit(1.0) / array_sum(shifted_exp(logits))
+    return F.lit(1.0) / normalizer(logits)["total"]
 
 
-def probability_at(logits: Column, index: Column) -> Column:
-    """Softmax value of one position; NULL where the position does not exist."""
-    return F.exp(F.get(logits, index) - F.array_max(logits)) / array_sum(shifted_exp(logits))
+def probability_at(logits: Column, index: Column, norm: Column) -> Column:
+    """Softmax value of one position, given the :func:`normalizer`; NULL outside the array."""
+    return F.exp(F.get(logits, index) - norm["top"]) / norm["total"]
 
 
 def softmax(logits: Column) -> Column:
-    """Softmax over the whole array, divided through once per row.
-
-    ``transform`` over a one-element array binds (exponentials, total) as values,
-    so the total is not recomputed for every class.
-    """
-    weights = shifted_exp(logits)
-    bound = F.transform(F.array(weights), lambda w: F.struct(w.alias("w"), array_sum(w).alias("t")))
-    return F.get(F.transform(bound, lambda b: F.transform(b["w"], lambda x: x / b["t"])), 0)
+    """Softmax over the whole array."""
+    return let(normalizer(logits), lambda n: F.transform(logits, lambda z: F.exp(z - n["top"]) / n["total"]))

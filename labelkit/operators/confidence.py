@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import chain
+from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelkit.functions import scores as S
@@ -27,12 +29,22 @@ def label_of(token: Column, id2label: Mapping[int, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), token)
 
 
-def best_label(df: DataFrame, id2label: Mapping[int, str], logits: str = "logits", key: str = "example_id") -> DataFrame:
-    """``(key, token, label, score)``: the most probable class, its label and probability."""
+def best_label(
+    df: DataFrame,
+    id2label: Mapping[int, str],
+    logits: str = "logits",
+    key: str = "example_id",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``(key, token, label, score, *keep)``: the most probable class, its label and probability."""
     z = F.col(logits)
     token = S.best_index(z)
     return df.select(
-        key, token.alias("token"), label_of(token, id2label).alias("label"), S.best_probability(z).alias("score")
+        key,
+        token.alias("token"),
+        label_of(token, id2label).alias("label"),
+        S.best_probability(z).alias("score"),
+        *keep,
     )
 
 
@@ -40,10 +52,10 @@ def label_probabilities(
     df: DataFrame, label2id: Mapping[str, int], logits: str = "logits", key: str = "example_id", prefix: str = "p_"
 ) -> DataFrame:
     """One column per named label with its probability under the full softmax."""
-    z = F.col(logits)
-    return df.select(
+    z, norm = F.col(logits), F.col("_norm")
+    return df.select(key, logits, S.normalizer(z).alias("_norm")).select(
         key,
-        *[S.probability_at(z, F.lit(i)).alias(f"{prefix}{label}") for label, i in sorted(label2id.items())],
+        *[S.probability_at(z, F.lit(i), norm).alias(f"{prefix}{label}") for label, i in sorted(label2id.items())],
     )
 
 
@@ -107,11 +119,11 @@ def coverage_curve(
     """Per threshold: kept examples, coverage (kept / all scored) and accuracy of the kept.
 
     One pass for all thresholds: each row counts how many thresholds it reaches, rows are
-    aggregated by that level, and suffix sums run over the at most len(thresholds) + 1
-    level rows.
+    aggregated by that level, and each threshold sums the at most len(thresholds) + 1
+    level rows above it.
     """
     grid = sorted(float(t) for t in thresholds)
-    reached = F.size(F.filter(F.array(*[F.lit(t) for t in grid]), lambda t: F.col(score) >= t))
+    reached = reduce(add, [F.coalesce(F.col(score) >= t, F.lit(False)).cast("int") for t in grid])
     right = F.coalesce(F.col("predicted") == F.col("ground_truth"), F.lit(False)).cast("bigint")
     scored = confidence.select(key, reached.alias("_level"))
     judged = predictions.select(key, right.alias("_right"))
@@ -124,12 +136,10 @@ def coverage_curve(
             F.coalesce(F.sum("_right"), F.lit(0)).alias("_hits"),
         )
     )
-    every = Window.partitionBy()
-    table = levels.select("*", F.sum("_scored").over(every).alias("_all"))
-    # A level row contributes to thresholds 0 .. level-1; one row per threshold stays in
-    # the result even when nothing reaches it.
-    spine = table.groupBy().agg(
-        F.max("_all").alias("_all"), F.collect_list(F.struct("_level", "_n", "_hits")).alias("_levels")
+    # A level row counts for thresholds 0 .. level-1.  Every threshold keeps its row, even
+    # when nothing reaches it.
+    spine = levels.groupBy().agg(
+        F.sum("_scored").alias("_all"), F.collect_list(F.struct("_level", "_n", "_hits")).alias("_levels")
     )
     points = spine.select(
         F.posexplode(F.array(*[F.lit(t) for t in grid])).alias("_i", "theta"), "_all", "_levels"

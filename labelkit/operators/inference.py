@@ -11,11 +11,12 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelkit.functions.keys import hash_uniform, keyed_text
+from labelkit.functions.scores import let
 
 Model = Callable[[np.ndarray], np.ndarray]
 
@@ -85,29 +86,33 @@ def sample_labels(
     probability exceeds a hash-uniform.  Everything is row-local: no shuffle.
     """
     z = F.col(logits)
-    entries = F.transform(z, lambda x, i: F.struct((-x).alias("negative"), i.alias("token")))
-    top = F.slice(F.array_sort(entries), 1, top_k)
     scale = F.lit(float(temperature))
-    weights = F.array_sort(
-        F.transform(
-            top, lambda t: F.struct(t["token"].alias("token"), F.exp((-t["negative"] - F.array_max(z)) / scale).alias("w"))
-        )
-    )
-    rows = df.select(key, weights.alias("_weights")).withColumn(
-        "_total", F.aggregate("_weights", F.lit(0.0), lambda acc, x: acc + x["w"])
-    )
-    draws = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
-    u = hash_uniform(keyed_text(seed, "draw", F.col(key), F.col("draw")))
-    start = F.struct(F.lit(0.0).alias("below"), F.lit(None).cast("int").alias("token"))
-    reached = F.aggregate(
-        "_weights",
-        start,
-        lambda acc, x: F.struct(
-            (acc["below"] + x["w"]).alias("below"),
-            F.when(acc["token"].isNotNull(), acc["token"])
-            .when(F.round((acc["below"] + x["w"]) / F.col("_total"), 9) > F.col("_u"), x["token"])
-            .alias("token"),
+    entries = F.transform(z, lambda x, i: F.struct((-x).alias("negative"), i.alias("token")))
+    weights = let(
+        F.slice(F.array_sort(entries), 1, top_k),
+        lambda top: let(
+            F.get(top, 0)["negative"],
+            lambda lowest: F.array_sort(
+                F.transform(
+                    top, lambda t: F.struct(t["token"].alias("token"), F.exp((lowest - t["negative"]) / scale).alias("w"))
+                )
+            ),
         ),
     )
+    rows = df.select(key, weights.alias("_weights"))
+    total = F.aggregate("_weights", F.lit(0.0), lambda acc, x: acc + x["w"])
+    draws = rows.select(key, "_weights", total.alias("_total"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("draw"))
+    start = F.struct(F.lit(0.0).alias("below"), F.lit(None).cast("int").alias("token"))
+
+    def reached(u: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            below = acc["below"] + x["w"]
+            hit = F.round(below / F.col("_total"), 9) > u
+            token = F.when(acc["token"].isNotNull(), acc["token"]).when(hit, x["token"])
+            return F.struct(below.alias("below"), token.alias("token"))
+
+        return F.aggregate("_weights", start, step)
+
+    uniform = hash_uniform(keyed_text(seed, "draw", F.col(key), F.col("draw")))
     last = F.get("_weights", F.size("_weights") - 1)["token"]  # a uniform above the rounded total
-    return draws.withColumn("_u", u).select(key, "draw", F.coalesce(reached["token"], last).alias("token"))
+    return draws.select(key, "draw", F.coalesce(let(uniform, reached)["token"], last).alias("token"))

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from labelkit.functions.keys import bucket_of
 from labelkit.session import stage_table
 
-TOP_N_LIMIT = 100_000
+# A top-n merge gathers n rows of every partition in one task.
+TOP_N_LIMIT = 2_000
 
 Cut = Callable[[Column], Column]
 
@@ -164,8 +165,8 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
 def lowest(df: DataFrame, k: int, order: Sequence[str]) -> DataFrame:
     """The ``k`` lowest rows by the ``order`` columns, reduced to those columns.
 
-    A top-k merge keeps ``k`` rows per partition, which is right for a review batch; a
-    larger ``k`` takes the same rows by :func:`ordered_rank`.
+    The top-k merge of a review batch is cheap; beyond ``TOP_N_LIMIT`` the same rows are
+    taken by :func:`ordered_rank`.
     """
     narrow = df.select(*order)
     if k <= TOP_N_LIMIT:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelkit.operators.ranks import lowest
+
 
 def select_target(df: DataFrame, dataset: str | None = None, dataset_type: str = "TRG") -> DataFrame:
     """Rows of one role (``TRG`` / ``SRC``), of one dataset or of all of them."""
@@ -63,7 +65,7 @@ def take_first(df: DataFrame, n: int, key: str = "example_id") -> DataFrame:
     The cut is found on the key column alone and applied as a scan filter, so wide
     rows are never gathered in the final merge of a top-n.
     """
-    last = df.select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
+    last = lowest(df, n, [key]).agg(F.max(key)).scalar()
     return df.filter(F.col(key) <= last)
 
 

@@ -1,4 +1,4 @@
-"""A distributed label model: TF-IDF features and multinomial logistic regression.
+"""A distributed label model: TF-IDF features and logistic regression.
 
 This stands where a neural text-to-text model would be fine-tuned; it is a different
 model, trained by Spark over the partitions of the training table.
@@ -41,13 +41,15 @@ def train_label_model(
     """Fit on ``(key, input_text, label)``; ``balanced`` weights rows by N / count(label).
 
     With a ``source`` model its class probabilities become additional features.  The
-    training rows are staged once, since every stage and iteration reads them.
+    training rows are staged once, spread over all cores: every stage reads them, and the
+    iterations are worth far more work than their size suggests.
     """
     rows = train.filter(F.col("label").isNotNull()).select(
         key, F.coalesce("input_text", F.lit("")).alias("input_text"), F.col("label").cast("string").alias("label")
     )
     rows = class_weights(rows, key=key) if balanced else rows.withColumn("weight", F.lit(1.0))
-    rows = stage_table(rows, "train")
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    rows = stage_table(rows.repartition(cores, key), "train")
     index = StringIndexer(inputCol="label", outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
     stages = [
         *([] if source is None else _belief(source)),
@@ -66,7 +68,6 @@ def train_label_model(
             rawPredictionCol="_raw",
             maxIter=max_iter,
             regParam=reg,
-            family="multinomial",
         ),
     ]
     return LabelModel(Pipeline(stages=stages).fit(index.transform(rows)), index.labels)

@@ -42,8 +42,8 @@ def transfer_experiment(
     target: SplitSpec,
     labeled: int,
     example_threshold: int = 10_000,
-    features: int = 1 << 16,
     key: str = "example_id",
+    **options,
 ) -> DataFrame:
     """Train on a source pool, then on a few labelled target rows; predictions of the test set."""
     pool = source_pool(df, source, example_threshold, key=key)
@@ -51,8 +51,8 @@ def transfer_experiment(
     model = transfer_train(
         pool.filter(F.col("split") == "train"),
         splits.filter(F.col("split") == "train_labeled"),
-        features=features,
         key=key,
+        **options,
     )
     return apply_label_model(model, splits.filter(F.col("split") == "test"), key)
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelkit.operators.ranks import ordered_rank
+from labelkit.operators.relations import union_examples
 
 EXAMPLE_SCHEMA = T.StructType(
     [
@@ -49,6 +50,15 @@ def read_examples(
     return reader.format(format).load(path)
 
 
+def read_fixed_splits(
+    spark: SparkSession, paths: Mapping[str, str], schema: T.StructType = EXAMPLE_SCHEMA, format: str = "csv"
+) -> DataFrame:
+    """Ready-made files per split, such as train, val and test, as one table with ``split``."""
+    return union_examples(
+        [read_examples(spark, path, schema, format).withColumn("split", F.lit(split)) for split, path in paths.items()]
+    )
+
+
 def write_examples(df: DataFrame, path: str, format: str = "csv", mode: str = "errorifexists") -> None:
     """Any example, split or prediction table, with its key column."""
     writer = df.write.mode(mode)
