@@ -113,31 +113,43 @@ def assign_batches(spark, sf_dir):
     return tidy(T.assign_batches(V.master(spark, sf_dir), 16, length, drop_last=True))
 
 
-def load_hash_labels():
-    """A stand-in model: the label is the parity of a hash of the whole text."""
-    import hashlib
+def hash_labels():
+    """A stand-in model: the label is the parity of a hash of the whole text.
 
-    import numpy as np
+    The loader is a nested function, so that workers get it by value and need not have
+    this package on their path.
+    """
 
-    def model(texts):
-        return np.array([str(int(hashlib.md5(t.encode()).hexdigest()[:7], 16) % 2) for t in texts], dtype=object)
+    def load():
+        import hashlib
 
-    return model
+        import numpy as np
 
+        def model(texts):
+            return np.array([str(int(hashlib.md5(t.encode()).hexdigest()[:7], 16) % 2) for t in texts], dtype=object)
 
-def load_hash_scores():
+        return model
+
+    return load
+
+
+def hash_scores():
     """A stand-in model with two steps of five scores from hashes of the whole text."""
-    import hashlib
 
-    import numpy as np
+    def load():
+        import hashlib
+
+        import numpy as np
 
-    def model(texts):
         def one(t, s, c):
             return int(hashlib.md5(f"{s}:{c}:{t}".encode()).hexdigest()[:7], 16) % 1000 / 100
 
-        return np.array([[one(t, s, c) for s in range(2) for c in range(5)] for t in texts])
+        def model(texts):
+            return np.array([[one(t, s, c) for s in range(2) for c in range(5)] for t in texts])
+
+        return model
 
-    return model
+    return load
 
 
 HASH_LABEL = f"CAST({h('input_text')} % 2 AS VARCHAR)"
@@ -146,7 +158,7 @@ HASH_LABEL = f"CAST({h('input_text')} % 2 AS VARCHAR)"
 @query("predict_batches", with_views(
     f"SELECT example_id, {HASH_LABEL} AS predicted, label AS ground_truth FROM master", "master"))
 def predict_batches(spark, sf_dir):
-    return tidy(I.predict(V.master(spark, sf_dir), load_hash_labels))
+    return tidy(I.predict(V.master(spark, sf_dir), hash_labels()))
 
 
 @query("predict_scores", with_views(
@@ -154,7 +166,7 @@ def predict_batches(spark, sf_dir):
     + ", ".join(f"""round({h(f"s.step || ':{c}:' || input_text")} % 1000 / 100e0, 6) AS z_{c}""" for c in range(5))
     + " FROM master, (SELECT unnest([0, 1])::BIGINT AS step) s", "master"))
 def predict_scores(spark, sf_dir):
-    out = I.predict_scores(V.master(spark, sf_dir), load_hash_scores, steps=2, classes=5)
+    out = I.predict_scores(V.master(spark, sf_dir), hash_scores(), steps=2, classes=5)
     return tidy(out.select("example_id", "step", *[F.get("logits", F.lit(c)).alias(f"z_{c}") for c in range(5)]))
 
 
@@ -162,7 +174,7 @@ def predict_scores(spark, sf_dir):
     f"SELECT example_id, {HASH_LABEL} AS predicted, label AS ground_truth FROM master WHERE label IS NULL", "master"))
 def pseudo_label(spark, sf_dir):
     unlabeled = V.master(spark, sf_dir).filter("label IS NULL")
-    return tidy(I.pseudo_label(unlabeled, load_hash_labels, scratch_path(spark, "pseudo")))
+    return tidy(I.pseudo_label(unlabeled, hash_labels(), scratch_path(spark, "pseudo")))
 
 
 @query("sample_labels", with_views(
@@ -221,7 +233,7 @@ def transfer(spark, sf_dir):
               WHERE rk <= floor(0.2e0 * n) GROUP BY trial)""", "labelled"))
 def target(spark, sf_dir):
     summary = target_experiment(
-        V.labelled(spark, sf_dir), SplitSpec(dataset="en"), trials=3, load=load_hash_labels, run="target_en"
+        V.labelled(spark, sf_dir), SplitSpec(dataset="en"), trials=3, load=hash_labels(), run="target_en"
     )
     return tidy(summary.select("run", "avg_acc", "std"))
 
