@@ -14,7 +14,7 @@ from labelkit.functions import scores as S
 from labelkit.operators.metrics import accuracy
 from labelkit.operators.ranks import lowest, ordered_rank
 from labelkit.operators.relations import confident, keep_keys
-from labelkit.session import SMALL_SIDE_ROWS
+from labelkit.session import SMALL_SIDE_ROWS, stage_table
 
 
 def threshold_grid(start: float = 0.1, stop: float = 0.77, count: int = 20) -> list[float]:
@@ -86,7 +86,7 @@ def sequence_confidence(steps: DataFrame, logits: str = "logits", key: str = "ex
 
 def rank_by_confidence(df: DataFrame, ascending: bool = True, score: str = "score", key: str = "example_id") -> DataFrame:
     """``(key, score, rank)``, least confident first or last; ties by key."""
-    narrow = df.select(key, score)
+    narrow = stage_table(df.select(key, score), "scores")
     if ascending:
         return ordered_rank(narrow, [score, key])
     flipped = narrow.withColumn("_flipped", -F.col(score))

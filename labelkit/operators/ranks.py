@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.functions.keys import bucket_of
-from labelkit.session import stage_table
+from labelkit.session import sized_table, stage_table
 
+OFFSETS_LIMIT = 200_000
 # A top-n merge gathers n rows of every partition in one task.
 TOP_N_LIMIT = 2_000
 
@@ -140,7 +141,8 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
     ``(groups, order)`` must identify a row.  The rows are range-partitioned and sorted
     by it, written to the shared scratch folder, and ranked by position: rows in earlier
     partitions of the group plus place in the own partition.  Pass narrow tables and
-    join wide columns back by key.
+    join wide columns back by key.  Range boundaries come from a sample, for which Spark
+    evaluates the input a second time: stage columns that are dear to compute.
     """
     groups = list(groups)
     by = [*groups, *order]
@@ -155,8 +157,13 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
     offsets = sizes.select(
         *groups, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
-    if not groups:
-        offsets = F.broadcast(offsets)  # one row per shuffle partition
+    # Ungrouped there is one row per shuffle partition, grouped about one per group: too
+    # many of those are joined by shuffle, which (group, partition) keeps even.
+    n_offsets = 0
+    if groups:
+        offsets, n_offsets = sized_table(offsets, "offsets")
+    if n_offsets <= OFFSETS_LIMIT:
+        offsets = F.broadcast(offsets)
     return placed.join(offsets, [*groups, "_part"]).select(
         *df.columns, (F.col("_place") + F.col("_shift")).alias(name)
     )

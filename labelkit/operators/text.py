@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from labelkit.functions import encoding as E
 from labelkit.operators.ranks import ordered_rank
+from labelkit.session import stage_table
 
 DICTIONARY_LIMIT = 50_000
 
@@ -171,7 +172,7 @@ def assign_batches(
     ``pad_to`` is the greatest ``length`` of the batch.  ``drop_last`` leaves out an
     incomplete last batch.
     """
-    narrow = df.select(key, length.cast("bigint").alias("_length"))
+    narrow = stage_table(df.select(key, length.cast("bigint").alias("_length")), "lengths")
     numbered = ordered_rank(narrow, [key], name="_rank").withColumn(
         "batch_id", F.floor((F.col("_rank") - 1) / F.lit(size))
     )

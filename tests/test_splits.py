@@ -197,10 +197,12 @@ def test_hashed_rank_matches_a_window(spark, examples):
 
 
 @pytest.mark.parametrize("groups", [[], ["task_id"]])
-def test_ordered_rank_with_one_value_for_most_rows(spark, examples, groups):
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_ordered_rank_with_one_value_for_most_rows(spark, examples, groups, limit, monkeypatch):
     """A tie holding most of the rows is ranked by the second column across partitions."""
     from pyspark.sql import Window
 
+    monkeypatch.setattr(ranks, "OFFSETS_LIMIT", limit)
     df = examples.select("example_id", "task_id", F.when(F.col("example_id") % 3 == 0, F.col("example_id")).otherwise(7).alias("v"))
     got = ranks.ordered_rank(df, ["v", "example_id"], groups)
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy("v", "example_id")))
