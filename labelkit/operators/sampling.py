@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.functions.keys import hash_int, keyed_text, order_key
-from labelkit.operators.ranks import at_or_before, cut_point, hashed_rank
+from labelkit.operators.ranks import at_or_before, cut_point, hashed_rank, ordered_rank
 from labelkit.operators.relations import minus_keys, union_examples
 from labelkit.session import SMALL_SIDE_ROWS, sized_table
 
@@ -62,18 +62,21 @@ def balanced_resample(
     """
     rows = df.select(key, label).filter(F.col(label).isNotNull())
     ranked = hashed_rank(rows, key, order_key(seed, "ordinal", F.col(key)), [label], "_ordinal")
-    numbered = Window.orderBy(label)
-    classes = (
-        rows.groupBy(label)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(label, "_size", (F.row_number().over(numbered) - 1).cast("bigint").alias("_class"))
-    )
-    draws = df.sparkSession.range(n).select(F.col("id").alias("draw")) if n else rows.select(F.col(key).alias("draw"))
-    classes, n_classes = sized_table(classes, "classes")
+    classes, n_classes = sized_table(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_size")), "classes")
+    few = n_classes <= SMALL_SIDE_ROWS
+    if few:
+        classes = classes.withColumn("_rank", F.row_number().over(Window.orderBy(label)))
+    else:
+        classes = ordered_rank(classes, [label], name="_rank")
+    classes = classes.select(label, "_size", (F.col("_rank") - 1).cast("bigint").alias("_class"))
+    if n is None:
+        draws = rows.select(F.col(key).alias("draw"))
+    else:
+        draws = df.sparkSession.range(n).select(F.col("id").alias("draw"))
     pick = hash_int(keyed_text(seed, "class", F.col("draw")), DRAW_DIGITS)
     place = hash_int(keyed_text(seed, "place", F.col("draw")), DRAW_DIGITS)
-    chosen = draws.withColumn("_class", F.pmod(pick, F.lit(n_classes)))
+    chosen = draws.withColumn("_class", F.pmod(pick, F.lit(max(n_classes, 1))))
     # With more classes than that each gets few draws: a shuffle on the class number is even.
-    side = F.broadcast(classes) if n_classes <= SMALL_SIDE_ROWS else classes
+    side = F.broadcast(classes) if few else classes
     chosen = chosen.join(side, "_class").withColumn("_ordinal", F.pmod(place, F.col("_size")) + 1)
     return chosen.join(ranked, [label, "_ordinal"]).select("draw", key, label)

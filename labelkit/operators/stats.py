@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelkit.session import SMALL_SIDE_ROWS, sized_table
@@ -15,8 +15,8 @@ def label_distribution(df: DataFrame, label: str = "label", normalize: bool = Fa
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
     if not normalize:
         return counts.orderBy(F.desc("count"), label)
-    total = F.sum("count").over(Window.partitionBy())  # over one row per label
-    return counts.withColumn("share", F.col("count") / total).orderBy(F.desc("count"), label).select(label, "share")
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.orderBy(F.desc("count"), label).select(label, (F.col("count") / total).alias("share"))
 
 
 def class_weights(df: DataFrame, label: str = "label", key: str = "example_id", name: str = "weight") -> DataFrame:
@@ -26,10 +26,9 @@ def class_weights(df: DataFrame, label: str = "label", key: str = "example_id",
     on (label, salt), so that a label holding a third of the rows is spread as well.
     """
     labelled = df.filter(F.col(label).isNotNull())
-    counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
-    total = F.sum("_count").over(Window.partitionBy())
+    counts, n_labels = sized_table(labelled.groupBy(label).agg(F.count(F.lit(1)).alias("_count")), "labels")
+    total = counts.agg(F.sum("_count")).scalar()
     weights = counts.select(label, (total / F.col("_count")).alias(name))
-    weights, n_labels = sized_table(weights, "weights")
     if n_labels <= SMALL_SIDE_ROWS:
         return labelled.join(F.broadcast(weights), label).select(*df.columns, name)
     spread = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -214,3 +214,8 @@ def test_lowest_by_rank_equals_top_n(examples, monkeypatch):
     top = sorted(map(tuple, ranks.lowest(df, 33, ["v", "example_id"]).collect()))
     monkeypatch.setattr(ranks, "TOP_N_LIMIT", 5)
     assert sorted(map(tuple, ranks.lowest(df, 33, ["v", "example_id"]).collect())) == top
+
+
+def test_balanced_resample_of_nothing(examples):
+    assert P.balanced_resample(examples, seed=9, n=0).count() == 0
+    assert P.balanced_resample(examples.filter("label IS NULL"), seed=9, n=5).count() == 0
