@@ -1,0 +1,20 @@
+"""Registered queries over ``documents``; each derives its digest columns from an operator."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from labelkit.llm import packing
+from labelkit.llm.common import table
+from labelkit.llm.registry import query
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(narrow)
