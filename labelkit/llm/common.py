@@ -6,9 +6,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelkit.session import stage_table
+
 #: Characters per slice of an Arrow batch, so that one batch of long texts stays small in Python.
 SLICE_CHARS = 4_000_000
 
@@ -47,7 +50,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each holds about ``most`` characters, or a single longer text."""
     for batch in batches:
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:
@@ -115,3 +118,60 @@ def encode_texts(cache: WordCache, texts: list[str]) -> tuple[np.ndarray, np.nda
     ends = np.concatenate([[0], np.cumsum(lengths)])
     edges = np.concatenate([[0], np.cumsum(counts)])
     return ids, np.diff(ends[edges])
+
+
+#: A key that holds at least this share of all rows is hot; there are at most 1 / share of them.
+HOT_SHARE = 1 / 5_000
+
+
+def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with one row per key that says how often the key occurs.
+
+    Keys of at least ``HOT_SHARE`` of all ``total`` rows number at most 1 / ``HOT_SHARE``,
+    so they are broadcast and their rows stay where they are.  All other keys are small
+    enough to be shuffled.  ``rows`` and ``keys`` are read twice: pass written tables.
+    """
+    limit = max(1, int(total * HOT_SHARE))
+    hot = F.broadcast(keys.filter(F.col(count) >= limit))
+    cold = keys.filter(F.col(count) < limit)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``(node, component)`` for every node of ``links (a long, b long)``: the smallest reachable node.
+
+    Alternates the large-star and small-star steps until no link changes.  Each step is a
+    map-side combined minimum by node and a join; its result is written to shared storage.
+    Nulls, loops and repeated links have no effect.
+    """
+    state = stage_table(
+        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links"
+    )
+    # every link a > b; done when each a has one link and no b is an a
+    while True:
+        both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = _star(both, F.col("b") > F.col("a"), include_self=True)
+        large = stage_table(large, "large-star")
+        after = stage_table(_star(large, F.lit(True), include_self=False), "small-star")
+        if _digest(after) == _digest(state):
+            break
+        state = after
+    inner = state.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return inner.unionByName(state.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _star(links: DataFrame, moved: Column, include_self: bool) -> DataFrame:
+    """Each neighbour ``b`` of ``a`` that is ``moved`` becomes linked with the smallest neighbour (or ``a``)."""
+    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
+    least = stage_table(least.withColumn("m", F.least("a", "m")), "least")
+    total = links.count()
+    joined = join_counted(links, least, ["a"], "degree", total)
+    out = joined.filter(moved).select(F.col("b").alias("x"), "m")
+    if not include_self:
+        out = out.unionByName(least.select(F.col("a").alias("x"), "m"))
+    return out.filter("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
+
+
+def _digest(links: DataFrame) -> tuple:
+    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    return tuple(row)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import packing
+from labelkit.llm import ngram_join, packing
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -18,3 +18,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
     narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(narrow)
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
