@@ -68,7 +68,7 @@ class WordCache:
     each other.  The cache is emptied when full, so it needs bounded memory on any input.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_100_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

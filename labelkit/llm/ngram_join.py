@@ -63,25 +63,21 @@ def count_levels(docs: DataFrame, k: int) -> np.ndarray:
                 ["part", "salt", "counts"],
             )
 
-    def add(keys, tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def added(batches: Iterable[pa.RecordBatch], **key: int) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, dtype=np.int64)
-        for batch in tables:
+        for batch in batches:
             for value in batch.column("counts"):
                 total += np.frombuffer(value.as_buffer(), dtype=np.int64)
-        columns = [pa.array([key.as_py()], pa.int32()) for key in keys]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array([total.tobytes()], pa.binary())], names[len(names) - len(columns) :] + ["counts"])
+        columns = [pa.array([k], pa.int32()) for k in key.values()]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([total.tobytes()], pa.binary())], [*key, "counts"])
 
-    names = ["part", "salt"]
-    partial = docs.select("text").mapInArrow(count, "part int, salt int, counts binary")
-
-    def add_salted(key, tables):
-        names[:] = ["part", "salt"]
-        return add(key, tables)
+    def add_salted(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from added(batches, part=key[0].as_py(), salt=key[1].as_py())
 
-    def add_all(key, tables):
-        names[:] = ["part"]
-        return add(key, tables)
+    def add_all(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from added(batches, part=key[0].as_py())
 
+    partial = docs.select("text").mapInArrow(count, "part int, salt int, counts binary")
     salted = partial.groupBy("part", "salt").applyInArrow(add_salted, "part int, salt int, counts binary")
     sketch = np.zeros((SKETCH_PARTS, width), dtype=np.int64)
     for row in salted.groupBy("part").applyInArrow(add_all, "part int, counts binary").collect():
