@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import ngram_join, packing
+from labelkit.llm import line_dedup, ngram_join, packing
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -23,3 +23,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+@query(
+    "op6_line_dedup",
+    """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), shared AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, line, pos, keeper IS NOT NULL AND doc_id <> keeper AS dropped
+  FROM keyed LEFT JOIN shared USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
