@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import line_dedup, ngram_join, packing
+from labelkit.llm import language, line_dedup, ngram_join, packing
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -51,3 +51,16 @@ FROM marked GROUP BY doc_id
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def held_out(modulus: int):
+    """Whether the remainder that the contracts set aside is 0."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == 0
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~held_out(5)))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score", "byte_bits")
