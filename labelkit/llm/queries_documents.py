@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import language, line_dedup, ngram_join, packing
+from labelkit.llm import language, line_dedup, ngram_join, packing, personal_data
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -64,3 +64,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.filter(~held_out(5)))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score", "byte_bits")
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    spans = personal_data.personal_spans(docs).withColumnsRenamed({"doc_id": "__doc"})
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    met = rows.join(spans, rows["doc_id"].eqNullSafe(F.col("__doc")) & (F.col("hash") == F.col("text_hash")), "left")
+    every = F.coalesce(F.col("spans"), F.array())
+    rules = F.filter(every, lambda s: s["rule"])
+
+    def count(kind: int):
+        return F.size(F.filter(rules, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
+    return met.select(
+        "doc_id", *counts, F.sha2(personal_data.joined(rules), 256).alias("base_sha256"), personal_data.joined(every).alias("spans")
+    )
