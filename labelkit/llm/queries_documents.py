@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import language, line_dedup, ngram_join, packing, personal_data
+from labelkit.llm import fingerprints, language, licenses, line_dedup, ngram_join, packing, personal_data
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -82,3 +82,44 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select(
         "doc_id", *counts, F.sha2(personal_data.joined(rules), 256).alias("base_sha256"), personal_data.joined(every).alias("spans")
     )
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    places = F.filter("spans", lambda s: s["phrase"])
+    starts = F.transform(places, lambda s: s["start"])
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        labels(places).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query("op4_document_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = fingerprints.with_next(fingerprints.fingerprints(docs), buckets, ["text", "fingerprint"])
+    n = F.length("text")
+    part = F.floor(n / 4).cast("int")
+    edited = F.concat(F.left("text", n - part), F.left("next_text", part))
+    rows = rows.withColumn("edited", edited).withColumn("edited_vector", fingerprints.vector(F.col("edited")))
+    return rows.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.written(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.written(F.col("edited_vector")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_vector")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
