@@ -137,6 +137,35 @@ def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], count: str, to
     return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
 
 
+#: Bits of a membership filter at most; beyond an eighth as many keys it only lets more through.
+FILTER_BITS = 1 << 27
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A bit map of fixed greatest size with a bit for each key: what it rejects is no key.
+
+    Bits are set by an aggregate that combines on the map side; the map itself, of
+    ``FILTER_BITS / 8`` bytes at most, is what reaches the driver.
+    """
+    bits = 1 << 15
+    while bits < min(8 * keys.count(), FILTER_BITS):
+        bits *= 2
+    place = F.pmod(F.col(column), F.lit(bits))
+    parts = keys.groupBy((place / 32768).cast("int").alias("part")).agg(
+        F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("map")
+    )
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in parts.collect():
+        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["map"], dtype=np.uint8)
+    return out
+
+
+def may_contain(bit_map: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that were not among those of ``key_filter``."""
+    place = keys.view(np.uint64) & np.uint64(8 * len(bit_map) - 1)
+    return (bit_map[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links (a long, b long)``: the smallest reachable node.
 

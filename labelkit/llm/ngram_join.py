@@ -7,9 +7,10 @@ the first ``n - ceil(s n) + 1`` of either (prefix filter), whatever the order.
 * Documents with equal sets form a class; only classes are joined.
 * Round one compares each class with the smallest class that shares a prefix n-gram (the
   pivot), so its pairs are linear in the prefixes, also within a large group of copies.
-* Round two takes pairs that share a pivot but are not connected yet.  A join condition on
-  1,024-bit parity maps, whose distance never exceeds the set difference, leaves the few
-  that can be similar.  Groups are dealt to several tasks in blocks.
+* Round two takes pairs that share a pivot but are not connected yet.  Groups are dealt to
+  several tasks in blocks.
+* In both, 1,024-bit parity maps, whose distance never exceeds the set difference, leave
+  the few pairs that can be similar; in round two they are part of the join condition.
 * Every compared pair is decided exactly: sets are cut into fragments of the order by hash
   range, partial overlaps are counted for each fragment separately and summed per pair.
 
@@ -22,10 +23,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import components, join_counted, slices
+from labelkit.llm.common import components, join_counted, key_filter, may_contain, slices
 from labelkit.llm.shingles import mix, shingle_sets
 from labelkit.session import stage_table
 
@@ -129,42 +131,62 @@ def describe(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def fragments(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``(cls, f, grams)`` of the classes in ``wanted (doc_id, cls)``: each set cut at fixed hashes."""
+    """``(cls, f, grams)``: each set cut at fixed hashes, for the documents of ``wanted (doc_id)``.
+
+    A bit map of the wanted ids goes to the texts, so that no text is shuffled.  It lets
+    some others through, which meet no pair; repeated rows give their fragments repeatedly.
+    """
+    ids = key_filter(wanted, "doc_id")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", TEXT_CHARS):
-            names, numbers, parts = [], [], []
-            for cls, grams in zip(batch.column("cls").to_pylist(), shingle_sets(batch.column("text"), k)):
-                if len(grams) and _class(grams) == cls:
-                    edges = np.searchsorted(grams, [_U(i << 61) for i in range(1, FRAGMENTS)])
-                    for f, part in enumerate(np.split(grams, edges)):
-                        names.append(cls)
+        for batch in batches:
+            keys = np.asarray(batch.column("doc_id").fill_null(0), dtype=np.int64)
+            some = batch.filter(pa.array(may_contain(ids, keys) & np.asarray(batch.column("doc_id").is_valid())))
+            for part in slices([some] if some.num_rows else [], "text", TEXT_CHARS):
+                names, numbers, pieces = [], [], []
+                for grams in shingle_sets(part.column("text"), k):
+                    edges = np.searchsorted(grams, np.array([i << 61 for i in range(1, FRAGMENTS)], dtype=np.uint64))
+                    for f, piece in enumerate(np.split(grams, edges) if len(grams) else []):
+                        names.append(_class(grams))
                         numbers.append(f)
-                        parts.append(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), _lists(parts, pa.int64())], ["cls", "f", "grams"]
-            )
+                        pieces.append(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), _lists(pieces, pa.int64())], ["cls", "f", "grams"]
+                )
 
-    rows = docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(cut, "cls long, f int, grams array<long>")
-    # a document that is there twice has given its fragments twice
-    return rows.groupBy("cls", "f").agg(F.first("grams").alias("grams"))
+    return docs.mapInArrow(cut, "cls long, f int, grams array<long>")
 
 
 def decide(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The links ``(a, b)`` among ``pairs (x, nx, y, ny)`` of classes: partial overlaps, summed."""
     ends = pairs.select(F.col("x").alias("cls")).unionByName(pairs.select(F.col("y").alias("cls"))).distinct()
-    wanted = ends.join(classes.select("cls", F.col("first_id").alias("doc_id")), "cls")
+    wanted = stage_table(ends.join(classes.select("cls", F.col("first_id").alias("doc_id")), "cls").select("doc_id"), "wanted")
     parts = stage_table(fragments(docs, wanted, k), "fragments")
     left = pairs.join(parts.select(F.col("cls").alias("x"), "f", F.col("grams").alias("grams_x")), "x")
     both = left.join(parts.select(F.col("cls").alias("y"), "f", F.col("grams").alias("grams_y")), ["y", "f"])
-    partial = both.select("x", "nx", "y", "ny", F.size(F.array_intersect("grams_x", "grams_y")).alias("part"))
+    partial = both.groupBy("x", "nx", "y", "ny", "f").agg(F.max(F.size(F.array_intersect("grams_x", "grams_y"))).alias("part"))
     overlap = partial.groupBy("x", "nx", "y", "ny").agg(F.sum("part").alias("both"))
     similar = F.col("both") * den >= (F.col("nx") + F.col("ny") - F.col("both")) * num
     return overlap.filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def _near_sizes(num: int, den: int):
-    return F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num
+def _may_be_similar(x: str, y: str, num: int, den: int) -> Column:
+    """Whether sizes ``n<x>``, ``n<y>`` and the words ``<x>0``... of the parity maps allow the similarity.
+
+    Each element that one set has and the other has not flips one bit, so the maps never
+    differ in more bits than the sets in elements.
+    """
+    nx, ny = F.col(f"n{x}"), F.col(f"n{y}")
+    apart = F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0")))
+    for i in range(1, WORDS):
+        apart = apart + F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}")))
+    return (F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (apart * (num + den) <= (nx + ny) * (den - num))
+
+
+def _side(rows: DataFrame, name: str, *keep: str) -> DataFrame:
+    """Columns ``cls``, ``n`` and ``parity`` under the names of one side of a pair."""
+    words = [F.col("parity")[i].alias(f"{name}{i}") for i in range(WORDS)]
+    return rows.select(*keep, F.col("cls").alias(name), F.col("n").alias(f"n{name}"), *words)
 
 
 def _unresolved(pairs: DataFrame, classes: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
@@ -172,29 +194,44 @@ def _unresolved(pairs: DataFrame, classes: DataFrame, groups: DataFrame, num: in
     label = classes.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").select(
         "cls", "n", "parity", F.coalesce("component", "cls").alias("component")
     )
-    members = stage_table(
-        pairs.select("y", F.col("x").alias("cls")).join(label, "cls"), "members"
-    )
+    members = stage_table(pairs.select("y", F.col("x").alias("cls")).join(label, "cls"), "members")
     open_groups = members.groupBy("y").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     open_groups = open_groups.filter("low <> high").select("y", (F.floor((F.col("size") - 1) / BLOCK) + 1).alias("blocks"))
     rows = members.join(open_groups, "y")
-    one = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks")).drop("blocks")
-    two = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
-    a = one.select("y", "block", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col("parity")[i].alias(f"a{i}") for i in range(WORDS)])
-    b = two.select("y", "block", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col("parity")[i].alias(f"b{i}") for i in range(WORDS)])
-    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, WORDS)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    may = (
-        (F.col("ca") != F.col("cb"))
-        & (F.col("a") < F.col("b"))
-        & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-        & (apart * (num + den) <= (F.col("na") + F.col("nb")) * (den - num))
-    )
-    found = a.alias("l").join(b.alias("r"), (F.col("l.y") == F.col("r.y")) & (F.col("l.block") == F.col("r.block")) & may)
+    one = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
+    two = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    a = _side(one, "a", "y", "block", F.col("component").alias("ca"))
+    b = _side(two, "b", "y", "block", F.col("component").alias("cb"))
+    open_pair = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _may_be_similar("a", "b", num, den)
+    found = a.alias("l").join(b.alias("r"), (F.col("l.y") == F.col("r.y")) & (F.col("l.block") == F.col("r.block")) & open_pair)
     return found.select(F.col("a").alias("x"), F.col("na").alias("nx"), F.col("b").alias("y"), F.col("nb").alias("ny")).distinct()
 
 
+def _shared_grams(described: DataFrame) -> DataFrame:
+    """Distinct pairs ``(x, y)`` of a class and the smallest class that shares a prefix n-gram with it."""
+    entries = described.filter("cls IS NOT NULL").select(F.explode("prefix").alias("gram"), F.col("cls").alias("x"))
+    shared = entries.groupBy("gram").agg(F.min("x").alias("y"), F.max("x").alias("last")).filter("y <> last").select("gram", "y")
+    shared = stage_table(shared, "shared")
+    grams = key_filter(shared, "gram")
+
+    def prune(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            values = np.asarray(prefix.flatten())
+            keep = may_contain(grams, values)
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(prefix)))[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(values[keep]), batch.column("cls").take(pa.array(owner))], ["gram", "x"])
+
+    kept = described.filter("cls IS NOT NULL").select("cls", "prefix").mapInArrow(prune, "gram long, x long")
+    kept = stage_table(kept.distinct(), "entries")
+    counted = stage_table(
+        shared.join(kept.groupBy("gram").agg(F.count(F.lit(1)).alias("size")), "gram"), "shared-sizes"
+    )
+    return join_counted(kept, counted, ["gram"], "size", kept.count()).filter("x <> y").select("x", "y").distinct()
+
+
 def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs``.
 
@@ -210,23 +247,13 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: s
     classes = stage_table(
         described.filter("cls IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.count(F.lit(1)).alias("copies")),
         "classes",
     )
-    entries = classes.select(F.explode("prefix").alias("gram"), F.col("cls").alias("x"))
-    shared = stage_table(
-        entries.groupBy("gram").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared"
-    )
-    total = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
-    pairs = join_counted(entries, shared, ["gram"], "size", total).filter("x <> y").select("x", "y").distinct()
-    sizes = classes.select("cls", "n")
-    pairs = stage_table(
-        pairs.join(sizes.select(F.col("cls").alias("x"), F.col("n").alias("nx")), "x").join(
-            sizes.select(F.col("cls").alias("y"), F.col("n").alias("ny")), "y"
-        ),
-        "pairs",
-    )
-    first = stage_table(decide(pairs.filter(_near_sizes(num, den)), docs, classes, k, num, den), "links")
+    pairs = stage_table(_shared_grams(described.filter("doc_id IS NOT NULL")), "pairs")
+    both = pairs.join(_side(classes, "x"), "x").join(_side(classes, "y"), "y").filter(_may_be_similar("x", "y", num, den))
+    both = stage_table(both.select("x", "nx", "y", "ny"), "first-candidates")
+    first = stage_table(decide(both, docs, classes, k, num, den), "links")
     candidates = stage_table(_unresolved(pairs, classes, components(first), num, den), "candidates")
     second = decide(candidates, docs, classes, k, num, den)
     groups = components(first.unionByName(second))
