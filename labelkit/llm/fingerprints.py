@@ -97,8 +97,9 @@ def _signed(x: Column) -> Column:
     return (F.pmod(x + (1 << 15), F.lit(1 << 16)) - (1 << 15)).cast("double")
 
 
-def with_next(docs: DataFrame, buckets: int, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next_<column>`` of the following row by ``doc_id``; the last is followed by the first.
+def with_next(docs: DataFrame, buckets: int, text: str, derived: dict[str, Column]) -> DataFrame:
+    """``docs`` with ``derived`` columns of its text, and ``next_<column>`` of the text and them for
+    the following row by ``doc_id``; the last row is followed by the first.
 
     Rows meet in ranges of ``doc_id`` that quantiles cut, so each text is shuffled once and
     no task sees more than its ranges.  The first row of a range follows the last one of
@@ -106,10 +107,11 @@ def with_next(docs: DataFrame, buckets: int, columns: list[str]) -> DataFrame:
     """
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets))) or [0.0]
     bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id")))
-    rows = docs.withColumn("__bucket", bucket).withColumn("__order", F.xxhash64(*columns))
+    columns = [text, *derived]
+    rows = docs.withColumn("__bucket", bucket).withColumn("__order", F.xxhash64(text))
     order = [F.col("doc_id").asc_nulls_first(), F.col("__order")]
     own = Window.partitionBy("__bucket").orderBy(*order)
-    led = rows.withColumns({f"next_{c}": F.lead(c).over(own) for c in columns}).withColumn("__last", F.lead("__order").over(own).isNull())
+    led = rows.withColumns(derived).withColumns({f"next_{c}": F.lead(c).over(own) for c in columns}).withColumn("__last", F.lead("__order").over(own).isNull())
     # one row per bucket, at most ``buckets`` of them
     first = rows.groupBy("__bucket").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("__order").alias("o"))).alias("f"))
     by_bucket = Window.orderBy("__bucket")
@@ -117,7 +119,7 @@ def with_next(docs: DataFrame, buckets: int, columns: list[str]) -> DataFrame:
     heads = follows.select(F.coalesce("__before", "__end").alias("__prev"), "f.id", "f.o")
     head_rows = rows.join(
         F.broadcast(heads), (F.coalesce(rows["doc_id"], F.lit(-(1 << 63))) == F.col("id")) & (rows["__order"] == F.col("o"))
-    ).dropDuplicates(["__prev"])
+    ).dropDuplicates(["__prev"]).withColumns(derived)
     heads = head_rows.select(F.col("__prev").alias("__bucket"), *[F.col(c).alias(f"__head_{c}") for c in columns])
     met = led.join(heads, "__bucket")
     out = {f"next_{c}": F.when(F.col("__last"), F.col(f"__head_{c}")).otherwise(F.col(f"next_{c}")) for c in columns}

@@ -109,7 +109,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = fingerprints.with_next(fingerprints.fingerprints(docs), buckets, ["text", "fingerprint"])
+    rows = fingerprints.with_next(docs, buckets, "text", {"vector": fingerprints.vector(F.col("text"))})
     n = F.length("text")
     part = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - part), F.left("next_text", part))
@@ -118,8 +118,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprints.written(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.written(F.col("vector")).alias("fingerprint"),
         fingerprints.written(F.col("edited_vector")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("fingerprint"), F.col("edited_vector")).alias("near_edited"),
-        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        fingerprints.likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
+        fingerprints.likeness(F.col("vector"), F.col("next_vector")).alias("near_next"),
     )
