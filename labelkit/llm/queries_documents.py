@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import fingerprints, language, licenses, line_dedup, ngram_join, packing, personal_data
+from labelkit.llm import fingerprints, language, licenses, line_dedup, ngram_join, packing, personal_data, pieces
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 @query("op1_best_fit_packing")
@@ -123,3 +124,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
         fingerprints.likeness(F.col("vector"), F.col("next_vector")).alias("near_next"),
     )
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, as a checksum of its ids in decimal, and whether they decode to the text."""
+    model = pieces.PieceModel.load(public_tokenizers.path(PIECES))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.withColumn("ids", pieces.encode(model, F.col("text")))
+    rows = rows.withColumn("decoded", pieces.decode(model, F.col("ids")))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.crc32(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")).alias("ids_crc32"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
