@@ -62,7 +62,7 @@ class DoubleArray:
                 free += 1
             begin, at = max(free, codes[0] + 1), -1
             while at < 0:
-                if begin + 4096 + 512 >= size:
+                while begin + 4096 + 512 >= size:
                     size *= 2
                     base, check, value = np.append(base, base * 0), np.append(check, check * 0 - 1), np.append(value, value * 0 - 1)
                 spots = begin + np.flatnonzero(check[begin : begin + 4096] < 0)
