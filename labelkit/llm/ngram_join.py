@@ -9,8 +9,9 @@ the first ``n - ceil(s n) + 1`` of either (prefix filter), whatever the order.
   pivot), so its pairs are linear in the prefixes, also within a large group of copies.
 * Round two takes pairs that share a pivot but are not connected yet.  Groups are dealt to
   several tasks in blocks.
-* In both, 1,024-bit parity maps, whose distance never exceeds the set difference, leave
-  the few pairs that can be similar; in round two they are part of the join condition.
+* In both, parity maps, whose distance never exceeds the set difference, leave the few
+  pairs that can be similar.  Maps of 1,024 bits are part of the join condition of round
+  two; larger sets have longer maps besides.
 * Every compared pair is decided exactly: sets are cut into fragments of the order by hash
   range, partial overlaps are counted for each fragment separately and summed per pair.
 
@@ -94,11 +95,16 @@ def _class(grams: np.ndarray) -> int:
     return int(value.view(np.int64)[0])
 
 
-def _parity(grams: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((grams & _U(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1).astype(np.uint8)
+def _parity(grams: np.ndarray, words: int = WORDS) -> np.ndarray:
+    odd = (np.bincount((grams & _U(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def _wide_parity(grams: np.ndarray) -> np.ndarray:
+    """A map of two to four bits per n-gram for a set that ``WORDS`` cannot tell apart, else nothing."""
+    return _parity(grams, 1 << int(np.ceil(np.log2(len(grams) / 32)))) if len(grams) > 64 * WORDS else np.zeros(0, dtype=np.int64)
+
+
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.zeros(0, dtype=np.int64)
@@ -122,12 +128,13 @@ def describe(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
                     _lists([_parity(s) for s in sets], pa.int64()),
+                    _lists([_wide_parity(s) for s in sets], pa.int64()),
                     _lists(prefixes, pa.int64()),
                 ],
-                ["doc_id", "n", "cls", "parity", "prefix"],
+                ["doc_id", "n", "cls", "parity", "wide", "prefix"],
             )
 
-    return docs.mapInArrow(one, "doc_id long, n long, cls long, parity array<long>, prefix array<long>")
+    return docs.mapInArrow(one, "doc_id long, n long, cls long, parity array<long>, wide array<long>, prefix array<long>")
 
 
 def fragments(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -183,6 +190,27 @@ def _may_be_similar(x: str, y: str, num: int, den: int) -> Column:
     return (F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (apart * (num + den) <= (nx + ny) * (den - num))
 
 
+def _wide_allow(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The ``pairs (x, nx, y, ny)`` whose wide maps, where both have one, allow the similarity.
+
+    Sets this similar differ in size by less than a factor of two, so one map is at most
+    twice as long as the other; its halves are then laid on each other.
+    """
+    x = classes.select(F.col("cls").alias("x"), F.col("wide").alias("wx"))
+    y = classes.select(F.col("cls").alias("y"), F.col("wide").alias("wy"))
+
+    def folded(a: Column, b: Column) -> Column:
+        half = (F.size(a) / 2).cast("int")
+        both = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(a) > F.size(b), both).otherwise(a)
+
+    bits = F.zip_with(folded(F.col("wx"), F.col("wy")), folded(F.col("wy"), F.col("wx")), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(bits, F.lit(0), lambda s, b: s + F.coalesce(b, F.lit(0)))
+    small = (F.size("wx") == 0) | (F.size("wy") == 0)
+    may = small | (apart * (num + den) <= (F.col("nx") + F.col("ny")) * (den - num))
+    return pairs.join(x, "x").join(y, "y").filter(may).select("x", "nx", "y", "ny")
+
+
 def _side(rows: DataFrame, name: str, *keep: str) -> DataFrame:
     """Columns ``cls``, ``n`` and ``parity`` under the names of one side of a pair."""
     words = [F.col("parity")[i].alias(f"{name}{i}") for i in range(WORDS)]
@@ -247,14 +275,16 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: s
     classes = stage_table(
         described.filter("cls IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("wide").alias("wide"), F.count(F.lit(1)).alias("copies")),
         "classes",
     )
     pairs = stage_table(_shared_grams(described.filter("doc_id IS NOT NULL")), "pairs")
     both = pairs.join(_side(classes, "x"), "x").join(_side(classes, "y"), "y").filter(_may_be_similar("x", "y", num, den))
-    both = stage_table(both.select("x", "nx", "y", "ny"), "first-candidates")
+    both = _wide_allow(both.select("x", "nx", "y", "ny"), classes, num, den)
+    both = stage_table(both, "first-candidates")
     first = stage_table(decide(both, docs, classes, k, num, den), "links")
-    candidates = stage_table(_unresolved(pairs, classes, components(first), num, den), "candidates")
+    candidates = _unresolved(pairs, classes, components(first), num, den)
+    candidates = stage_table(_wide_allow(candidates, classes, num, den), "candidates")
     second = decide(candidates, docs, classes, k, num, den)
     groups = components(first.unionByName(second))
     named = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import fingerprints, language, licenses, line_dedup, ngram_join, packing, personal_data, pieces
+from labelkit.llm import fingerprints, language, language_model, licenses, line_dedup, ngram_join, packing, personal_data, pieces
 from labelkit.llm.common import table
 from labelkit.llm.registry import query
 
@@ -139,3 +139,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")).alias("ids_crc32"),
         (F.col("decoded") == F.col("text")).alias("round_trip"),
     )
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, ~held_out(10), public_tokenizers.path(WORD_TOKENIZER))
+    return scored.withColumn("held_out", held_out(10))
