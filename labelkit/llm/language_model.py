@@ -1,8 +1,9 @@
 """Language-model scores: causal self-attention over subword classes, mixed with word counts.
 
-Frequent subword ids are classes of their own, the others share classes by frequency.  One
-attention layer, trained in numpy, predicts the class of the next subword from a window of
-those before it; the id within the class has its frequency.  A text is cut into windows that
+Subword ids are dealt by frequency to clusters of equal size; the rarest share the last
+place of a cluster and have their frequency there.  One attention layer, trained in numpy,
+predicts the cluster of the next subword from a window of those before it, and then the
+place within that cluster.  A text is cut into windows that
 overlap by half, so each subword is scored once, with at least half a window before it where
 the text has that much.  The subwords of a word give its probability, which is mixed with
 the word's share among all training words, counted over the whole corpus.
@@ -26,7 +27,8 @@ from labelkit.llm.packing import word_cache
 from labelkit.llm.shingles import word_hashes
 from labelkit.session import stage_table
 
-CLASSES, SINGLE = 128, 112
+CLUSTERS, PLACES = 64, 32
+NONE = CLUSTERS * PLACES  # what stands before a text
 WIDTH, WINDOW = 16, 32
 HALF = WINDOW // 2
 END = np.uint64(0xE0D)  # stands for the end of a text among the hashes of words
@@ -73,26 +75,26 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 @dataclass
 class Attention:
-    """Weights of the layer, the class of each subword id and its log share of the class."""
+    """Weights of the layer, the slot (cluster and place) of each subword id and its log share of the slot."""
 
     weights: dict[str, np.ndarray]
-    class_of: np.ndarray
+    slot_of: np.ndarray
     within: np.ndarray
     share: float = 0.5  # of the attention model in the mixture
 
-    def windows(self, classes: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Inputs and targets: class ``CLASSES`` begins a text and fills what lies before it; -1 is no target."""
+    def windows(self, slots: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and targets: ``NONE`` begins a text and fills what lies before it; -1 is no target."""
         blocks = -(-per_text // HALF)
         length = blocks * HALF + HALF
         begin = np.cumsum(length) - length
-        line = np.full(int(length.sum()), CLASSES, dtype=np.int64)
+        line = np.full(int(length.sum()), NONE, dtype=np.int64)
         target = np.full(int(length.sum()), -1, dtype=np.int64)
         spots = ragged(begin + HALF, per_text)
-        target[spots] = classes
+        target[spots] = slots
         # an input is the subword before its target
-        later = np.ones(len(classes), dtype=bool)
+        later = np.ones(len(slots), dtype=bool)
         later[(np.cumsum(per_text) - per_text)[per_text > 0]] = False
-        line[spots[later]] = classes[:-1][later[1:]] if len(classes) > 1 else classes[:0]
+        line[spots[later]] = slots[:-1][later[1:]] if len(slots) > 1 else slots[:0]
         first = ragged(begin // HALF, blocks) * HALF
         return line[first[:, None] + np.arange(WINDOW)], target[first[:, None] + np.arange(HALF, WINDOW)]
 
@@ -105,48 +107,62 @@ class Attention:
         scores /= scores.sum(axis=2, keepdims=True)
         mixed = scores @ v
         hidden = x[:, HALF:] + mixed @ w["o"]
-        logits = hidden @ w["out"] + w["bias"]
-        return {"x": x, "q": q, "k": k, "v": v, "attend": scores, "mixed": mixed, "hidden": hidden, "logits": logits}
+        return {"x": x, "q": q, "k": k, "v": v, "attend": scores, "mixed": mixed, "hidden": hidden}
 
     def log_probs(self, ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each id, all texts in batches of windows."""
-        classes = self.class_of[ids]
-        inputs, targets = self.windows(classes, per_text)
+        inputs, targets = self.windows(self.slot_of[ids], per_text)
         out = np.empty(len(ids), dtype=np.float64)
         done = 0
         for lo in range(0, len(inputs), 2048):
-            logits = self.forward(inputs[lo : lo + 2048], self.weights)["logits"].reshape(-1, CLASSES)
             goal = targets[lo : lo + 2048].ravel()
             used = np.flatnonzero(goal >= 0)
-            picked = logits[used, goal[used]]
-            top = logits.max(axis=1, keepdims=True)
-            logits -= top
-            np.exp(logits, out=logits)
-            out[done : done + len(used)] = picked - top[used, 0] - np.log(logits.sum(axis=1)[used])
+            hidden = self.forward(inputs[lo : lo + 2048], self.weights)["hidden"].reshape(-1, WIDTH)[used]
+            out[done : done + len(used)] = self._slot_log_probs(hidden, goal[used])
             done += len(used)
         return out + self.within[ids]
 
+    def _slot_log_probs(self, hidden: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        w = self.weights
+        cluster, place = slots // PLACES, slots % PLACES
+        out = _log_softmax_at(hidden @ w["out"] + w["bias"], cluster)
+        # the rows of a cluster together, so that each needs the places of its own cluster only
+        order = np.argsort(cluster, kind="stable")
+        edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
+        for c in range(CLUSTERS):
+            rows = order[edges[c] : edges[c + 1]]
+            if len(rows):
+                out[rows] += _log_softmax_at(hidden[rows] @ w["inner"][c] + w["inner_bias"][c], place[rows])
+        return out
+
+
+def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    picked = logits[np.arange(len(at)), at]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(axis=1))
+
 
 MASK = np.where(np.arange(WINDOW)[None, :] > np.arange(HALF, WINDOW)[:, None], np.float32(-1e9), np.float32(0))
 
 
-def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 250, batch: int = 256, seed: int = 5) -> Attention:
+def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 500, batch: int = 256, seed: int = 5) -> Attention:
     """Adam on the windows of the sampled texts, with the gradient of the one layer written out."""
     rng = np.random.default_rng(seed)
     count = np.bincount(ids, minlength=n_ids) + 0.1
-    order = np.argsort(-count, kind="stable")
-    class_of = np.empty(n_ids, dtype=np.int64)
-    class_of[order[:SINGLE]] = np.arange(SINGLE)
-    rest = order[SINGLE:]
-    mass = np.cumsum(count[rest]) / count[rest].sum()
-    class_of[rest] = SINGLE + np.minimum((mass * (CLASSES - SINGLE)).astype(np.int64), CLASSES - SINGLE - 1)
-    within = np.log(count / np.bincount(class_of, weights=count, minlength=CLASSES)[class_of])
-    shapes = {"embed": (CLASSES + 1, WIDTH), "place": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "out": (WIDTH, CLASSES)}
+    rank = np.empty(n_ids, dtype=np.int64)
+    rank[np.argsort(-count, kind="stable")] = np.arange(n_ids)
+    slot_of = rank % CLUSTERS * PLACES + np.minimum(rank // CLUSTERS, PLACES - 1)
+    mass = np.bincount(slot_of, weights=count, minlength=NONE)
+    within = np.log(count / mass[slot_of])
+    shapes = {"embed": (NONE + 1, WIDTH), "place": (WINDOW, WIDTH), "out": (WIDTH, CLUSTERS), "inner": (CLUSTERS, WIDTH, PLACES)}
+    shapes |= {name: (WIDTH, WIDTH) for name in "qkvo"}
     w = {name: (rng.standard_normal(s) * 0.2).astype(np.float32) for name, s in shapes.items()}
-    share = np.bincount(class_of[ids], minlength=CLASSES) + 1.0
-    w["bias"] = np.log(share / share.sum()).astype(np.float32)
-    model = Attention(w, class_of, within)
-    inputs, targets = model.windows(class_of[ids], per_text)
+    by_cluster = (mass + 1e-3).reshape(CLUSTERS, PLACES)
+    w["bias"] = np.log(by_cluster.sum(axis=1) / by_cluster.sum()).astype(np.float32)
+    w["inner_bias"] = np.log(by_cluster / by_cluster.sum(axis=1, keepdims=True)).astype(np.float32)
+    model = Attention(w, slot_of, within)
+    inputs, targets = model.windows(slot_of[ids], per_text)
     m, v2 = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     for step in range(1, steps + 1 if len(inputs) else 1):
         some = rng.integers(0, len(inputs), batch)
@@ -159,18 +175,34 @@ def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 250, b
     return model
 
 
+def _softmax_error(logits: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(goal)), goal] -= 1
+    return (p / len(goal)).astype(np.float32)
+
+
 def _gradients(model: Attention, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     w = model.weights
     f = model.forward(inputs, w)
-    logits = f["logits"] - f["logits"].max(axis=2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=2, keepdims=True)
-    used = targets >= 0
-    p[np.nonzero(used) + (targets[used],)] -= 1
-    p *= used[:, :, None] / max(1, used.sum())
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    out = {"out": flat(f["hidden"]).T @ flat(p), "bias": p.sum(axis=(0, 1))}
-    d_hidden = p @ w["out"].T
+    goal = targets.ravel()
+    used = np.flatnonzero(goal >= 0)
+    cluster, place = goal[used] // PLACES, goal[used] % PLACES
+    hidden = flat(f["hidden"])[used]
+    error = _softmax_error(hidden @ w["out"] + w["bias"], cluster)
+    out = {"out": hidden.T @ error, "bias": error.sum(axis=0)}
+    d_used = error @ w["out"].T
+    out["inner"], out["inner_bias"] = np.zeros_like(w["inner"]), np.zeros_like(w["inner_bias"])
+    for c in np.unique(cluster):
+        rows = np.flatnonzero(cluster == c)
+        # an error counts by its share of all targets, like those of the clusters
+        inner = _softmax_error(hidden[rows] @ w["inner"][c] + w["inner_bias"][c], place[rows]) * np.float32(len(rows) / len(used))
+        out["inner"][c], out["inner_bias"][c] = hidden[rows].T @ inner, inner.sum(axis=0)
+        d_used[rows] += inner @ w["inner"][c].T
+    d_hidden = np.zeros((len(goal), WIDTH), dtype=np.float32)
+    d_hidden[used] = d_used
+    d_hidden = d_hidden.reshape(f["hidden"].shape)
     out["o"] = flat(f["mixed"]).T @ flat(d_hidden)
     d_mixed = d_hidden @ w["o"].T
     d_attend = d_mixed @ f["v"].transpose(0, 2, 1)
