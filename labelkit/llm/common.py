@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from labelkit.session import stage_table
 
 #: Characters per slice of an Arrow batch, so that one batch of long texts stays small in Python.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,7 @@ class WordCache:
     each other.  The cache is emptied when full, so it needs bounded memory on any input.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_100_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 690_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

@@ -19,8 +19,8 @@ from labelkit.llm.common import bind
 
 LONGS = 32  # four lanes each
 ONES = 0x0001_0001_0001_0001
-LOW = 0x7FFF_7FFF_7FFF_7FFF
-HIGH = -0x7FFF_7FFF_7FFF_8000  # the bits that LOW lacks, as a signed number
+EVEN = 0x0000_FFFF_0000_FFFF
+CHUNK = 32_000  # paragraphs whose plain sum stays within every lane
 #: Lines, and within a line what ends with a mark: prose is compared by sentences.
 PARAGRAPH = r"\n+|(?<=[.!?|#$%&*])[ \t]+"
 
@@ -31,7 +31,12 @@ def paragraphs(text: Column) -> Column:
 
 def lane_add(a: Column, b: Column) -> Column:
     """Lane-wise sum modulo 2^16 of two numbers of four lanes."""
-    return ((a.bitwiseAND(F.lit(LOW)) + b.bitwiseAND(F.lit(LOW))).bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(F.lit(HIGH))))
+
+    def part(x: Column, y: Column) -> Column:
+        return (x.bitwiseAND(F.lit(EVEN)) + y.bitwiseAND(F.lit(EVEN))).bitwiseAND(F.lit(EVEN))
+
+    odd = part(F.shiftrightunsigned(a, 16), F.shiftrightunsigned(b, 16))
+    return part(a, b).bitwiseOR(F.shiftleft(odd, 16))
 
 
 def lane_negate(a: Column) -> Column:
@@ -45,15 +50,15 @@ def vector(text: Column) -> Column:
     def of(parts: Column) -> Column:
         both = [F.transform(parts, lambda p: F.xxhash64(p)), F.transform(parts, lambda p: F.xxhash64(F.lit("second"), p))]
 
+        zero = F.lit(0).cast("long")
+
         def add(hashes: Column, shift: int) -> Column:
-            # the sum of the low 15 bits of each lane cannot reach the next lane
-            return F.aggregate(
-                hashes,
-                F.lit(0).cast("long"),
-                lambda acc, h: (acc.bitwiseAND(F.lit(LOW)) + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(ONES))).bitwiseXOR(
-                    acc.bitwiseAND(F.lit(HIGH))
-                ),
-            )
+            def plain(c: Column) -> Column:
+                own = F.slice(hashes, c * CHUNK + 1, F.lit(CHUNK))
+                return F.aggregate(own, zero, lambda acc, h: acc + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(ONES)))
+
+            chunks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(hashes) - 1, F.lit(0)) / CHUNK).cast("int")), plain)
+            return F.aggregate(chunks, zero, lane_add)
 
         lanes = [bind(h, lambda h: F.array(*[add(h, s) for s in range(16)])) for h in both]
         return F.concat(F.array(F.size(parts).cast("long")), *lanes)

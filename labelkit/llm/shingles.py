@@ -70,7 +70,7 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     total = np.full(n, _U(k))
     for j in range(k):
         nxt = np.zeros(n, dtype=np.uint64)
-        nxt[: n - j] = words[j:] if j else words
+        nxt[: max(0, n - j)] = words[j:]
         total = total * STEP + np.where(left > j, nxt, _U(j + 1))
     first = np.arange(n) == (ends - counts)[owner]
     keep = (left >= k) | ((counts[owner] < k) & first)
