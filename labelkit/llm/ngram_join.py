@@ -36,7 +36,7 @@ SKETCH_BITS, SKETCH_PARTS = 20, 64
 FRAGMENTS = 8
 WORDS = 16  # 64-bit words of a parity map
 BLOCK = 1024  # members of a pivot's group per task
-TEXT_CHARS = 2_000_000
+TEXT_CHARS = 1_000_000
 
 _U = np.uint64
 
