@@ -85,12 +85,12 @@ def sequence_confidence(steps: DataFrame, logits: str = "logits", key: str = "ex
 
 
 def rank_by_confidence(df: DataFrame, ascending: bool = True, score: str = "score", key: str = "example_id") -> DataFrame:
-    """``(key, score, rank)``, least confident first or last; ties by key."""
-    narrow = stage_table(df.select(key, score), "scores")
+    """``(key, score, rank)``, least confident first or last; ties by key, NULL scores last either way."""
+    narrow = stage_table(df.select(key, score), "scores").withColumn("_unknown", F.col(score).isNull())
     if ascending:
-        return ordered_rank(narrow, [score, key])
+        return ordered_rank(narrow, ["_unknown", score, key]).drop("_unknown")
     flipped = narrow.withColumn("_flipped", -F.col(score))
-    return ordered_rank(flipped, ["_flipped", key]).drop("_flipped")
+    return ordered_rank(flipped, ["_unknown", "_flipped", key]).drop("_unknown", "_flipped")
 
 
 def least_confident(

@@ -51,13 +51,21 @@ def predict_scores(
 ) -> DataFrame:
     """``(key, step, logits)``: scores of every generation step, keyed by example and step.
 
-    ``load()`` maps n texts to an ``n x (steps * classes)`` array, step after step.
+    ``load()`` maps n texts to an ``n x (steps * classes)`` array, step after step; an
+    array of another length ends the job with an error.
     """
     model = predict_batch_udf(load, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
+    wrong = F.lit(f"a model must give {steps * classes} scores per text")
+
+    def cut(step: Column) -> Column:
+        return F.slice("_flat", step * classes + 1, F.lit(classes))
+
     return (
         df.select(key, model(F.coalesce(F.col(text), F.lit(""))).alias("_flat"))
-        .select(key, "_flat", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
-        .select(key, "step", F.slice("_flat", F.col("step") * classes + 1, classes).alias("logits"))
+        .select(key, F.when(F.size("_flat") == steps * classes, F.col("_flat")).otherwise(F.raise_error(wrong)).alias("_flat"))
+        # the slices first: exploding would copy the whole array for every step
+        .select(key, F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), cut).alias("_steps"))
+        .select(key, F.posexplode("_steps").alias("step", "logits"))
     )
 
 

@@ -29,8 +29,13 @@ def trial_summary(results: DataFrame) -> DataFrame:
 
 
 def regression_scores(predictions: DataFrame) -> DataFrame:
-    """MSE and R² of ordinal labels; R² is NULL when the truth is constant."""
-    y, p = F.col("ground_truth").cast("double"), F.col("predicted").cast("double")
+    """MSE and R² over the pairs in which both labels are numbers.
+
+    Model text that is no number is left out of both; R² is NULL when the truth is constant.
+    """
+    y, p = F.expr("try_cast(ground_truth AS DOUBLE)"), F.expr("try_cast(predicted AS DOUBLE)")
+    both = y.isNotNull() & p.isNotNull()
+    y, p = F.when(both, y), F.when(both, p)
     sums = predictions.agg(
         F.avg((p - y) * (p - y)).alias("mse"),
         F.sum((y - p) * (y - p)).alias("_residual"),
@@ -41,21 +46,27 @@ def regression_scores(predictions: DataFrame) -> DataFrame:
 
 
 def cross_entropy(scores: DataFrame, logits: str = "logits", target: str = "target", by: Sequence[str] = ()) -> DataFrame:
-    """Mean of ``-log p(target)`` over the positions whose target is not ignored."""
+    """Mean of ``-log p(target)`` over the positions whose target is neither ignored nor NULL.
+
+    A target outside of the scores has no loss and is not counted as a position.
+    """
     z = F.col(logits)
     loss = S.log_sum_exp(z) - F.get(z, F.col(target))
     return (
         scores.filter(F.col(target) != IGNORE_ID)
         .groupBy(*by)
-        .agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("n_positions"))
+        .agg(F.avg(loss).alias("loss"), F.count(loss).alias("n_positions"))
     )
 
 
 def best_checkpoint(log: DataFrame, monitor: str = "val_loss") -> DataFrame:
-    """Per run the step with the lowest monitored value, the earliest one on a tie."""
+    """Per run the step with the lowest monitored value, the earliest one on a tie.
+
+    Checks without a number (NULL or NaN) cannot be the best; a run of such checks only is left out.
+    """
     best = F.min(F.struct("value", "step"))
     return (
-        log.filter(F.col("metric") == monitor)
+        log.filter((F.col("metric") == monitor) & F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("run_id")
         .agg(best.alias("_best"))
         .select("run_id", F.col("_best.step").alias("step"), F.col("_best.value").alias("value"))

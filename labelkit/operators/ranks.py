@@ -116,6 +116,15 @@ def at_or_before(order: Column, key: Column, cut: tuple | Column | None) -> Colu
     return (order < F.lit(cut[0])) | ((order == F.lit(cut[0])) & (key <= F.lit(cut[1])))
 
 
+def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of equal names under which NULL equals NULL."""
+    there = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(there, same).drop(*[f"_right_{c}" for c in on])
+
+
 def hashed_rank(df: DataFrame, key: str, order: Column, groups: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Dense 1-based rank by ``(order, key)`` within ``groups``; ``order`` is an md5 key.
 
@@ -129,7 +138,7 @@ def hashed_rank(df: DataFrame, key: str, order: Column, groups: Sequence[str] =
         sizes = F.broadcast(sizes)
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_order", key)
     return (
-        rows.join(sizes, [*groups, "_bucket"])
+        join_groups(rows, sizes, [*groups, "_bucket"])
         .withColumn(name, F.col("_before") + F.row_number().over(inside))
         .select(*df.columns, name)
     )
@@ -164,7 +173,7 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
         offsets, n_offsets = sized_table(offsets, "offsets")
     if n_offsets <= OFFSETS_LIMIT:
         offsets = F.broadcast(offsets)
-    return placed.join(offsets, [*groups, "_part"]).select(
+    return join_groups(placed, offsets, [*groups, "_part"]).select(
         *df.columns, (F.col("_place") + F.col("_shift")).alias(name)
     )
 

@@ -50,7 +50,7 @@ def prediction_table(
 
 
 def minus_keys(df: DataFrame, other: DataFrame, key: str = "example_id") -> DataFrame:
-    """Rows of ``df`` whose key is not in ``other``; only the key of ``other`` is shuffled."""
+    """Rows of ``df`` whose key is not in ``other``, of which only the key is read; both sides are shuffled unless it is small."""
     return df.join(other.select(key), key, "left_anti")
 
 

@@ -122,24 +122,25 @@ def pseudo_split(df: DataFrame, spec: SplitSpec, k: int, key: str = "example_id"
 def source_pool(
     df: DataFrame,
     spec: SplitSpec,
-    example_threshold: int = 10_000,
-    val_trigger: int = 15_000,
-    val_cap: int = 45_000,
+    example_threshold: int | None = None,
+    val_trigger: int = 0,
+    val_cap: int | None = None,
     key: str = "example_id",
 ) -> DataFrame:
-    """Training pool of source tasks: val and train only, both limited in size.
+    """Training pool of source tasks: val and train only, limited in size if asked for.
 
-    A validation set of ``val_trigger`` rows or more is limited to ``val_cap``; training
-    rows are limited to ``example_threshold``, joined with the test rows, and the union
-    is limited to ``example_threshold`` again.
+    With ``val_cap``, a validation set of ``val_trigger`` rows or more is limited to it.
+    With ``example_threshold``, training rows are limited to it, joined with the test rows,
+    and the union is limited to it again.  By default every row is used.
     """
 
     def capped_val(n: Column) -> Column:
         v = spec.n_val(n)
-        return F.when(v >= val_trigger, F.least(v, F.lit(val_cap))).otherwise(v)
+        return v if val_cap is None else F.when(v >= val_trigger, F.least(v, F.lit(val_cap))).otherwise(v)
 
     def capped_train(n: Column) -> Column:
-        return F.least(spec.n_kept(n) - spec.n_val(n), F.lit(example_threshold))
+        rest = spec.n_kept(n) - spec.n_val(n)
+        return rest if example_threshold is None else F.least(rest, F.lit(example_threshold))
 
     def through_val(n: Column) -> Column:
         return spec.n_test(n) + spec.n_val(n)
@@ -157,6 +158,8 @@ def source_pool(
         ],
         ["train", "val", None, "train"],
     )
+    if example_threshold is None:
+        return staged
     order = order_key(spec.seed, "pool", F.col(key))
     pool = staged.filter(F.col("split") == "train")
     (limit,) = cut_point(pool, key, order, [lambda n: F.lit(example_threshold)])

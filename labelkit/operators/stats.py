@@ -47,9 +47,12 @@ def split_sizes(splits: DataFrame, batch_size: int) -> DataFrame:
 
 
 def epoch_loss(log: DataFrame, weight: str | None = None) -> DataFrame:
-    """Step values averaged per run, epoch and metric, weighted by batch size if given."""
-    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    """Step values averaged per run, epoch and metric, weighted by batch size if given.
+
+    A step without a value counts in ``n_steps`` but has no weight; the mean is NULL if no weight is left.
+    """
+    w = F.when(F.col("value").isNotNull(), F.lit(1.0) if weight is None else F.col(weight).cast("double"))
     return log.groupBy("run_id", "epoch", "metric").agg(
-        (F.sum(F.col("value") * w) / F.sum(w)).alias("mean_value"),
+        F.try_divide(F.sum(F.col("value") * w), F.sum(w)).alias("mean_value"),
         F.count(F.lit(1)).alias("n_steps"),
     )

@@ -41,7 +41,7 @@ def transfer_experiment(
     source: SplitSpec,
     target: SplitSpec,
     labeled: int,
-    example_threshold: int = 10_000,
+    example_threshold: int | None = None,
     key: str = "example_id",
     **options,
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.operators.ranks import ordered_rank
+from labelkit.operators.ranks import join_groups, ordered_rank
 from labelkit.operators.relations import union_examples
 
 EXAMPLE_SCHEMA = T.StructType(
@@ -31,6 +31,7 @@ CSV_OPTIONS = {
     "nullValue": "\\N",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "mode": "FAILFAST",
 }
 
 FILE_ROWS_LIMIT = 100_000
@@ -84,11 +85,15 @@ def read_raters(spark: SparkSession, path: str, raters: Sequence[str], multi_lin
 
     Each JSON document has one object of parallel lists per rater.  Documents are read
     one per line, or one per file with ``multi_line``.  All raters come out of one scan.
+    A broken document, or lists of unequal length, end the job with an error.
     """
-    documents = spark.read.schema(rater_schema(raters)).json(path, multiLine=multi_line)
+    documents = spark.read.schema(rater_schema(raters)).json(path, multiLine=multi_line, mode="FAILFAST")
     lists = F.array(*[F.struct(F.lit(r).alias("rater"), F.col(f"`{r}`").alias("lists")) for r in raters])
     per_rater = documents.select(F.explode(lists).alias("_r")).select("_r.rater", "_r.lists.*")
-    rows = F.arrays_zip("index", "predicted", "ground_truth")
+    sizes = [F.size(c) for c in ("index", "predicted", "ground_truth")]
+    equal = (sizes[0] == sizes[1]) & (sizes[1] == sizes[2])
+    zipped = F.arrays_zip("index", "predicted", "ground_truth")
+    rows = F.when(equal, zipped).otherwise(F.raise_error(F.concat(F.lit("lists of unequal length for rater "), "rater")))
     return per_rater.select("rater", F.explode(rows).alias("_row")).select(
         "rater", F.col("_row.index").alias("example_id"), "_row.predicted", "_row.ground_truth"
     )
@@ -100,7 +105,7 @@ def with_row_key(df: DataFrame, order: Sequence[str], name: str = "example_id")
     Only the order columns are ranked; other columns are joined back by them.
     """
     keyed = ordered_rank(df.select(*order), order, name="_rank").select(*order, (F.col("_rank") - 1).alias(name))
-    return keyed if set(df.columns) == set(order) else df.join(keyed, list(order))
+    return keyed if set(df.columns) == set(order) else join_groups(df, keyed, list(order))
 
 
 def read_with_row_key(spark: SparkSession, path: str, name: str = "example_id") -> DataFrame:
