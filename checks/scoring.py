@@ -14,7 +14,6 @@ from labelkit.operators import metrics as M
 from labelkit.operators import votes as W
 from labelkit.operators.relations import prediction_table
 
-FIVE = range(5)
 EXPS = "list_transform(logits, lambda z: exp(z - list_max(logits)))"
 
 
@@ -24,15 +23,16 @@ def _scored(spark, sf_dir):
 
 def _judged(spark, sf_dir):
     best = C.best_label(V.logits(spark, sf_dir), V.ID2LABEL, keep=["target"])
-    return prediction_table(best.withColumn("truth", F.col("target") + 1), "label", "truth")
+    labels = F.create_map(*[F.lit(x) for pair in V.ID2LABEL.items() for x in pair])
+    return prediction_table(best.withColumn("truth", F.element_at(labels, F.col("target"))), "label", "truth")
 
 
 @query("softmax", with_views(
-    f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{i}' for i in FIVE)} FROM x",
+    f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{i}' for i in range(64))} FROM x",
     "logits", x=f"SELECT example_id, {EXPS} AS e FROM logits"))
 def softmax(spark, sf_dir):
     p = V.logits(spark, sf_dir).select("example_id", scores.softmax(F.col("logits")).alias("p"))
-    return tidy(p.select("example_id", *[F.get("p", F.lit(i)).alias(f"p_{i}") for i in FIVE]))
+    return tidy(p.select("example_id", *[F.get("p", F.lit(i)).alias(f"p_{i}") for i in range(64)]))
 
 
 @query("best_label", with_views(
@@ -42,15 +42,15 @@ def best_label(spark, sf_dir):
 
 
 @query("label_probabilities", with_views(
-    f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{i + 1}' for i in FIVE)} FROM x",
+    f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{label}' for label, i in V.LABEL2ID.items())} FROM x",
     "logits", x=f"SELECT example_id, {EXPS} AS e FROM logits"))
 def label_probabilities(spark, sf_dir):
     return tidy(C.label_probabilities(V.logits(spark, sf_dir), V.LABEL2ID))
 
 
 @query("map_tokens", with_views(
-    """SELECT example_id, CAST(token AS BIGINT) AS token, CASE WHEN token < 4 THEN CAST(token + 1 AS VARCHAR) END AS label,
-              CASE WHEN token < 4 THEN 0::BIGINT ELSE 1::BIGINT END AS unknown_token
+    """SELECT example_id, CAST(token AS BIGINT) AS token, CASE WHEN label <> '5' THEN label END AS label,
+              CASE WHEN label <> '5' THEN 0::BIGINT ELSE 1::BIGINT END AS unknown_token
        FROM confidence""", "confidence"))
 def map_tokens(spark, sf_dir):
     known = {i: label for i, label in V.ID2LABEL.items() if label != "5"}
@@ -66,11 +66,11 @@ def sequence_confidence(spark, sf_dir):
 
 
 @query("first_step_scores", with_views(
-    f"SELECT example_id, {', '.join(f'round(logits[{i + 1}], 6) AS z_{i}' for i in FIVE)} FROM step_logits WHERE step = 0",
+    f"SELECT example_id, {', '.join(f'round(logits[{i + 1}], 6) AS z_{i}' for i in range(64))} FROM step_logits WHERE step = 0",
     "step_logits"))
 def first_step_scores(spark, sf_dir):
     first = C.first_step_scores(V.step_logits(spark, sf_dir))
-    return tidy(first.select("example_id", *[F.get("logits", F.lit(i)).alias(f"z_{i}") for i in FIVE]))
+    return tidy(first.select("example_id", *[F.get("logits", F.lit(i)).alias(f"z_{i}") for i in range(64)]))
 
 
 @query("confidence_rank", with_views(

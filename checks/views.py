@@ -9,8 +9,9 @@ from labelkit.functions.keys import hash_int
 from labelkit.operators.ranks import ordered_rank
 
 # Class position of each ordinal label in the score arrays.
-LABEL2ID = {"1": 0, "2": 1, "3": 2, "4": 3, "5": 4}
+LABEL2ID = {"1": 3, "2": 17, "3": 29, "4": 41, "5": 60}
 ID2LABEL = {i: label for label, i in LABEL2ID.items()}
+LABEL_SQL = "CASE {} " + " ".join(f"WHEN {i} THEN '{label}'" for i, label in ID2LABEL.items()) + " END"
 
 RATERS = ["model", "a", "b"]
 
@@ -87,8 +88,8 @@ def digit_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("example_id"),
-        F.transform(F.slice("embedding", 1, 5), lambda z: z.cast("double") * 20).alias("logits"),
-        (F.col("label") % 5).alias("target"),
+        F.transform("embedding", lambda z: z.cast("double") * 40).alias("logits"),
+        F.element_at(F.array(*map(F.lit, LABEL2ID.values())), F.col("label") % 5 + 1).alias("target"),
     )
 
 
@@ -140,8 +141,8 @@ SQL = {
                ts AS "order", CAST(1 + user_id % 5 AS VARCHAR) AS ground_truth
         FROM events""",
     "logits": """
-        SELECT vec_id AS example_id, list_transform(embedding[1:5], lambda z: CAST(z AS DOUBLE) * 20) AS logits,
-               label % 5 AS target
+        SELECT vec_id AS example_id, list_transform(embedding, lambda z: CAST(z AS DOUBLE) * 40) AS logits,
+               [3, 17, 29, 41, 60][label % 5 + 1] AS target
         FROM embeddings""",
     "step_logits": """
         SELECT example_id // 8 AS example_id, example_id % 8 AS step, logits, target FROM logits""",
@@ -150,13 +151,13 @@ SQL = {
         FROM (SELECT user_id AS run_id, event_type AS metric, value,
                      row_number() OVER (PARTITION BY user_id ORDER BY ts) AS step FROM events)""",
     # Confidence of each example and the predictions they belong to.
-    "confidence": """
+    "confidence": f"""
         SELECT example_id, list_position(logits, list_max(logits)) - 1 AS token,
-               CAST(list_position(logits, list_max(logits)) AS VARCHAR) AS label,
+               {LABEL_SQL.format("list_position(logits, list_max(logits)) - 1")} AS label,
                1e0 / list_sum(list_transform(logits, lambda z: exp(z - list_max(logits)))) AS score
         FROM logits""",
-    "judged": """
-        SELECT c.example_id, c.label AS predicted, CAST(l.target + 1 AS VARCHAR) AS ground_truth
+    "judged": f"""
+        SELECT c.example_id, c.label AS predicted, {LABEL_SQL.format("l.target")} AS ground_truth
         FROM confidence c JOIN logits l ON l.example_id = c.example_id""",
 }
 
