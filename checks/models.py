@@ -16,7 +16,7 @@ from labelkit.operators.splits import SplitSpec, normal_split
 from labelkit.plans.experiments import confidence_study, target_experiment, transfer_experiment
 from labelkit.session import scratch_path
 
-VOCAB = 5_000
+TOP = 5_000
 
 TOKENS = "list_filter(string_split_regex(lower({}), '[ \\t\\n\\r\\f]+'), lambda t: t <> '')"
 VOCAB_SQL = f"""
@@ -24,7 +24,7 @@ VOCAB_SQL = f"""
       SELECT token, count(*) AS n FROM (
         SELECT unnest({TOKENS.format('input_text')}) AS token FROM master
         UNION ALL SELECT unnest({TOKENS.format('label')}) FROM master WHERE label IS NOT NULL)
-      GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB})"""
+      GROUP BY token)"""
 ITEMS_SQL = f"""
     SELECT i.example_id, i.pos, coalesce(v.id, 2) AS id, v.token
     FROM (SELECT example_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos
@@ -33,7 +33,7 @@ ITEMS_SQL = f"""
 
 
 def _vocab(spark, sf_dir):
-    return T.build_vocab(V.master(spark, sf_dir), ["input_text", "label"], VOCAB)
+    return T.build_vocab(V.master(spark, sf_dir), ["input_text", "label"])
 
 
 @query("build_vocab", with_views("SELECT token, id, count FROM vocab", "master", vocab=VOCAB_SQL))
@@ -41,6 +41,11 @@ def build_vocab(spark, sf_dir):
     return tidy(_vocab(spark, sf_dir))
 
 
+@query("top_vocab", with_views(f"SELECT token, id, count FROM vocab WHERE id < {TOP + 3}", "master", vocab=VOCAB_SQL))
+def top_vocab(spark, sf_dir):
+    return tidy(T.build_vocab(V.master(spark, sf_dir), ["input_text", "label"], TOP))
+
+
 ENCODE_SQL = with_views(
     """SELECT m.example_id, coalesce(string_agg(CAST(i.id AS VARCHAR), ',' ORDER BY i.pos), '') AS ids
        FROM master m LEFT JOIN items i ON i.example_id = m.example_id GROUP BY m.example_id""",

@@ -14,28 +14,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.functions import encoding as E
-from labelkit.operators.ranks import ordered_rank
+from labelkit.operators.ranks import TOP_N_LIMIT, ordered_rank
 from labelkit.session import stage_table
 
 DICTIONARY_LIMIT = 50_000
+FREQUENT_TOKENS = 2_000
 
 
-def build_vocab(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
-    """``(token, id, count)`` of the ``size`` most frequent tokens of the whole texts.
+def build_vocab(df: DataFrame, columns: Sequence[str], size: int | None = None) -> DataFrame:
+    """``(token, id, count)`` of all tokens of the whole texts, or of the ``size`` most frequent.
 
     Ids follow frequency, then the token, after the reserved ones.  Counting combines on
-    the map side, so a frequent token costs one row per task.
+    the map side, so a frequent token costs one row per task; a large vocabulary is
+    numbered by one range shuffle.
     """
     words = E.tokens(F.concat_ws(" ", *columns))
-    top = (
+    counts = (
         # The outer form, because the inner one adds a filter that tokenises once more.
         df.select(F.explode_outer(words).alias("token"))
         .filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "token")
-        .limit(size)
     )
+    if size is None or size > TOP_N_LIMIT:
+        narrow = stage_table(counts.withColumn("_less", -F.col("count")), "tokens")
+        ranked = ordered_rank(narrow, ["_less", "token"], name="_rank")
+        if size is not None:
+            ranked = ranked.filter(F.col("_rank") <= size)
+        return ranked.select("token", (F.col("_rank") + (E.FIRST_TOKEN_ID - 1)).alias("id"), "count")
+    top = counts.orderBy(F.desc("count"), "token").limit(size)
     by_frequency = Window.orderBy(F.desc("count"), "token")  # over the `size` rows kept above
     return top.select("token", (F.row_number().over(by_frequency) + (E.FIRST_TOKEN_ID - 1)).alias("id"), "count")
 
@@ -131,7 +138,8 @@ def _encode_by_join(
 ) -> DataFrame:
     """Encode ``(column, length, name)`` fields by one shuffle join with a large vocabulary.
 
-    Adaptive execution splits the partitions of frequent tokens.
+    Frequent tokens are met by a broadcast.  Rows are told apart by a number of their own,
+    so a repeated key gives as many rows as it has.
     """
 
     def tagged(tag: int, column: str, length: int | None) -> Column:
@@ -139,10 +147,11 @@ def _encode_by_join(
         cut = words if length is None else F.slice(words, 1, length)
         return F.transform(cut, lambda t, i: F.struct(F.lit(tag).alias("field"), i.alias("pos"), t.alias("token")))
 
-    items = df.select(key, F.explode_outer(F.concat(*[tagged(i, c, n) for i, (c, n, _) in enumerate(fields)])).alias("_i"))
-    found = items.select(key, "_i.*").join(vocab.select("token", "id"), "token", "left")
+    every = F.concat(*[F.coalesce(tagged(i, c, n), F.array()) for i, (c, n, _) in enumerate(fields)])
+    items = df.withColumn("_row", F.monotonically_increasing_id()).select(key, "_row", F.explode_outer(every).alias("_i"))
+    found = _with_vocab(items.select(key, "_row", "_i.*"), vocab, "token", "id")
     known = F.struct("field", "pos", F.coalesce("id", F.lit(E.UNK_ID)).alias("id"))
-    gathered = found.groupBy(key).agg(
+    gathered = found.groupBy(key, "_row").agg(
         F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), known))).alias("_items")
     )
 
@@ -152,16 +161,35 @@ def _encode_by_join(
     return gathered.select(key, *[ids(i).alias(name) for i, (_, _, name) in enumerate(fields)])
 
 
+def _with_vocab(items: DataFrame, vocab: DataFrame, on: str, value: str) -> DataFrame:
+    """``items`` with the vocabulary's ``value`` for their ``on`` column, NULL if it has none.
+
+    The ``FREQUENT_TOKENS`` lowest ids, which are the most frequent tokens, are broadcast.
+    Their rows keep away from the shuffle join's keys, spread by a hash of the row.
+    """
+    frequent = vocab.filter(F.col("id") < E.FIRST_TOKEN_ID + FREQUENT_TOKENS)
+    met = items.join(F.broadcast(frequent.select(on, F.col(value).alias("_value"))), on, "left")
+    rest = F.when(F.col("_value").isNull() & F.col(on).isNotNull(), F.col(on).cast("string"))
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*items.columns).cast("string"))
+    others = vocab.filter(F.col("id") >= E.FIRST_TOKEN_ID + FREQUENT_TOKENS).select(
+        F.col(on).cast("string").alias("_key"), F.col(value).alias("_other")
+    )
+    joined = met.withColumn("_key", F.coalesce(rest, spread)).join(others, "_key", "left")
+    return joined.select(*items.columns, F.coalesce("_value", "_other").alias(value))
+
+
 def decode_ids(
     df: DataFrame, vocab: Dictionary | DataFrame, ids: str = "ids", key: str = "example_id"
 ) -> DataFrame:
     """``(key, text)`` with reserved ids (padding, end, unknown) skipped."""
     if isinstance(vocab, Dictionary):
         return df.select(key, vocab.text(F.col(ids)).alias("text"))
-    items = df.select(key, F.posexplode_outer(ids).alias("_pos", "id"))
-    found = items.join(vocab.select("id", "token"), "id", "left")
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    items = numbered.select(key, "_row", F.posexplode_outer(ids).alias("_pos", "id"))
+    found = _with_vocab(items, vocab, "id", "token")
     words = F.when(F.col("token").isNotNull(), F.struct("_pos", "token"))
-    return found.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(words))["token"], " ").alias("text"))
+    texts = found.groupBy(key, "_row").agg(F.array_join(F.sort_array(F.collect_list(words))["token"], " ").alias("text"))
+    return texts.select(key, "text")
 
 
 def assign_batches(

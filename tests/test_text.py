@@ -74,3 +74,14 @@ def test_batches(spark, drop_last):
         assert r["batch_id"] == place // size and r["batch_rows"] == len(members)
         assert r["pad_to"] == max(i % 17 for i in members)
     assert len({r["batch_id"] for r in got}) == (n // size if drop_last else math.ceil(n / size))
+
+
+def test_both_ways_agree_on_repeated_keys(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (1, "b c", None), (2, None, "y")]
+    df = spark.createDataFrame(rows, "example_id long, input_text string, label string")
+    vocab = T.build_vocab(df, ["input_text", "label"])
+    by_join = T.encode_text(df, vocab)
+    assert sorted(map(str, by_join.collect())) == sorted(map(str, T.encode_text(df, T.compact(vocab)).collect()))
+    assert by_join.count() == 4
+    words = sorted(map(str, T.decode_ids(by_join, vocab).collect()))
+    assert words == sorted(map(str, T.decode_ids(by_join, T.compact(vocab)).collect()))
