@@ -31,13 +31,14 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir``, shared by all executors.
 
     A machine-local folder is only acceptable when the executors live in this
-    very process, so without the setting this works in local mode alone.
+    very process, so without the setting this works in local mode alone, and not
+    on ``local-cluster``, whose executors are other processes.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_scratch:
         _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="labelkit-")
