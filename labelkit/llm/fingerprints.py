@@ -94,7 +94,8 @@ def likeness(a: Column, b: Column) -> Column:
         size = F.sqrt(dot(x, x) * dot(y, y))
         return F.when(size > 0, F.least(F.greatest(dot(x, y) / size, F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
 
-    return F.when(a == b, 1.0).otherwise(bind(F.struct(centred(a).alias("x"), centred(b).alias("y")), cosine))
+    none = (F.get(a, F.lit(0)) == 0) | (F.get(b, F.lit(0)) == 0)
+    return F.when(a == b, 1.0).when(none, 0.0).otherwise(bind(F.struct(centred(a).alias("x"), centred(b).alias("y")), cosine))
 
 
 def _signed(x: Column) -> Column:
