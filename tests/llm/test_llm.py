@@ -224,6 +224,31 @@ def test_personal_data_rules(spark, messy, empty):
     assert personal_data.personal_spans(empty).count() == 0
 
 
+@pytest.fixture(scope="module")
+def further(spark):
+    """Numbers after words of their kind and after other words, well-formed and not, and what to judge."""
+
+    def card(i, good):
+        digits = f"4{i * 7919 % 10**14:014d}"
+        last = -sum(sum(divmod(2 * int(c), 10)) if k % 2 == 0 else int(c) for k, c in enumerate(reversed(digits))) % 10
+        return digits + str(last if good else (last + 1) % 10)
+
+    texts = []
+    for i in range(240):
+        texts += [f"please call +1 (729) 555-{i:04d} soon", f"order 12-555-{i:04d} shipped", f"visa card {card(i, True)} was used", f"order {card(i, False)} shipped"]
+    judged = ["please call 729-555-7725 soon", "order 1234-567-8901 shipped", "visa card 4111 1111 1111 1111 12 was used", "order 4111 1111 1111 1111 12 shipped"]
+    judged += ["mail jane.doe [at] example [dot] org. Then we left", "x (at) 3.5", "host 10[.]0[.]0[.]1 is up", "host 1(.)2 (.) 3(.)4 is up", "host 999[.]0[.]0[.]1 is up"]
+    rows = spark.createDataFrame(list(enumerate(judged + texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in personal_data.personal_spans(rows).filter("doc_id < 100").collect()}
+    return {t: [t[s["start"] : s["end"]] for s in found.get(i, []) if not s["rule"]] for i, t in enumerate(judged)}
+
+
+def test_trees_judge_numbers_by_context(further):
+    assert further["please call 729-555-7725 soon"] == ["729-555-7725"]
+    assert further["visa card 4111 1111 1111 1111 12 was used"] == ["4111 1111 1111 1111"]
+    assert further["order 1234-567-8901 shipped"] == [] and further["order 4111 1111 1111 1111 12 shipped"] == []
+
+
 # 6 lines
 
 
