@@ -249,6 +249,12 @@ def test_trees_judge_numbers_by_context(further):
     assert further["order 1234-567-8901 shipped"] == [] and further["order 4111 1111 1111 1111 12 shipped"] == []
 
 
+def test_spelt_addresses_are_selected(further):
+    assert further["mail jane.doe [at] example [dot] org. Then we left"] == ["jane.doe [at] example [dot] org"]
+    assert further["host 10[.]0[.]0[.]1 is up"] == ["10[.]0[.]0[.]1"] and further["host 1(.)2 (.) 3(.)4 is up"] == ["1(.)2 (.) 3(.)4"]
+    assert further["x (at) 3.5"] == [] and further["host 999[.]0[.]0[.]1 is up"] == []
+
+
 # 6 lines
 
 
