@@ -3,7 +3,9 @@
 Subword ids are dealt by frequency to clusters of equal size; the rarest share the last
 place of a cluster and have their frequency there.  One attention layer, trained in numpy,
 predicts the cluster of the next subword from a window of those before it, and then the
-place within that cluster.  A text is cut into windows that
+place within that cluster.  Subwords are counted over all training texts.  The layer is
+begun on a sample; then each partition goes on from there over all windows of its training
+texts, and the weights that the partitions arrive at are averaged.  A text is cut into windows that
 overlap by half, so each subword is scored once, with at least half a window before it where
 the text has that much.  The subwords of a word give its probability, which is mixed with
 the word's share among all training words, counted over the whole corpus.
@@ -34,6 +36,8 @@ HALF = WINDOW // 2
 END = np.uint64(0xE0D)  # stands for the end of a text among the hashes of words
 #: Words with at least this share of all training words go to every task: 400,000 at most.
 FREQUENT = 1 / 400_000
+#: Words of a segment of a training text, and weights in a row of the sums of all partitions.
+SEGMENT, CHUNK = 2000, 2048
 LN10 = float(np.log(10))
 
 
@@ -146,10 +150,30 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
 MASK = np.where(np.arange(WINDOW)[None, :] > np.arange(HALF, WINDOW)[:, None], np.float32(-1e9), np.float32(0))
 
 
-def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 500, batch: int = 256, seed: int = 5) -> Attention:
-    """Adam on the windows of the sampled texts, with the gradient of the one layer written out."""
+class Adam:
+    """Steps on the weights of a model, which are changed in place."""
+
+    def __init__(self, model: Attention):
+        self.model, self.step = model, 0
+        self.m, self.v2 = ({k: np.zeros_like(x) for k, x in model.weights.items()} for _ in range(2))
+
+    def take(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> None:
+        self.step += 1
+        w, m, v2 = self.model.weights, self.m, self.v2
+        for name, g in _gradients(self.model, inputs, targets).items():
+            m[name] = 0.9 * m[name] + 0.1 * g
+            v2[name] = 0.99 * v2[name] + 0.01 * g * g
+            w[name] -= (rate * (m[name] / (1 - 0.9**self.step)) / (np.sqrt(v2[name] / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
+
+
+def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 500, batch: int = 256, seed: int = 5, counts: np.ndarray | None = None) -> Attention:
+    """Adam on the windows of the given texts, with the gradient of the one layer written out.
+
+    ``counts`` of all ids give the slots, the shares and the first biases; without them
+    those of ``ids`` do.
+    """
     rng = np.random.default_rng(seed)
-    count = np.bincount(ids, minlength=n_ids) + 0.1
+    count = (np.bincount(ids, minlength=n_ids) if counts is None else counts) + 0.1
     rank = np.empty(n_ids, dtype=np.int64)
     rank[np.argsort(-count, kind="stable")] = np.arange(n_ids)
     slot_of = rank % CLUSTERS * PLACES + np.minimum(rank // CLUSTERS, PLACES - 1)
@@ -163,18 +187,100 @@ def train(ids: np.ndarray, per_text: np.ndarray, n_ids: int, steps: int = 500, b
     w["inner_bias"] = np.log(by_cluster / by_cluster.sum(axis=1, keepdims=True)).astype(np.float32)
     model = Attention(w, slot_of, within)
     inputs, targets = model.windows(slot_of[ids], per_text)
-    m, v2 = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+    adam = Adam(model)
     for step in range(1, steps + 1 if len(inputs) else 1):
         some = rng.integers(0, len(inputs), batch)
-        grads = _gradients(model, inputs[some], targets[some])
-        for name, g in grads.items():
-            m[name] = 0.9 * m[name] + 0.1 * g
-            v2[name] = 0.99 * v2[name] + 0.01 * g * g
-            rate = 0.02 * (1 - step / (steps + 1))
-            w[name] -= (rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(v2[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        adam.take(inputs[some], targets[some], 0.02 * (1 - step / (steps + 1)))
     return model
 
 
+def segments(docs: DataFrame, text: str) -> DataFrame:
+    """``(text, last, draw)``: texts in segments of at most ``SEGMENT`` words, with a number from 0 to 1 drawn by a hash."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            parts, doc, piece, last = [], [], [], []
+            for k, words in enumerate(t.encode().split() for t in batch.column(text).to_pylist()):
+                for lo in range(0, max(1, len(words)), SEGMENT):
+                    parts.append(b" ".join(words[lo : lo + SEGMENT]).decode())
+                    doc.append(k)
+                    piece.append(lo)
+                    last.append(lo + SEGMENT >= len(words))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(parts, pa.string()), pa.array(last, pa.bool_())],
+                ["doc_id", "piece", "text", "last"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long"), text).mapInArrow(cut, "doc_id long, piece int, text string, last boolean")
+    draw = F.pmod(F.xxhash64("doc_id", "piece", "text", F.lit("lm")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.select("text", "last", draw.alias("draw"))
+
+
+def _training_ids(cache: WordCache, texts: pa.Array, last: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of segments and their number by segment; only the last one of a text has an end."""
+    ids, _, per_text = subwords(cache, texts, end_id)
+    keep = np.ones(len(ids), dtype=bool)
+    keep[(np.cumsum(per_text) - 1)[~last]] = False
+    return ids[keep], per_text - ~last
+
+
+def subword_counts(rows: DataFrame, tokenizer: str, n_ids: int, end_id: int) -> np.ndarray:
+    """How often each subword id occurs in all segments: a row per id comes to the driver."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, total = word_cache(tokenizer), np.zeros(n_ids, dtype=np.int64)
+        for batch in slices(batches, "text"):
+            ids, _ = _training_ids(cache, batch.column("text"), batch.column("last").to_numpy(zero_copy_only=False), end_id)
+            total += np.bincount(ids, minlength=n_ids)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+
+    found = rows.select("text", "last").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n_ids, dtype=np.int64)
+    out[found.column("id").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def go_on(rows: DataFrame, model: Attention, tokenizer: str, end_id: int, batch: int = 1024, rate: float = 0.005) -> int:
+    """One pass over all windows of ``rows``: partitions go on from ``model``, which gets the mean of their weights.
+
+    A partition counts by its targets, whose number over all partitions is returned.
+    """
+    shapes = {name: x.shape for name, x in model.weights.items()}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, rng, seen = word_cache(tokenizer), np.random.default_rng(11), 0
+        own = Attention({k: x.copy() for k, x in model.weights.items()}, model.slot_of, model.within)
+        adam = Adam(own)
+        for part in slices(batches, "text", 1_500_000):
+            ids, per_text = _training_ids(cache, part.column("text"), part.column("last").to_numpy(zero_copy_only=False), end_id)
+            inputs, targets = own.windows(own.slot_of[ids], per_text)
+            order = rng.permutation(len(inputs))
+            for lo in range(0, len(order), batch):
+                some = order[lo : lo + batch]
+                adam.take(inputs[some], targets[some], rate * len(some) / batch)
+            seen += len(ids)
+        if seen:
+            flat = np.concatenate([own.weights[name].ravel() for name in shapes]).astype(np.float64) * seen
+            chunks = [flat[lo : lo + CHUNK] for lo in range(0, len(flat), CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks))), pa.array([seen] * len(chunks)), pa.array([c.tobytes() for c in chunks], pa.binary())], ["chunk", "n", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
+        return pa.table({"chunk": table.column("chunk")[:1], "n": [sum(table.column("n").to_pylist())], "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    schema = "chunk long, n long, sums binary"
+    found = sorted(rows.select("text", "last").mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema).collect())
+    if not found:
+        return 0
+    flat, at = np.concatenate([np.frombuffer(r["sums"]) for r in found]) / found[0]["n"], 0
+    for name, shape in shapes.items():
+        size = int(np.prod(shape))
+        model.weights[name] = flat[at : at + size].reshape(shape).astype(np.float32)
+        at += size
+    return found[0]["n"]
+
+
 def _softmax_error(logits: np.ndarray, goal: np.ndarray) -> np.ndarray:
     p = np.exp(logits - logits.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
@@ -250,10 +356,11 @@ class Scorer:
 
 
 def fit(docs: DataFrame, counts: DataFrame, tokenizer: str, n_ids: int, end_id: int, sample_chars: int = 2_000_000, text: str = "text") -> Scorer:
-    """Trains on whole texts of about ``sample_chars`` code points, drawn by a hash of the id.
+    """Counts subwords and trains over all segments of the training texts but a few.
 
-    ``counts`` are of all training texts.  The share of the attention model is the best of a
-    few on sampled texts that its training leaves out.
+    The weights begin on segments of about ``sample_chars`` code points.  ``counts`` are of
+    all training texts.  The share of the attention model is the best of a few on about an
+    eighth as many code points, which its training leaves out, with counts less their own words.
     """
     sums = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
@@ -261,19 +368,37 @@ def fit(docs: DataFrame, counts: DataFrame, tokenizer: str, n_ids: int, end_id:
     order = np.argsort(often.column("word").to_numpy().view(np.uint64))
     words, times = (often.column(c).to_numpy()[order] for c in ("word", "count"))
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 1
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = docs.filter(draw < sample_chars / chars).select(text).toArrow().column(text)
-    texts = pa.chunked_array(sample.chunks, pa.string()).combine_chunks()
-    ids, per_word, per_text = subwords(word_cache(tokenizer), texts, end_id)
-    cut = len(per_text) - len(per_text) // 8
-    edge = int(per_text[:cut].sum())
-    scorer = Scorer(train(ids[:edge], per_text[:cut], n_ids), words.view(np.uint64), times, total, distinct)
-    if cut < len(per_text):
-        hashes, n_words = word_hashes(texts.slice(cut))
-        rest = per_word[len(per_word) - int((n_words + 1).sum()) :]
-        attention = scorer.attention_scores(ids[edge:], rest, per_text[cut:])
-        c = scorer.count_of(_with_ends(hashes, n_words, END))
-        scorer.attention.share = max((0.05, 0.1, 0.2, 0.3, 0.5, 0.7), key=lambda s: scorer.mixed(attention, c, s).sum())
+    # written, so that a task has one Python worker at a time
+    rows = stage_table(segments(docs, text), "lm-segments")
+    aside = min(1 / 8, sample_chars / 8 / chars)
+    learnt = rows.filter(F.col("draw") >= aside)
+    cache, times_of = word_cache(tokenizer), subword_counts(learnt, tokenizer, n_ids, end_id)
+
+    def local(some: DataFrame) -> tuple[pa.Array, np.ndarray]:
+        table = some.select("text", "last").toArrow()
+        return pa.chunked_array(table.column("text").chunks, pa.string()).combine_chunks(), np.array(table.column("last").to_pylist(), dtype=bool)
+
+    sample = local(learnt.filter(F.col("draw") < aside + sample_chars / chars))
+    ids, per_text = _training_ids(cache, *sample, end_id)
+    attention = train(ids, per_text, n_ids, counts=times_of)
+    go_on(learnt, attention, tokenizer, end_id)
+    scorer = Scorer(attention, words.view(np.uint64), times, total, distinct)
+    texts, last = local(rows.filter(F.col("draw") < aside))
+    if len(texts):
+        hashes, n_words = word_hashes(texts)
+        ids, per_word, per_text = subwords(cache, texts, end_id)
+        scores = scorer.attention_scores(ids, per_word, per_text)
+        hashes = _with_ends(hashes, n_words, END)
+        used = np.ones(len(hashes), dtype=bool)
+        used[(np.cumsum(n_words + 1) - 1)[~last]] = False  # only texts end, not all segments
+        hashes, scores = hashes[used], scores[used]
+        own, back, own_times = np.unique(hashes, return_inverse=True, return_counts=True)
+        spark = docs.sparkSession
+        met = counts.join(F.broadcast(spark.createDataFrame(pa.table({"word": own.view(np.int64)}))), "word").toArrow()
+        rest = dict(zip(met.column("word").to_pylist(), met.column("count").to_pylist()))
+        left = np.maximum(np.array([rest.get(w, 0) for w in own.view(np.int64).tolist()]) - own_times, 0)
+        kept = Scorer(attention, scorer.words, scorer.counts, max(1, total - len(hashes)), distinct)
+        attention.share = max((0.05, 0.1, 0.2, 0.3, 0.5, 0.7), key=lambda s: kept.mixed(scores, left[back], s).sum())
     return scorer
 
 

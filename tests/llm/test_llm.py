@@ -178,6 +178,27 @@ def test_attention_gradient_and_windows():
         assert grads[name][at] == pytest.approx((up - down) / (2 * step), abs=2e-4)
 
 
+def test_lm_learns_from_all_training_texts(spark):
+    texts = [f"alpha beta gamma delta {'zebra ' * 5}" * 40 for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, " ".join(texts))], "doc_id long, text string").repartition(3)
+    rows = language_model.segments(docs, "text")
+    pieces_ = rows.select("text", "last").collect()
+    assert sum(len(r["text"].split()) for r in pieces_) == 2 * sum(len(t.split()) for t in texts)
+    assert sum(r["last"] for r in pieces_) == 61 and max(len(r["text"].split()) for r in pieces_) <= 2000
+    n = language_model.subword_counts(rows, WORDS, 49_408, 1)
+    cache = packing.word_cache(WORDS)
+    whole = np.bincount(language_model.subwords(cache, pa.array([d["text"] for d in docs.collect()]), 1)[0], minlength=49_408)
+    assert (n == whole).all()
+    model = language_model.train(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 49_408, counts=n)
+    ids, _, per_text = language_model.subwords(cache, pa.array(texts[:2]), 1)
+    before = model.log_probs(ids, per_text).mean()
+    assert language_model.go_on(rows, model, WORDS, 1, batch=8, rate=0.02) == n.sum()
+    assert model.log_probs(ids, per_text).mean() > before + 0.5
+    # few long texts: some of each is learnt from, whatever the draw of a sample
+    scorer = language_model.fit(docs.filter("doc_id = 99"), language_model.word_counts(docs.filter("doc_id = 99"), "text"), WORDS, 49_408, 1, sample_chars=10)
+    assert scorer.attention.log_probs(ids, per_text).mean() > -8
+
+
 # 4 fingerprints
 
 
