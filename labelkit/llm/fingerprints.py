@@ -1,6 +1,7 @@
 """Homomorphic multiset fingerprints of documents; SQL expressions only.
 
-A text is the multiset of its paragraphs.  Each is hashed to a wide vector of 0s and 1s,
+A text is the multiset of its paragraphs: lines, sentences, and runs of about eight words
+within them, so that any text has several.  Each is hashed to a wide vector of 0s and 1s,
 one per lane, and a fingerprint is the sum of all vectors, lane by lane modulo 2^16, with
 the number of paragraphs.  The order of paragraphs has no effect, equal multisets have
 equal fingerprints, and paragraphs are added or removed by adding or subtracting.
@@ -21,12 +22,20 @@ LONGS = 32  # four lanes each
 ONES = 0x0001_0001_0001_0001
 EVEN = 0x0000_FFFF_0000_FFFF
 CHUNK = 32_000  # paragraphs whose plain sum stays within every lane
-#: Lines, and within a line what ends with a mark: prose is compared by sentences.
-PARAGRAPH = r"\n+|(?<=[.!?|#$%&*])[ \t]+"
+#: Lines, and within a line sentences.
+PARAGRAPH = r"\n+|(?<=[.!?\u2026\u061f\u0964])[ \t]+|(?<=[\u3002\uff01\uff1f\uff61])"
+#: A word with what follows up to the next one; one character in scripts without blanks.
+TOKEN = r"(?<=[^\p{L}\p{N}\p{M}])(?=[\p{L}\p{N}])|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+#: One word of so many, by its hash, ends a run; a run without such words is cut from its beginning.
+RUN, LONGEST = 8, 512
 
 
 def paragraphs(text: Column) -> Column:
-    return F.filter(F.split(text, PARAGRAPH), lambda p: p != "")
+    """The units of a text: lines, sentences, and within them runs of words that their own words end."""
+    ends = F.transform(F.split(text, TOKEN), lambda t: F.when(F.pmod(F.xxhash64(t), F.lit(RUN)) == 0, F.concat(t, F.lit("\n"))).otherwise(t))
+    runs = F.split(F.array_join(ends, ""), PARAGRAPH)
+    parts = F.flatten(F.transform(runs, lambda r: F.when(F.length(r) > LONGEST, F.split(r, rf"(?s)(?<=\G.{{{LONGEST}}})")).otherwise(F.array(r))))
+    return F.filter(parts, lambda p: p != "")
 
 
 def lane_add(a: Column, b: Column) -> Column:

@@ -349,6 +349,31 @@ def test_components_of_chains(spark):
     assert found == {**{i: 0 for i in range(21)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_fingerprints_of_texts_without_marks(spark):
+    rng = np.random.default_rng(3)
+
+    def text(kind):
+        if kind == "cjk":
+            return "".join(chr(c) for c in rng.integers(0x4E00, 0x9000, 3000))
+        if kind == "solid":
+            return "".join(chr(c) for c in rng.integers(97, 123, 40_000))
+        words = [f"w{i}" for i in rng.integers(0, 5000, 3000)]
+        return {"comma": ",", "list": "; ", "blank": " ", "stop": "\u3002"}[kind].join(words)
+
+    rows = []
+    for kind in ("comma", "list", "blank", "stop", "cjk", "solid"):
+        a, b = text(kind), text(kind)
+        n = len(a) // 4
+        rows.append((kind, a, a[: len(a) - n] + b[:n], b))
+    rows.append(("same words", "lo ra mi " * 3000, "lo ra mi " * 2250 + rows[0][3][:6000], rows[0][3]))
+    v = fingerprints.vector
+    found = spark.createDataFrame(rows, "kind string, a string, edited string, other string").select(
+        "kind", fingerprints.likeness(v(F.col("a")), v(F.col("edited"))).alias("near"), fingerprints.likeness(v(F.col("a")), v(F.col("other"))).alias("far")
+    )
+    for r in found.collect():
+        assert r["near"] > 0.55 and r["far"] < 0.4, r
+
+
 # 8 licences
 
 
