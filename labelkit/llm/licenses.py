@@ -41,7 +41,7 @@ NOTICES = [
 ]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHORT, LONG = 2, 3  # words per n-gram of phrases and of notices
-NEIGHBOURS = 3  # diagonals this close are one
+NEIGHBOURS = 3  # diagonals this close are one, if closer than the template is long
 COVERAGE = 0.7
 
 
@@ -93,7 +93,7 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     phrases = diagonals.filter(F.col("phrase") & (F.size("seen") == F.col("n_grams")))
     exact = phrases.select("doc_id", "text_hash", "label", "phrase", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("n_template")).alias("end"), F.lit(1.0).alias("score"))
     order = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
-    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > NEIGHBOURS, F.lit(True))
+    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > F.least(F.lit(NEIGHBOURS), F.col("n_template") - 1), F.lit(True))
     runs = diagonals.filter(~F.col("phrase")).withColumn("far", far.cast("int")).withColumn("run", F.sum("far").over(order))
     merged = runs.groupBy(*key, "run").agg(
         F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"),

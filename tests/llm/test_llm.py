@@ -388,6 +388,12 @@ def test_license_spans(spark, messy, empty):
     assert licenses.scan(messy).count() == len(MESSY) and licenses.scan(empty).count() == 0
 
 
+def test_repeated_short_notices_are_found(spark):
+    rows = spark.createDataFrame([(k, "all rights reserved " * k) for k in range(1, 5)], "doc_id long, text string")
+    found = {r["doc_id"]: sorted(s["start"] for s in r["spans"] if s["label"] == "all-rights-reserved") for r in licenses.scan(rows).collect()}
+    assert found == {k: [3 * i for i in range(k)] for k in range(1, 5)}
+
+
 # 9 pieces
 
 
