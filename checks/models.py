@@ -9,9 +9,12 @@ from checks.registry import query, tidy
 from checks.views import h, with_views
 from labelkit.functions.encoding import mask_targets as mask_padding
 from labelkit.functions.encoding import tokens
+from labelkit.functions.scores import sparse
 from labelkit.operators import inference as I
 from labelkit.operators import text as T
 from labelkit.operators import training
+from labelkit.operators.confidence import best_label, first_step_scores, label_of, threshold_grid
+from labelkit.operators.relations import prediction_table
 from labelkit.operators.splits import SplitSpec, normal_split
 from labelkit.plans.experiments import confidence_study, target_experiment, transfer_experiment
 from labelkit.session import scratch_path
@@ -182,7 +185,7 @@ def pseudo_label(spark, sf_dir):
     return tidy(I.pseudo_label(unlabeled, hash_labels(), scratch_path(spark, "pseudo")))
 
 
-@query("sample_labels", with_views(
+SAMPLE_SQL = with_views(
     f"""SELECT d.example_id, d.draw, coalesce(min(w.token) FILTER (w.reached > d.u), max(w.token)) AS token
         FROM (SELECT example_id, draw, {h("'6:draw:' || example_id || ':' || draw", 13)} / 4503599627370496e0 AS u
               FROM logits, (SELECT unnest(range(10)) AS draw)) d
@@ -192,11 +195,41 @@ def pseudo_label(spark, sf_dir):
                            row_number() OVER (PARTITION BY example_id ORDER BY z DESC, token) AS place
                     FROM (SELECT example_id, unnest(logits) AS z, generate_subscripts(logits, 1) - 1 AS token FROM logits))
               WHERE place <= 3) w ON w.example_id = d.example_id
-        GROUP BY d.example_id, d.draw""", "logits"))
+        GROUP BY d.example_id, d.draw""", "logits")
+
+
+@query("sample_labels", SAMPLE_SQL)
 def sample_labels(spark, sf_dir):
     return tidy(I.sample_labels(V.logits(spark, sf_dir), n=10, seed=6, temperature=0.5, top_k=3))
 
 
+@query("predict_sparse_scores", with_views(
+    f"""SELECT example_id, step, id, round(z, 6) AS z, round(ln(sum(exp(z)) OVER (PARTITION BY example_id, step)), 6) AS lse
+        FROM (SELECT example_id, s.step, c.id, {h("s.step || ':' || c.id || ':' || input_text")} % 1000 / 100e0 AS z
+              FROM master, (SELECT unnest([0, 1])::BIGINT AS step) s, (SELECT unnest(range(5)) AS id) c)
+        QUALIFY row_number() OVER (PARTITION BY example_id, step ORDER BY z DESC, id) <= 2 OR id = 3""", "master"))
+def predict_sparse_scores(spark, sf_dir):
+    out = I.predict_sparse_scores(V.master(spark, sf_dir), hash_scores(), steps=2, classes=5, top=2, wanted=[3])
+    held = F.arrays_zip(F.col("logits.ids").alias("id"), F.col("logits.z").alias("z"))
+    return tidy(out.select("example_id", "step", F.col("logits.lse").alias("lse"), F.explode(held).alias("_h")).select("example_id", "step", "_h.id", "_h.z", "lse"))
+
+
+@query("sparse_sample_labels", SAMPLE_SQL)
+def sparse_sample_labels(spark, sf_dir):
+    held = V.logits(spark, sf_dir).withColumn("logits", sparse(F.col("logits"), 4, [5]))
+    return tidy(I.sample_labels(held, n=10, seed=6, temperature=0.5, top_k=3))
+
+
+@query("label_in_buckets", with_views(
+    f"SELECT example_id, {HASH_LABEL} AS predicted, label AS ground_truth FROM master WHERE label IS NULL", "master"))
+def label_in_buckets(spark, sf_dir):
+    """The pool labelled in two runs, of which the second finds all of its work done."""
+    unlabeled = V.master(spark, sf_dir).filter("label IS NULL")
+    path = scratch_path(spark, "buckets")
+    I.label_in_buckets(unlabeled, hash_labels(), path, buckets=8, per_job=4)
+    return tidy(I.label_in_buckets(unlabeled, hash_labels(), path, buckets=8, per_job=4))
+
+
 FIT = {"features": 1 << 14, "max_iter": 10}
 
 
@@ -243,6 +276,39 @@ def target(spark, sf_dir):
     return tidy(summary.select("run", "avg_acc", "std"))
 
 
+STUDY = {
+    "first": "SELECT example_id, logits, target FROM step_logits WHERE step = 0",
+    "studied": f"""SELECT example_id, {V.LABEL_SQL.format("list_position(logits, list_max(logits)) - 1")} AS predicted,
+                {V.LABEL_SQL.format("target")} AS ground_truth,
+                1e0 / list_sum(list_transform(logits, lambda z: exp(z - list_max(logits)))) AS score FROM first""",
+}
+
+
+def _study(spark, sf_dir, **options):
+    """The study with predictions of the very examples that the scores belong to."""
+    steps = V.step_logits(spark, sf_dir)
+    best = best_label(first_step_scores(steps), V.ID2LABEL, keep=["target"])
+    judged = prediction_table(best.withColumn("truth", label_of(F.col("target"), V.ID2LABEL)), "label", "truth")
+    return confidence_study(steps, judged, V.ID2LABEL, **options)
+
+
+@query("confidence_study_curve", with_views(
+    f"""SELECT CAST(t.point AS BIGINT) AS point, round(t.theta, 6) AS theta, count(s.score) AS kept,
+              round(count(s.score) / (SELECT count(*) FROM studied)::DOUBLE, 6) AS coverage,
+              round(avg(CASE WHEN s.score IS NULL THEN NULL WHEN s.predicted = s.ground_truth THEN 1e0 ELSE 0e0 END), 6) AS accuracy
+       FROM (SELECT * FROM (VALUES {", ".join(f"({i}, {t!r}::DOUBLE)" for i, t in enumerate(threshold_grid()))}) AS t(point, theta)) t
+       LEFT JOIN studied s ON s.score >= t.theta GROUP BY t.point, t.theta""", "step_logits", **STUDY))
+def study_curve(spark, sf_dir):
+    return tidy(_study(spark, sf_dir).curve)
+
+
+@query("confidence_study_auto_label", with_views(
+    """SELECT round(avg(CASE WHEN predicted = ground_truth THEN 1e0 ELSE 0e0 END), 6) AS accuracy, count(*) AS n_examples
+       FROM studied WHERE score >= 0.4e0""", "step_logits", **STUDY))
+def study_auto_label(spark, sf_dir):
+    return tidy(_study(spark, sf_dir).auto_labeled)
+
+
 @query("confidence_study", with_views(
     """SELECT part, count(*) AS n, round(avg(score), 6) AS mean_score
        FROM (SELECT 'random' AS part, score FROM placed WHERE rk <= 20

@@ -27,6 +27,60 @@ def _judged(spark, sf_dir):
     return prediction_table(best.withColumn("truth", F.element_at(labels, F.col("target"))), "label", "truth")
 
 
+WANTED = sorted(V.ID2LABEL)
+
+
+def _sparse(spark, sf_dir, top=3):
+    """Logits as rows of the best classes and those of the labels."""
+    return V.logits(spark, sf_dir).withColumn("logits", scores.sparse(F.col("logits"), top, WANTED))
+
+
+def _sparse_steps(spark, sf_dir):
+    return V.step_logits(spark, sf_dir).withColumn("logits", scores.sparse(F.col("logits"), 1, WANTED))
+
+
+@query("sparse_softmax", with_views(
+    f"""SELECT example_id, id, round(e[id + 1] / list_sum(e), 6) AS p FROM (
+          SELECT example_id, e, unnest(range(64)) AS id FROM x)
+        QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY e[id + 1] DESC, id) <= 3 OR id IN ({', '.join(map(str, WANTED))})""",
+    "logits", x=f"SELECT example_id, {EXPS} AS e FROM logits"))
+def sparse_softmax(spark, sf_dir):
+    p = _sparse(spark, sf_dir).select("example_id", F.explode(scores.sparse_softmax(F.col("logits"))).alias("_p"))
+    return tidy(p.select("example_id", "_p.id", "_p.p"))
+
+
+@query("sparse_best_label", with_views(
+    "SELECT example_id, CAST(token AS BIGINT) AS token, label, round(score, 6) AS score FROM confidence", "confidence"))
+def sparse_best_label(spark, sf_dir):
+    return tidy(C.best_label(_sparse(spark, sf_dir), V.ID2LABEL))
+
+
+@query("sparse_label_probabilities", with_views(
+    f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{label}' for label, i in V.LABEL2ID.items())} FROM x",
+    "logits", x=f"SELECT example_id, {EXPS} AS e FROM logits"))
+def sparse_label_probabilities(spark, sf_dir):
+    return tidy(C.label_probabilities(_sparse(spark, sf_dir), V.LABEL2ID))
+
+
+@query("sparse_sequence_confidence", with_views(
+    f"""SELECT example_id, round(max(1e0 / list_sum({EXPS})), 6) AS score,
+               string_agg(CAST(list_position(logits, list_max(logits)) - 1 AS VARCHAR), ',' ORDER BY step) AS tokens
+        FROM step_logits GROUP BY example_id""", "step_logits"))
+def sparse_sequence_confidence(spark, sf_dir):
+    return tidy(C.sequence_confidence(_sparse_steps(spark, sf_dir)))
+
+
+@query("sparse_cross_entropy", with_views(
+    f"""SELECT example_id, round(avg(ln(list_sum({EXPS})) + list_max(logits) - logits[target + 1]), 6) AS loss,
+               count(*) AS n_positions
+        FROM step_logits WHERE step % 3 <> 2 GROUP BY example_id""", "step_logits"))
+def sparse_cross_entropy(spark, sf_dir):
+    masked = _sparse_steps(spark, sf_dir).withColumn(
+        "target", F.when(F.col("step") % 3 == 2, IGNORE_ID).otherwise(F.col("target"))
+    )
+    return tidy(M.cross_entropy(masked, by=["example_id"]))
+
+
 @query("softmax", with_views(
     f"SELECT example_id, {', '.join(f'round(e[{i + 1}] / list_sum(e), 6) AS p_{i}' for i in range(64))} FROM x",
     "logits", x=f"SELECT example_id, {EXPS} AS e FROM logits"))

@@ -37,13 +37,12 @@ def best_label(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(key, token, label, score, *keep)``: the most probable class, its label and probability."""
-    z = F.col(logits)
-    token = S.best_index(z)
+    token, score = S.best_of(F.col(logits), S.is_sparse(df, logits))
     return df.select(
         key,
         token.alias("token"),
         label_of(token, id2label).alias("label"),
-        S.best_probability(z).alias("score"),
+        score.alias("score"),
         *keep,
     )
 
@@ -51,8 +50,14 @@ def best_label(
 def label_probabilities(
     df: DataFrame, label2id: Mapping[str, int], logits: str = "logits", key: str = "example_id", prefix: str = "p_"
 ) -> DataFrame:
-    """One column per named label with its probability under the full softmax."""
+    """One column per named label with its probability under the full softmax.
+
+    A sparse row gives NULL for a label that it does not hold.
+    """
     z, norm = F.col(logits), F.col("_norm")
+    if S.is_sparse(df, logits):
+        held = [F.exp(S.score_at(z, F.lit(i)) - z["lse"]).alias(f"{prefix}{label}") for label, i in sorted(label2id.items())]
+        return df.select(key, *held)
     return df.select(key, logits, S.normalizer(z).alias("_norm")).select(
         key,
         *[S.probability_at(z, F.lit(i), norm).alias(f"{prefix}{label}") for label, i in sorted(label2id.items())],
@@ -76,8 +81,8 @@ def sequence_confidence(steps: DataFrame, logits: str = "logits", key: str = "ex
     Softmax happens per row before the shuffle, which carries one (step, token, score)
     per step.  A group holds one example's generation steps.
     """
-    z = F.col(logits)
-    per_step = steps.select(key, step, S.best_index(z).alias("_token"), S.best_probability(z).alias("_score"))
+    token, score = S.best_of(F.col(logits), S.is_sparse(steps, logits))
+    per_step = steps.select(key, step, token.alias("_token"), score.alias("_score"))
     return per_step.groupBy(key).agg(
         F.max("_score").alias("score"),
         F.sort_array(F.collect_list(F.struct(step, "_token")))["_token"].alias("tokens"),

@@ -7,16 +7,18 @@ and feeds it Arrow batches of the input columns alone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelkit.functions.keys import hash_uniform, keyed_text
-from labelkit.functions.scores import let
+from labelkit.functions.scores import SPARSE, is_sparse, let
 
 Model = Callable[[np.ndarray], np.ndarray]
 
@@ -69,6 +71,63 @@ def predict_scores(
     )
 
 
+def predict_sparse_scores(
+    df: DataFrame,
+    load: Callable[[], Model],
+    steps: int,
+    classes: int,
+    top: int,
+    wanted: Sequence[int] = (),
+    batch_size: int = 256,
+    text: str = "input_text",
+    key: str = "example_id",
+) -> DataFrame:
+    """``(key, step, logits)`` as :func:`predict_scores`, but with ``logits`` in the ``SPARSE`` form.
+
+    What the model gives for a batch is cut down in the worker that ran it: a row holds the
+    ``top`` best classes and the ``wanted`` ones, never all of them.
+    """
+    asked = np.array(sorted({i for i in wanted if 0 <= i < classes}), dtype=np.int64)
+    top = min(top, classes)
+
+    def cut(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        high = dense.max(axis=1)
+        lse = high + np.log(np.exp(dense - high[:, None]).sum(axis=1))
+        best = np.argsort(-dense, axis=1, kind="stable")[:, :top]
+        more = np.broadcast_to(asked, (len(dense), len(asked)))
+        ids = np.concatenate([best, more], axis=1)
+        keep = np.concatenate([np.ones_like(best, dtype=bool), ~(more[:, :, None] == best[:, None, :]).any(axis=2)], axis=1)
+        return lse, ids, keep
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = load()
+        for texts in batches:
+            every = []
+            for at in range(0, len(texts), batch_size):
+                some = np.array(texts.slice(at, batch_size).to_pylist(), dtype=object)
+                flat = np.asarray(model(some), dtype=np.float64)
+                if flat.shape != (len(some), steps * classes):
+                    raise ValueError(f"a model must give {steps * classes} scores per text")
+                dense = flat.reshape(-1, classes)
+                lse, ids, keep = cut(dense)
+                z = np.take_along_axis(dense, ids, axis=1)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype(np.int32))
+                columns = [
+                    pa.array(lse),
+                    pa.array(np.full(len(lse), top, dtype=np.int32)),
+                    pa.ListArray.from_arrays(offsets, pa.array(ids[keep].astype(np.int32))),
+                    pa.ListArray.from_arrays(offsets, pa.array(z[keep])),
+                ]
+                rows = pa.StructArray.from_arrays(columns, ["lse", "top", "ids", "z"])
+                every.append(pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * steps), rows))
+            yield pa.concat_arrays(every) if every else pa.nulls(0, pa.list_(kind))
+
+    kind = pa.struct([("lse", pa.float64()), ("top", pa.int32()), ("ids", pa.list_(pa.int32())), ("z", pa.list_(pa.float64()))])
+    model = F.arrow_udf(run, f"array<{SPARSE}>")
+    rows = df.select(key, model(F.coalesce(F.col(text), F.lit(""))).alias("_steps"))
+    return rows.select(key, F.posexplode("_steps").alias("step", "logits"))
+
+
 def pseudo_label(
     unlabeled: DataFrame, load: Callable[[], Model], path: str, batch_size: int = 256, key: str = "example_id"
 ) -> DataFrame:
@@ -78,6 +137,65 @@ def pseudo_label(
     return unlabeled.sparkSession.read.schema(predictions.schema).parquet(path)
 
 
+def label_in_buckets(
+    unlabeled: DataFrame,
+    load: Callable[[], Model],
+    path: str,
+    buckets: int = 64,
+    per_job: int = 8,
+    batch_size: int = 256,
+    key: str = "example_id",
+    text: str = "input_text",
+    truth: str = "label",
+) -> DataFrame:
+    """Label the pool bucket by bucket under ``path``; a rerun labels only what is missing.
+
+    A row's bucket is a hash of its key, so every run cuts alike.  The pool is written by
+    bucket first; then jobs of ``per_job`` buckets each replace their folder and, once that
+    is written, add it to the manifest.  A run that ends at any point leaves folders that
+    the manifest does not name, and the next run writes those again.  The result is read
+    from the finished folders alone.  ``path`` belongs to one pool, model and number of
+    buckets; a manifest of another number ends with an error.
+    """
+    spark = unlabeled.sparkSession
+    pool = f"{path}/pool"
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    narrow = unlabeled.select(key, F.col(text).alias("input_text"), F.col(truth).cast("string").alias("label"), bucket)
+    done = _finished(spark, path, buckets)
+    if "pool" not in done:
+        narrow.repartition("bucket", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(16))).write.mode("overwrite").partitionBy("bucket").parquet(pool)
+        _finish(spark, path, "pool", buckets)
+    every = [range(a, min(a + per_job, buckets)) for a in range(0, buckets, per_job)]
+    for own in every:
+        name = f"{own[0]:06d}-{own[-1]:06d}"
+        if name in done:
+            continue
+        rows = spark.read.schema(narrow.schema).parquet(pool).filter(F.col("bucket").isin(list(own)))
+        predict(rows, load, batch_size, key=key).write.mode("overwrite").parquet(f"{path}/labels/{name}")
+        _finish(spark, path, name, buckets)
+    folders = [f"{path}/labels/{own[0]:06d}-{own[-1]:06d}" for own in every]
+    schema = T.StructType([unlabeled.schema[key]]).add("predicted", "string").add("ground_truth", "string")
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def _finished(spark: SparkSession, path: str, buckets: int) -> set[str]:
+    """Names in the manifest, one small file per name; a missing manifest is an empty one."""
+    try:
+        rows = spark.read.schema("name string, buckets int").parquet(f"{path}/manifest/*").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    if any(r["buckets"] != buckets for r in rows):
+        raise ValueError(f"{path} was begun with another number of buckets")
+    return {r["name"] for r in rows}
+
+
+def _finish(spark: SparkSession, path: str, name: str, buckets: int) -> None:
+    row = spark.createDataFrame([(name, buckets)], "name string, buckets int").coalesce(1)
+    row.write.mode("overwrite").parquet(f"{path}/manifest/{name}")
+
+
 def sample_labels(
     df: DataFrame,
     n: int,
@@ -91,11 +209,19 @@ def sample_labels(
 
     The ``top_k`` largest logits (the lower token on a tie) share the probability
     ``exp(z / T)``; draw ``i`` takes the first token, in id order, whose cumulative
-    probability exceeds a hash-uniform.  Everything is row-local: no shuffle.
+    probability exceeds a hash-uniform.  Everything is row-local: no shuffle.  Sparse rows
+    have to hold ``top_k`` classes or more.
     """
     z = F.col(logits)
     scale = F.lit(float(temperature))
-    entries = F.transform(z, lambda x, i: F.struct((-x).alias("negative"), i.alias("token")))
+    if is_sparse(df, logits):
+        best = F.slice(F.arrays_zip(z["z"].alias("z"), z["ids"].alias("id")), 1, top_k)
+        few = F.raise_error(F.lit(f"sparse rows of scores must hold the {top_k} best classes"))
+        entries = F.transform(
+            F.when(z["top"] >= top_k, best).otherwise(few), lambda x: F.struct((-x["z"]).alias("negative"), x["id"].alias("token"))
+        )
+    else:
+        entries = F.transform(z, lambda x, i: F.struct((-x).alias("negative"), i.alias("token")))
     weights = let(
         F.slice(F.array_sort(entries), 1, top_k),
         lambda top: let(

@@ -48,10 +48,16 @@ def regression_scores(predictions: DataFrame) -> DataFrame:
 def cross_entropy(scores: DataFrame, logits: str = "logits", target: str = "target", by: Sequence[str] = ()) -> DataFrame:
     """Mean of ``-log p(target)`` over the positions whose target is neither ignored nor NULL.
 
-    A target outside of the scores has no loss and is not counted as a position.
+    A target outside of the scores has no loss and is not counted as a position.  Sparse
+    rows have to hold their target, or the job ends with an error.
     """
     z = F.col(logits)
-    loss = S.log_sum_exp(z) - F.get(z, F.col(target))
+    if S.is_sparse(scores, logits):
+        held = F.array_contains(z["ids"], F.col(target))
+        missing = F.raise_error(F.lit("a row of scores does not hold its target")).cast("double")
+        loss = F.when(held, z["lse"] - S.score_at(z, F.col(target))).otherwise(missing)
+    else:
+        loss = S.log_sum_exp(z) - F.get(z, F.col(target))
     return (
         scores.filter(F.col(target) != IGNORE_ID)
         .groupBy(*by)

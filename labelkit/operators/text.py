@@ -1,41 +1,40 @@
 """Corpus vocabulary, id encoding and decoding, batches.
 
 A vocabulary is a table ``(token, id, count)``.  Encoding and decoding take either that
-table, of any size, or the :class:`Dictionary` that :func:`compact` makes of it when it is
-small.  With a dictionary every row is encoded where it is read, without a shuffle.
+table, of any size, or the :class:`Dictionary` that :func:`compact` makes of it when its size
+allows.  A dictionary is an open-addressed table of tokens in flat arrays: every row is
+encoded where it is read.  With a larger vocabulary the most frequent tokens are such a table
+and only what lies outside of it is joined.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.functions import encoding as E
+from labelkit.functions.lookup import TokenTable, Words, count_tokens, slices
 from labelkit.operators.ranks import TOP_N_LIMIT, ordered_rank
 from labelkit.session import stage_table
 
-DICTIONARY_LIMIT = 50_000
-FREQUENT_TOKENS = 2_000
+#: Tokens of a dictionary at most: about 40 bytes each, in the driver and in every worker.
+DICTIONARY_LIMIT = 500_000
+#: Most frequent tokens that are looked up in place when the vocabulary is larger.
+FREQUENT_TOKENS = 100_000
 
 
 def build_vocab(df: DataFrame, columns: Sequence[str], size: int | None = None) -> DataFrame:
     """``(token, id, count)`` of all tokens of the whole texts, or of the ``size`` most frequent.
 
-    Ids follow frequency, then the token, after the reserved ones.  Counting combines on
-    the map side, so a frequent token costs one row per task; a large vocabulary is
-    numbered by one range shuffle.
+    Ids follow frequency, then the token, after the reserved ones.  Tasks send each distinct
+    token once per table that they fill; a large vocabulary is numbered by one range shuffle.
     """
-    words = E.tokens(F.concat_ws(" ", *columns))
-    counts = (
-        # The outer form, because the inner one adds a filter that tokenises once more.
-        df.select(F.explode_outer(words).alias("token"))
-        .filter(F.col("token").isNotNull())
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    counts = count_tokens(df.select(F.concat_ws(" ", *columns).alias("_joined")), "_joined")
     if size is None or size > TOP_N_LIMIT:
         narrow = stage_table(counts.withColumn("_less", -F.col("count")), "tokens")
         ranked = ordered_rank(narrow, ["_less", "token"], name="_rank")
@@ -47,57 +46,145 @@ def build_vocab(df: DataFrame, columns: Sequence[str], size: int | None = None)
     return top.select("token", (F.row_number().over(by_frequency) + (E.FIRST_TOKEN_ID - 1)).alias("id"), "count")
 
 
+def _lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 class Dictionary:
-    """A small vocabulary as literals: lookups are Column expressions.
+    """Tokens and their ids in flat arrays; lookups are Arrow functions of a column."""
+
+    def __init__(self, tokens: pa.Array, ids: np.ndarray):
+        self.table = TokenTable(tokens)
+        self.by_entry = ids.astype(np.int32)
+        self.by_id = np.full(int(ids.max(initial=-1)) + 1, -1, dtype=np.int32)
+        self.by_id[ids] = np.arange(len(ids), dtype=np.int32)
+
+    def __len__(self) -> int:
+        return len(self.table)
+
+    def _words(self, texts: pa.Array, limit: int | None) -> Iterator[Words]:
+        texts = texts.cast(pa.binary())
+        for start, stop in slices(texts):
+            yield Words.of(texts.slice(start, stop - start).to_pylist(), limit)
+
+    def _encode(self, words: Words) -> np.ndarray:
+        entry = self.table.find(words)
+        return np.where(entry < 0, np.int32(E.UNK_ID), self.by_entry[entry] if len(self) else np.int32(E.UNK_ID))
+
+    def ids(self, text: Column, limit: int | None = None) -> Column:
+        """Ids of the tokens of a text, or of its first ``limit``; the unknown id for other tokens."""
+
+        def encode(texts: pa.Array) -> pa.Array:
+            found = [(self._encode(w), w.counts) for w in self._words(texts, limit)]
+            none = [(np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))]
+            values, counts = (np.concatenate(x) for x in zip(*(found or none)))
+            return _lists(pa.array(values.astype(np.int32)), counts)
+
+        return F.arrow_udf(encode, "array<int>")(_lowered(text))
+
+    def ids_and_rest(self, text: Column, limit: int | None = None) -> Column:
+        """``struct(ids, pos, token)``: the ids, and the places and tokens that are not in the table."""
+
+        def encode(texts: pa.Array) -> pa.Array:
+            ids, counts, pos, rest, n_rest = [], [], [], [], []
+            for w in self._words(texts, limit):
+                own = self._encode(w)
+                unknown = np.flatnonzero(own == E.UNK_ID)
+                first = np.cumsum(w.counts) - w.counts
+                owner = np.repeat(np.arange(len(w.counts)), w.counts)[unknown]
+                ids.append(own)
+                counts.append(w.counts)
+                pos.append(unknown - first[owner])
+                rest += [w.token(i) for i in unknown]
+                n_rest.append(np.bincount(owner, minlength=len(w.counts)))
+            every = [np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (ids, counts, pos, n_rest)]
+            tokens = pa.array(rest, type=pa.binary()).cast(pa.string())
+            columns = [
+                _lists(pa.array(every[0].astype(np.int32)), every[1]),
+                _lists(pa.array(every[2].astype(np.int32)), every[3]),
+                _lists(tokens, every[3]),
+            ]
+            return pa.StructArray.from_arrays(columns, ["ids", "pos", "token"])
+
+        return F.arrow_udf(encode, "struct<ids:array<int>,pos:array<int>,token:array<string>>")(_lowered(text))
 
-    Tokens are spread over as many buckets as there are tokens, by a hash that Spark
-    computes on both sides; a lookup is an array access and a search in a map of a few
-    entries.  Ids index an array of words directly.
-    """
+    def text(self, ids: Column) -> Column:
+        """Words of an array of ids, joined by blanks; reserved and unknown ids are skipped."""
 
-    def __init__(self, rows: Sequence[tuple[str, int, int]]):
-        """``rows`` are (token, id, Spark hash of the token)."""
-        self._n_buckets = max(len(rows), 1)
-        buckets: list[dict[str, int]] = [{} for _ in range(self._n_buckets)]
-        words: list[str | None] = [None] * (1 + max((i for _, i, _ in rows), default=0))
-        for token, i, token_hash in rows:
-            buckets[token_hash % self._n_buckets][token] = i
-            words[i] = token
-        self._buckets = json.dumps(buckets)
-        self._words = json.dumps(words)
+        def decode(lists: pa.Array) -> pa.Array:
+            return _decode(self, lists, None, None)
 
-    def ids(self, tokens: Column) -> Column:
-        """Ids of an array of tokens; the unknown id for tokens outside the vocabulary."""
-        buckets = F.from_json(F.lit(self._buckets), "array<map<string,int>>")
+        return F.arrow_udf(decode, "string")(ids.cast("array<int>"))
 
-        def lookup(token: Column) -> Column:
-            bucket = F.get(buckets, F.pmod(F.hash(token), F.lit(self._n_buckets)))
-            return F.coalesce(F.try_element_at(bucket, token), F.lit(E.UNK_ID))
 
-        return F.transform(tokens, lookup)
+def _lowered(text: Column) -> Column:
+    return F.lower(F.coalesce(text.cast("string"), F.lit("")))
 
-    def text(self, ids: Column) -> Column:
-        """Words of an array of ids, joined by blanks; reserved ids are skipped."""
-        words = F.from_json(F.lit(self._words), "array<string>")
-        return F.array_join(F.transform(ids, lambda i: F.get(words, i)), " ")
+
+def _decode(words: Dictionary, lists: pa.Array, pos: pa.Array | None, tokens: pa.Array | None) -> pa.Array:
+    """Texts of lists of ids; ``tokens`` stand at the places ``pos`` of their lists (ascending)."""
+    counts = np.asarray(pc.fill_null(lists.value_lengths(), 0), dtype=np.int64)
+    ids = np.asarray(pc.fill_null(lists.flatten(), -1), dtype=np.int64)
+    known = (ids >= 0) & (ids < len(words.by_id))
+    entry = np.full(len(ids), -1, dtype=np.int64)
+    entry[known] = words.by_id[ids[known]]
+    if tokens is None:
+        there = entry >= 0
+        owner = np.repeat(np.arange(len(counts)), counts)[there]
+        out = words.table.joined(entry[there], np.bincount(owner, minlength=len(counts)))
+    else:
+        first = np.cumsum(counts) - counts
+        given: dict[int, str] = {}
+        for row, (places, own) in enumerate(zip(pos.to_pylist(), tokens.to_pylist())):
+            given.update((int(first[row]) + p, t) for p, t in zip(places or (), own or ()))
+        table = words.table
+        texts = []
+        for row, n in enumerate(counts):
+            some = range(int(first[row]), int(first[row]) + int(n))
+            found = [given.get(i) or _token(table, entry[i]) for i in some]
+            texts.append(" ".join(t for t in found if t is not None))
+        out = pa.array(texts, type=pa.string())
+    if lists.null_count:
+        out = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), out)
+    return out
+
+
+def _token(table: TokenTable, entry: int) -> str | None:
+    if entry < 0:
+        return None
+    return table.blob[table.offsets[entry] : table.offsets[entry + 1]].tobytes().decode()
+
+
+def _dictionary(vocab: DataFrame) -> Dictionary:
+    """The dictionary of a vocabulary of a checked size."""
+    rows = vocab.select("token", F.col("id").cast("int").alias("id")).toArrow()
+    tokens = rows.column("token").combine_chunks()
+    tokens = pa.concat_arrays(tokens.chunks) if isinstance(tokens, pa.ChunkedArray) else tokens
+    return Dictionary(tokens.cast(pa.string()), np.asarray(rows.column("id")))
 
 
 def compact(vocab: DataFrame, limit: int = DICTIONARY_LIMIT) -> Dictionary | DataFrame:
     """The dictionary of a vocabulary of at most ``limit`` tokens, else the table unchanged.
 
-    At most ``limit + 1`` rows reach the driver.
+    The vocabulary is written once, so that it is not counted twice; at most ``limit``
+    tokens reach the driver.
     """
-    rows = vocab.select("token", "id", F.hash("token")).limit(limit + 1).collect()
-    return vocab if len(rows) > limit else Dictionary(rows)
+    kept = stage_table(vocab.select("token", "id"), "vocab")
+    return vocab if kept.count() > limit else _dictionary(kept)
 
 
 def encode_text(
     df: DataFrame, vocab: Dictionary | DataFrame, text: str = "input_text", key: str = "example_id"
 ) -> DataFrame:
-    """``(key, ids)`` of the whole text; tokens outside the vocabulary become the unknown id."""
+    """``(key, ids)`` of the whole text; tokens outside the vocabulary become the unknown id.
+
+    NULL and empty texts have no ids, repeated rows stay, and a text is encoded whole
+    however long it is.
+    """
     if isinstance(vocab, Dictionary):
-        return df.select(key, vocab.ids(E.tokens(F.col(text))).alias("ids"))
-    return _encode_by_join(df.select(key, F.col(text).alias("_text")), vocab, key, [("_text", None, "ids")])
+        return df.select(key, vocab.ids(F.col(text)).alias("ids"))
+    return _encode_with_rest(df, vocab, key, [(text, None, "ids")])
 
 
 def encode_examples(
@@ -111,15 +198,11 @@ def encode_examples(
 
     Tokens beyond the model's length are cut before the lookup.
     """
+    fields = [("input_text", source_len, "_source"), ("label", target_len, "_target")]
     if isinstance(vocab, Dictionary):
-        ids = df.select(
-            key,
-            vocab.ids(F.slice(E.tokens(F.col("input_text")), 1, source_len)).alias("_source"),
-            vocab.ids(F.slice(E.tokens(F.col("label")), 1, target_len)).alias("_target"),
-        )
+        ids = df.select(key, *[vocab.ids(F.col(c), n).alias(name) for c, n, name in fields])
     else:
-        fields = [("input_text", source_len, "_source"), ("label", target_len, "_target")]
-        ids = _encode_by_join(df, vocab, key, fields)
+        ids = _encode_with_rest(df, vocab, key, fields)
     return ids.select(
         key,
         E.pad_truncate(F.col("_source"), source_len).alias("source_ids"),
@@ -133,63 +216,74 @@ def encode_examples(
     )
 
 
-def _encode_by_join(
+def _head(vocab: DataFrame) -> tuple[Dictionary, DataFrame]:
+    """The ``FREQUENT_TOKENS`` lowest ids, which are the most frequent tokens, and the others as a table."""
+    frequent = F.col("id") < E.FIRST_TOKEN_ID + FREQUENT_TOKENS
+    kept = stage_table(vocab.select("token", F.col("id").cast("int").alias("id")), "vocab")
+    return _dictionary(kept.filter(frequent)), kept.filter(~frequent)
+
+
+def _put(ids: pa.Array, pos: pa.Array, new: pa.Array) -> pa.Array:
+    """``ids`` with the values ``new`` at the places ``pos`` of each list."""
+    counts = np.asarray(ids.value_lengths(), dtype=np.int64)
+    values = np.asarray(ids.flatten(), dtype=np.int32).copy()
+    first = np.cumsum(counts) - counts
+    owner = np.repeat(np.arange(len(counts)), np.asarray(pc.fill_null(pos.value_lengths(), 0)))
+    values[first[owner] + np.asarray(pos.flatten(), dtype=np.int64)] = np.asarray(new.flatten(), dtype=np.int32)
+    return _lists(pa.array(values), counts)
+
+
+def _encode_with_rest(
     df: DataFrame, vocab: DataFrame, key: str, fields: Sequence[tuple[str, int | None, str]]
 ) -> DataFrame:
-    """Encode ``(column, length, name)`` fields by one shuffle join with a large vocabulary.
+    """Encode ``(column, length, name)`` fields with a vocabulary larger than a dictionary.
 
-    Frequent tokens are met by a broadcast.  Rows are told apart by a number of their own,
-    so a repeated key gives as many rows as it has.
+    Frequent tokens are looked up in place.  The others are joined with the rest of the
+    vocabulary by a shuffle, and what is found goes back into its row.  Rows are told apart
+    by a number of their own, so a repeated key gives as many rows as it has.
     """
+    head, rest = _head(vocab)
+    names = [name for _, _, name in fields]
+    coded = df.select(key, *[head.ids_and_rest(F.col(c), n).alias(name) for c, n, name in fields])
+    coded = stage_table(coded.withColumn("_row", F.monotonically_increasing_id()), "encoded")
 
-    def tagged(tag: int, column: str, length: int | None) -> Column:
-        words = E.tokens(F.col(column))
-        cut = words if length is None else F.slice(words, 1, length)
-        return F.transform(cut, lambda t, i: F.struct(F.lit(tag).alias("field"), i.alias("pos"), t.alias("token")))
-
-    every = F.concat(*[F.coalesce(tagged(i, c, n), F.array()) for i, (c, n, _) in enumerate(fields)])
-    items = df.withColumn("_row", F.monotonically_increasing_id()).select(key, "_row", F.explode_outer(every).alias("_i"))
-    found = _with_vocab(items.select(key, "_row", "_i.*"), vocab, "token", "id")
-    known = F.struct("field", "pos", F.coalesce("id", F.lit(E.UNK_ID)).alias("id"))
-    gathered = found.groupBy(key, "_row").agg(
-        F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), known))).alias("_items")
-    )
+    def items(i: int, name: str) -> Column:
+        both = F.arrays_zip(F.col(f"{name}.pos").alias("pos"), F.col(f"{name}.token").alias("token"))
+        return F.transform(both, lambda x: F.struct(F.lit(i).alias("field"), x["pos"].alias("pos"), x["token"].alias("token")))
 
-    def ids(tag: int) -> Column:
-        return F.filter("_items", lambda x: x["field"] == tag)["id"]
+    open_items = F.concat(*[items(i, name) for i, name in enumerate(names)])
+    asked = coded.select("_row", F.explode(open_items).alias("_i")).select("_row", "_i.*")
+    met = asked.join(rest, "token").select("_row", F.struct("field", "pos", "id").alias("_new"))
+    news = met.groupBy("_row").agg(F.collect_list("_new").alias("_new"))  # at most the tokens of a row
+    put = F.arrow_udf(_put, "array<int>")
 
-    return gathered.select(key, *[ids(i).alias(name) for i, (_, _, name) in enumerate(fields)])
+    def ids(i: int, name: str) -> Column:
+        own = F.filter(F.coalesce("_new", F.array()), lambda x: x["field"] == i)
+        return put(F.col(f"{name}.ids"), own["pos"], own["id"]).alias(name)
 
-
-def _with_vocab(items: DataFrame, vocab: DataFrame, on: str, value: str) -> DataFrame:
-    """``items`` with the vocabulary's ``value`` for their ``on`` column, NULL if it has none.
-
-    The ``FREQUENT_TOKENS`` lowest ids, which are the most frequent tokens, are broadcast.
-    Their rows keep away from the shuffle join's keys, spread by a hash of the row.
-    """
-    frequent = vocab.filter(F.col("id") < E.FIRST_TOKEN_ID + FREQUENT_TOKENS)
-    met = items.join(F.broadcast(frequent.select(on, F.col(value).alias("_value"))), on, "left")
-    rest = F.when(F.col("_value").isNull() & F.col(on).isNotNull(), F.col(on).cast("string"))
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*items.columns).cast("string"))
-    others = vocab.filter(F.col("id") >= E.FIRST_TOKEN_ID + FREQUENT_TOKENS).select(
-        F.col(on).cast("string").alias("_key"), F.col(value).alias("_other")
-    )
-    joined = met.withColumn("_key", F.coalesce(rest, spread)).join(others, "_key", "left")
-    return joined.select(*items.columns, F.coalesce("_value", "_other").alias(value))
+    joined = coded.join(news, "_row", "left")
+    return joined.select(key, *[ids(i, name) for i, name in enumerate(names)])
 
 
 def decode_ids(
     df: DataFrame, vocab: Dictionary | DataFrame, ids: str = "ids", key: str = "example_id"
 ) -> DataFrame:
-    """``(key, text)`` with reserved ids (padding, end, unknown) skipped."""
+    """``(key, text)`` with reserved ids (padding, end, unknown) skipped; NULL ids give NULL with a dictionary, else an empty text."""
     if isinstance(vocab, Dictionary):
         return df.select(key, vocab.text(F.col(ids)).alias("text"))
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    items = numbered.select(key, "_row", F.posexplode_outer(ids).alias("_pos", "id"))
-    found = _with_vocab(items, vocab, "id", "token")
-    words = F.when(F.col("token").isNotNull(), F.struct("_pos", "token"))
-    texts = found.groupBy(key, "_row").agg(F.array_join(F.sort_array(F.collect_list(words))["token"], " ").alias("text"))
-    return texts.select(key, "text")
+    head, rest = _head(vocab)
+    frequent = E.FIRST_TOKEN_ID + FREQUENT_TOKENS
+    listed = F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>"))
+    rows = stage_table(df.select(key, listed.alias("_ids")).withColumn("_row", F.monotonically_increasing_id()), "ids")
+    asked = rows.select("_row", F.posexplode("_ids").alias("_pos", "id")).filter(F.col("id") >= frequent)
+    met = asked.join(rest, "id").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_new"))
+
+    def decode(lists: pa.Array, pos: pa.Array, tokens: pa.Array) -> pa.Array:
+        return _decode(head, lists, pos, tokens)
+
+    decoded = F.arrow_udf(decode, "string")
+    joined = rows.join(met, "_row", "left")
+    return joined.select(key, decoded(F.col("_ids"), F.col("_new._pos"), F.col("_new.token")).alias("text"))
 
 
 def assign_batches(

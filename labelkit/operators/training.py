@@ -6,6 +6,7 @@ model, trained by Spark over the partitions of the training table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,13 +14,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelkit.functions.encoding import SEPARATOR
 from labelkit.operators.stats import class_weights
 from labelkit.session import stage_table
 
+#: Version of the saved form.
+FORMAT = 1
+
 
 @dataclass(frozen=True)
 class LabelModel:
@@ -98,3 +102,18 @@ def apply_label_model(model: LabelModel, df: DataFrame, key: str = "example_id")
         F.get(names, F.col("_prediction").cast("int")).alias("predicted"),
         F.col("_truth").alias("ground_truth"),
     )
+
+
+def save_label_model(spark: SparkSession, model: LabelModel, path: str) -> None:
+    """Stages and labels as one bundle; its document is written last, so a bundle that has it is whole."""
+    model.stages.save(f"{path}/stages")
+    document = json.dumps({"format": FORMAT, "labels": list(model.labels)})
+    spark.createDataFrame([(document,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}/model")
+
+
+def load_label_model(spark: SparkSession, path: str) -> LabelModel:
+    """A saved bundle; an unknown version ends with an error."""
+    document = json.loads(spark.read.text(f"{path}/model").first()["value"])
+    if document["format"] != FORMAT:
+        raise ValueError(f"format {document['format']} of a model is not known")
+    return LabelModel(PipelineModel.load(f"{path}/stages"), document["labels"])

@@ -1,4 +1,4 @@
-"""The three experiments: one target over trials, source to target, confidence study."""
+"""The experiments: one target over trials, source to target, self-training, confidence study."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelkit.operators.bayes import BayesModel, fit_bayes, predict_bayes
 from labelkit.operators.confidence import (
     auto_label_accuracy,
     best_label,
@@ -17,8 +18,10 @@ from labelkit.operators.confidence import (
 )
 from labelkit.operators.inference import Model, predict
 from labelkit.operators.metrics import accuracy, trial_summary
+from labelkit.operators.relations import confident, keep_keys, minus_keys, union_examples
 from labelkit.operators.splits import SplitSpec, pseudo_split, review_partition, source_pool, trial_splits
 from labelkit.operators.training import apply_label_model, transfer_train
+from labelkit.session import stage_table
 
 
 def target_experiment(
@@ -57,6 +60,78 @@ def transfer_experiment(
     return apply_label_model(model, splits.filter(F.col("split") == "test"), key)
 
 
+def transfer_trials(
+    df: DataFrame,
+    source: SplitSpec,
+    target: SplitSpec,
+    trials: int,
+    run: str,
+    source_weight: float = 0.1,
+    alpha: float = 1.0,
+    key: str = "example_id",
+) -> DataFrame:
+    """Source to target over seeded trials: per run the accuracies, their mean and deviation.
+
+    The source model is fitted once.  The trial is a dimension of the target fit: one scan
+    counts for the models of all trials, and an example that several trials test is read
+    once and scored by each.
+    """
+    pool = source_pool(df, source, key=key).filter(F.col("split") == "train")
+    prior = fit_bayes(pool, alpha)
+    splits = stage_table(trial_splits(df, target, trials, key), "trials")
+    texts = target.select(df).select(key, "input_text", "label")
+    train = splits.filter(F.col("split") == "train").join(texts, key)
+    model = fit_bayes(train, alpha, ["trial"], prior, source_weight)
+    tested = splits.filter(F.col("split") == "test").select("trial", key)
+    scored = predict_bayes(model, keep_keys(texts, tested, key), key=key)
+    results = accuracy(scored.join(tested, ["trial", key], "left_semi"), ["trial"])
+    return trial_summary(results.select(F.lit(run).alias("run"), "trial", "accuracy"))
+
+
+@dataclass(frozen=True)
+class SelfTraining:
+    """The last model, and ``pseudo (key, round, predicted, ground_truth, score, margin)``."""
+
+    model: BayesModel
+    pseudo: DataFrame
+    rounds: int
+
+
+def self_training(
+    labeled: DataFrame,
+    unlabeled: DataFrame,
+    theta: float,
+    max_rounds: int = 10,
+    alpha: float = 1.0,
+    by: str = "margin",
+    key: str = "example_id",
+) -> SelfTraining:
+    """Label the confident rows of the pool, learn from them as well, and go on with the others.
+
+    A round scores what is still unlabelled and keeps the rows whose ``by`` (``margin``, the
+    log odds per token, or ``score``, the probability) reaches ``theta``; their counts are
+    added to the model, which reads the new rows only.  It ends when a round finds none, or
+    after ``max_rounds``.  The kept rows of each round are written.
+    """
+    model = fit_bayes(labeled, alpha)
+    pool = unlabeled.select(key, "input_text", "label")
+    found: list[DataFrame] = []
+    empty = None
+    while len(found) < max_rounds:
+        left = minus_keys(pool, union_examples(found), key) if found else pool
+        scored = predict_bayes(model, left, key=key, keep=["input_text"])
+        sure = confident(scored, theta, by).withColumn("round", F.lit(len(found) + 1))
+        sure = stage_table(sure, f"pseudo-{len(found) + 1}")
+        if sure.isEmpty():
+            empty = sure
+            break
+        found.append(sure)
+        model = fit_bayes(sure, alpha, source=model, source_weight=1.0, label="predicted")
+    every = union_examples(found) if found else empty
+    columns = [key, "round", "predicted", "ground_truth", "score", "margin"]
+    return SelfTraining(model, every.select(*columns), len(found))
+
+
 @dataclass(frozen=True)
 class ConfidenceStudy:
     confidence: DataFrame

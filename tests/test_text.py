@@ -85,3 +85,39 @@ def test_both_ways_agree_on_repeated_keys(spark):
     assert by_join.count() == 4
     words = sorted(map(str, T.decode_ids(by_join, vocab).collect()))
     assert words == sorted(map(str, T.decode_ids(by_join, T.compact(vocab)).collect()))
+
+
+def test_a_large_vocabulary_joins_only_what_is_rare(spark, monkeypatch):
+    monkeypatch.setattr(T, "FREQUENT_TOKENS", 3)
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 9)) + " rare" * (i == 5), f"w{i % 4}") for i in range(40)] + [(50, None, None), (50, "", "w0 w8")]
+    df = spark.createDataFrame(rows, "example_id long, input_text string, label string")
+    vocab = T.build_vocab(df, ["input_text", "label"])
+    small = T.compact(vocab)
+    assert len(small) == vocab.count()
+    for limit in (None, 4):
+        cut = vocab if limit is None else vocab.filter(F.col("id") < E.FIRST_TOKEN_ID + 5)
+        a, b = T.encode_text(df, cut), T.encode_text(df, T.compact(cut))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        x, y = T.encode_examples(df, cut, 4, 3), T.encode_examples(df, T.compact(cut), 4, 3)
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    ids = T.encode_text(df, small)
+    assert sorted(map(str, T.decode_ids(ids, vocab).collect())) == sorted(map(str, T.decode_ids(ids, small).collect()))
+
+
+def test_only_rare_tokens_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(T, "FREQUENT_TOKENS", 1)
+    df = texts(spark)
+    T.encode_text(df, T.build_vocab(df, ["input_text", "label"])).collect()
+    head, _ = T._head(T.build_vocab(df, ["input_text", "label"]))
+    rest = df.select(head.ids_and_rest(F.col("input_text")).alias("c")).select(F.explode("c.token").alias("t")).collect()
+    assert "cat" not in {r["t"] for r in rest} and {r["t"] for r in rest} == {"the", "dog", "zebra"}
+
+
+def test_more_than_one_slice_of_texts(spark):
+    long = " ".join(f"t{i % 1000}" for i in range(400_000))
+    df = spark.createDataFrame([(1, long, "a"), (2, "t1 t2", "b"), (3, long, None)], "example_id long, input_text string, label string").coalesce(1)
+    vocab = T.compact(T.build_vocab(df, ["input_text", "label"]))
+    found = {r["example_id"]: r["n"] for r in T.encode_text(df, vocab).select("example_id", F.size("ids").alias("n")).collect()}
+    assert found == {1: 400_000, 2: 2, 3: 400_000}
+    words = {r["example_id"]: r["text"] for r in T.decode_ids(T.encode_text(df, vocab), vocab).collect()}
+    assert words == {1: long, 2: "t1 t2", 3: long}
