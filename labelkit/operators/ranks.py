@@ -1,9 +1,11 @@
 """Exact global ranks and exact cut points without a single-partition window.
 
-Three tools, from cheapest to dearest:
+Four tools, from cheapest to dearest:
 
 ``cut_keys``      which (order, key) pair sits at given ranks; two narrow scans, no
                   shuffle of the data.  Enough for every sample and split.
+``Settled``       cuts of several orders, of which later ones depend on earlier ones: each
+                  pass counts for the next cut while it settles the last one.
 ``hashed_rank``   a full rank in hash order; one shuffle of the rows, spread over
                   65,536 buckets per group, so a hot group is spread as well.
 ``ordered_rank``  a full rank in value order; one range shuffle on (group, order),
@@ -12,12 +14,14 @@ Three tools, from cheapest to dearest:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkit.functions.keys import bucket_of
+from labelkit.functions.keys import BUCKET_DIGITS, bucket_of
 from labelkit.session import sized_table, stage_table
 
 OFFSETS_LIMIT = 200_000
@@ -116,6 +120,69 @@ def at_or_before(order: Column, key: Column, cut: tuple | Column | None) -> Colu
     return (order < F.lit(cut[0])) | ((order == F.lit(cut[0])) & (key <= F.lit(cut[1])))
 
 
+def places_of(counts: Mapping[str, int], ranks: Sequence[int]) -> list[tuple[str, int] | None]:
+    """The bucket that holds each rank and the place of the rank in it; None for rank 0."""
+    names = sorted(counts)
+    upto = list(accumulate(counts[b] for b in names))
+    out: list[tuple[str, int] | None] = []
+    for rank in ranks:
+        rank = max(0, min(rank, upto[-1] if upto else 0))
+        i = bisect_left(upto, rank)
+        out.append((names[i], rank - upto[i] + counts[names[i]]) if rank else None)
+    return out
+
+
+class Settled:
+    """Cuts of one written table of keys and flags whose members depend on earlier cuts.
+
+    A pass counts the members of the next order per hash bucket, as far as earlier cuts
+    leave no doubt about them, and brings the rows of the buckets that hold the last cuts,
+    1 / 65,536 of all rows each.  These settle the last cuts and are then counted here.
+    Every pass is one job.
+    """
+
+    def __init__(self, rows: DataFrame, columns: Sequence[str]):
+        self.rows, self.columns = rows, list(columns)
+
+    def count(self, items: Column, doubt: Column | None = None) -> tuple[dict[str, int], list[dict]]:
+        """Members per bucket among rows without doubt, and the rows in doubt.
+
+        ``items`` is an array with an order key for each membership of a row.
+        """
+        doubt = F.lit(False) if doubt is None else doubt
+        none = [F.lit(None).cast(self.rows.schema[c].dataType).alias(c) for c in self.columns]
+        counted = (
+            self.rows.filter(~doubt)
+            .select(F.explode(items).alias("_order"))
+            .groupBy(bucket_of(F.col("_order")).alias("_bucket"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .select("_bucket", "_n", *none)
+        )
+        open_rows = self.rows.filter(doubt).select(F.lit(None).cast("string").alias("_bucket"), F.lit(None).cast("long").alias("_n"), *self.columns)
+        found = counted.unionByName(open_rows).toArrow()
+        sums = found.filter(found.column("_n").is_valid())
+        counts = dict(zip(sums.column("_bucket").to_pylist(), sums.column("_n").to_pylist()))
+        return counts, found.filter(found.column("_n").is_null()).select(self.columns).to_pylist()
+
+    def bring(self, doubt: Column) -> list[dict]:
+        return self.rows.filter(doubt).select(*self.columns).toArrow().to_pylist()
+
+
+def settle(places: Sequence[tuple[str, int] | None], members: Iterable[tuple[str, object]]) -> list[tuple | None]:
+    """The ``(order, key)`` pair at each place, from the members of the buckets concerned."""
+    inside: dict[str, list[tuple[str, object]]] = {}
+    for order, key in members:
+        inside.setdefault(order[:BUCKET_DIGITS], []).append((order, key))
+    for own in inside.values():
+        own.sort()
+    return [None if p is None else inside[p[0]][p[1] - 1] for p in places]
+
+
+def in_buckets(order: Column, places: Sequence[tuple[str, int] | None]) -> Column:
+    """Whether an order key lies in one of the buckets that hold a cut."""
+    return bucket_of(order).isin([p[0] for p in places if p is not None])
+
+
 def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join on columns of equal names under which NULL equals NULL."""
     there = right.withColumnsRenamed({c: f"_right_{c}" for c in on})

@@ -8,17 +8,18 @@ instead of one per step and no anti-joins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.functions.keys import order_key
-from labelkit.operators.ranks import Cut, at_or_before, cut_keys, cut_point, lowest
+from labelkit.functions.keys import BUCKET_DIGITS, order_key
+from labelkit.operators.ranks import Cut, Settled, at_or_before, cut_keys, cut_point, in_buckets, lowest, places_of, settle
 from labelkit.operators.relations import select_target, select_tasks
 from labelkit.operators.sampling import truncated
-from labelkit.session import SMALL_SIDE_ROWS
+from labelkit.session import SMALL_SIDE_ROWS, counting_table
 
 
 @dataclass(frozen=True)
@@ -59,6 +60,12 @@ class SplitSpec:
     def n_val(self, n: Column) -> Column:
         return truncated(self.val_frac)(self.n_kept(n))
 
+    def sizes(self, n: int) -> tuple[int, int, int]:
+        """The same three numbers for a known number of target rows: test, kept, val."""
+        test = math.floor(float(self.test_frac) * float(n))
+        kept = math.floor(float(self.train_frac) * float(n - test))
+        return test, kept, math.floor(float(self.val_frac) * float(kept))
+
 
 def _label_ranges(
     df: DataFrame, order: Column, key: str, cuts: Sequence[tuple | Column | None], names: Sequence[str | None]
@@ -133,37 +140,46 @@ def source_pool(
     With ``example_threshold``, training rows are limited to it, joined with the test rows,
     and the union is limited to it again.  By default every row is used.
     """
-
-    def capped_val(n: Column) -> Column:
-        v = spec.n_val(n)
-        return v if val_cap is None else F.when(v >= val_trigger, F.least(v, F.lit(val_cap))).otherwise(v)
-
-    def capped_train(n: Column) -> Column:
-        rest = spec.n_kept(n) - spec.n_val(n)
-        return rest if example_threshold is None else F.least(rest, F.lit(example_threshold))
-
-    def through_val(n: Column) -> Column:
-        return spec.n_test(n) + spec.n_val(n)
-
-    staged = _cut_split(
-        spec.select(df),
-        spec.seed,
-        "split",
-        key,
-        [
-            spec.n_test,
-            lambda n: spec.n_test(n) + capped_val(n),
-            through_val,
-            lambda n: through_val(n) + capped_train(n),
-        ],
-        ["train", "val", None, "train"],
-    )
+    order = order_key(spec.seed, "split", F.col(key))
+    names = ["train", "val", None, "train"]
+
+    def ranks(n: int) -> list[int]:
+        test, kept, val = spec.sizes(n)
+        capped = val if val_cap is None or val < val_trigger else min(val, val_cap)
+        rest = kept - val if example_threshold is None else min(kept - val, example_threshold)
+        return [test, test + capped, test + val, test + val + rest]
+
+    selected = spec.select(df)
+    narrow = Settled(counting_table(selected.select(F.col(key).alias("_key"), order.alias("_order")), "split-keys"), ["_key", "_order"])
+    counts, _ = narrow.count(F.array("_order"))
+    places = places_of(counts, ranks(sum(counts.values())))
     if example_threshold is None:
-        return staged
+        near = narrow.bring(in_buckets(F.col("_order"), places))
+        cuts = settle(places, [(r["_order"], r["_key"]) for r in near])
+        return _label_ranges(selected, order, key, cuts, names)
+
+    pool_order = order_key(spec.seed, "pool", F.col("_key"))
+    # a row outside of the buckets with cuts has the name of the first cut whose bucket lies behind it
+    bucket, split = F.substring("_order", 1, BUCKET_DIGITS), F.lit(None).cast("string")
+    for place, name in zip(reversed(places), reversed(names)):
+        if place is not None:
+            split = F.when(bucket < place[0], F.lit(name)).otherwise(split)
+    member = F.when(split == "train", F.array(pool_order)).otherwise(F.array().cast("array<string>"))
+    narrow = Settled(narrow.rows.withColumn("_pool", pool_order), ["_key", "_order", "_pool"])
+    pool_counts, open_rows = narrow.count(member, in_buckets(F.col("_order"), places))
+    cuts = settle(places, [(r["_order"], r["_key"]) for r in open_rows])
+    for r in open_rows:
+        at = next((i for i, c in enumerate(cuts) if c is not None and (r["_order"], r["_key"]) <= c), None)
+        if at is not None and names[at] == "train":
+            own = r["_pool"][:BUCKET_DIGITS]
+            pool_counts[own] = pool_counts.get(own, 0) + 1
+    pool_places = places_of(pool_counts, [example_threshold])
+    staged = _label_ranges(narrow.rows, F.col("_order"), "_key", cuts, names)
+    near = staged.filter((F.col("split") == "train") & in_buckets(F.col("_pool"), pool_places)).select("_pool", "_key").collect()
+    (limit,) = settle(pool_places, map(tuple, near))
     order = order_key(spec.seed, "pool", F.col(key))
-    pool = staged.filter(F.col("split") == "train")
-    (limit,) = cut_point(pool, key, order, [lambda n: F.lit(example_threshold)])
-    return staged.filter((F.col("split") == "val") | at_or_before(order, F.col(key), limit))
+    named = _label_ranges(selected, order_key(spec.seed, "split", F.col(key)), key, cuts, names)
+    return named.filter((F.col("split") == "val") | at_or_before(order, F.col(key), limit))
 
 
 def transfer_split(
@@ -188,9 +204,9 @@ def transfer_split(
     set with all its copies.
     """
     order = order_key(spec.seed, "split", F.col(key))
-    (test_cut,) = cut_point(spec.select(df), key, order, [spec.n_test])
     sources = list(source_ids)
     in_source = F.lit(True) if use_all else F.col("task_id").isin(sources) if sources else F.lit(False)
+    test_cut, val_cut, cap = _transfer_cuts(df, spec, in_source, sample_train_to, exclude_test or use_all, key)
     test = F.col("_test")
     from_source = in_source
     if exclude_test or use_all:
@@ -205,16 +221,6 @@ def transfer_split(
     def copy_order(copy: Column) -> Column:
         return order_key(spec.seed, "val", F.col(key), copy)
 
-    def present(copy: str) -> Column:
-        return F.when(F.col(f"_{copy}"), F.lit(copy))
-
-    pool = marked.select(key, F.explode(F.array_compact(F.array(present("rest"), present("source")))).alias("copy"))
-    (val_cut,) = cut_point(
-        pool,
-        key,
-        copy_order(F.col("copy")),
-        [lambda n: F.floor(F.lit(float(spec.val_frac)) * n.cast("double") * F.lit(float(spec.train_frac)))],
-    )
     for copy in ("rest", "source"):
         drawn = F.col(f"_{copy}") & at_or_before(copy_order(F.lit(copy)), F.col(key), val_cut)
         marked = marked.withColumn(f"_{copy}_val", drawn)
@@ -232,11 +238,89 @@ def transfer_split(
     if sample_train_to is None:
         return out
     cap_order = order_key(spec.seed, "cap", F.col(key), F.col("copy"))
-    train = out.filter(F.col("split") == "train")
-    (cap,) = cut_point(train, key, cap_order, [lambda n: F.lit(sample_train_to)])
     return out.filter((F.col("split") != "train") | at_or_before(cap_order, F.col(key), cap))
 
 
+COPIES = ("rest", "source")
+
+
+def _transfer_cuts(
+    df: DataFrame, spec: SplitSpec, in_source: Column, sample_train_to: int | None, apart: bool, key: str
+) -> tuple[tuple | None, tuple | None, tuple | None]:
+    """The cuts of the test rows, of the validation copies and of the capped training copies.
+
+    One narrow table of keys and flags is written; every pass over it is one job.  ``apart``
+    keeps target rows out of the source copies.
+    """
+    wanted = spec.is_target().alias("_target"), F.coalesce(in_source, F.lit(False)).alias("_in")
+    keys = df.select(F.col(key).alias("_key"), *wanted).filter("_target OR _in")
+    seed = spec.seed
+    orders = {
+        "_order": order_key(seed, "split", F.col("_key")),
+        **{f"_val_{c}": order_key(seed, "val", F.col("_key"), F.lit(c)) for c in COPIES},
+        **{f"_cap_{c}": order_key(seed, "cap", F.col("_key"), F.lit(c)) for c in COPIES},
+    }
+    rows = counting_table(keys, "split-keys").withColumns(orders)
+    table = Settled(rows, ["_key", "_target", "_in", *orders])
+    empty = F.array().cast("array<string>")
+
+    def listed(parts: list[tuple[Column, str]]) -> Column:
+        return F.array_compact(F.array(*[F.when(there, F.col(name)) for there, name in parts]))
+
+    def copies(test: Column) -> list[tuple[Column, str]]:
+        source = F.col("_in") & ~F.col("_target") if apart else F.col("_in")
+        return [(F.col("_target") & ~test, "rest"), (source, "source")]
+
+    def copies_of(row: dict, test_cut: tuple | None) -> list[str]:
+        test = row["_target"] and test_cut is not None and (row["_order"], row["_key"]) <= test_cut
+        there = {"rest": row["_target"] and not test, "source": row["_in"] and not (apart and row["_target"])}
+        return [c for c in COPIES if there[c]]
+
+    def add(counts: dict[str, int], order: str) -> None:
+        counts[order[:BUCKET_DIGITS]] = counts.get(order[:BUCKET_DIGITS], 0) + 1
+
+    counts, _ = table.count(F.when(F.col("_target"), F.array("_order")).otherwise(empty))
+    places = places_of(counts, [spec.sizes(sum(counts.values()))[0]])
+    doubt = F.col("_target") & in_buckets(F.col("_order"), places)
+    sure = F.lit(False) if places[0] is None else F.col("_target") & (F.substring("_order", 1, BUCKET_DIGITS) < places[0][0])
+    counts, near = table.count(listed([(there, f"_val_{c}") for there, c in copies(sure)]), doubt)
+    (test_cut,) = settle(places, [(r["_order"], r["_key"]) for r in near])
+    for r in near:
+        for c in copies_of(r, test_cut):
+            add(counts, r[f"_val_{c}"])
+
+    n_val = math.floor(float(spec.val_frac) * float(sum(counts.values())) * float(spec.train_frac))
+    places = places_of(counts, [n_val])
+    here = copies(F.col("_target") & at_or_before(F.col("_order"), F.col("_key"), test_cut))
+    doubt = F.lit(False)
+    drawn = F.lit(False)
+    for there, c in here:
+        doubt = doubt | (there & in_buckets(F.col(f"_val_{c}"), places))
+        if places[0] is not None:
+            drawn = drawn | (there & (F.substring(f"_val_{c}", 1, BUCKET_DIGITS) < places[0][0]))
+    if sample_train_to is None:
+        near = table.bring(doubt)
+        (val_cut,) = settle(places, [(r[f"_val_{c}"], r["_key"]) for r in near for c in copies_of(r, test_cut)])
+        return test_cut, val_cut, None
+    counts, near = table.count(listed([(there & ~drawn, f"_cap_{c}") for there, c in here]), doubt)
+    (val_cut,) = settle(places, [(r[f"_val_{c}"], r["_key"]) for r in near for c in copies_of(r, test_cut)])
+    for r in near:
+        own = copies_of(r, test_cut)
+        if val_cut is None or all((r[f"_val_{c}"], r["_key"]) > val_cut for c in own):
+            for c in own:
+                add(counts, r[f"_cap_{c}"])
+    places = places_of(counts, [sample_train_to])
+    taken = F.lit(False)
+    for there, c in here:
+        taken = taken | (there & at_or_before(F.col(f"_val_{c}"), F.col("_key"), val_cut))
+    doubt = F.lit(False)
+    for there, c in here:
+        doubt = doubt | (there & in_buckets(F.col(f"_cap_{c}"), places))
+    near = table.bring(doubt & ~taken)
+    (cap,) = settle(places, [(r[f"_cap_{c}"], r["_key"]) for r in near for c in copies_of(r, test_cut)])
+    return test_cut, val_cut, cap
+
+
 def review_partition(
     df: DataFrame, confidence: DataFrame, n: int, seed: int, key: str = "example_id", score: str = "score"
 ) -> DataFrame:

@@ -49,16 +49,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and continue from the written table.
 
     Used where two branches of a plan must see the very same physical rows (range
     boundaries come from a sample, so they may not be derived twice).  The table
-    survives the loss of any executor.
+    survives the loss of any executor.  ``session`` reads it, by default that of ``df``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def counting_table(df: DataFrame, name: str) -> DataFrame:
+    """A staged table to take small statistics from, in a session whose actions are one job each.
+
+    Adaptive execution runs every exchange as a job of its own.  That pays for plans whose
+    sizes are not known; counts per bucket of a narrow table have a fixed size.
+    """
+    session = df.sparkSession.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    return stage_table(df, name, session)
 
 
 def sized_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,20 @@ def test_curve_aggregates_before_any_single_partition(spark):
     judged = conf.select("example_id", F.col("label").alias("predicted"), F.col("label").alias("ground_truth"))
     text = plan(C.coverage_curve(conf, judged, C.threshold_grid()))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def jobs(spark, build):
+    name = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(name, "counted")
+    build()
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(found)
+
+
+def test_dependent_cuts_take_few_jobs(spark, master):
+    spec = S.SplitSpec(dataset="en", train_frac=0.5)
+    assert jobs(spark, lambda: S.transfer_split(master, spec, [1, 2, 12], sample_train_to=20)) <= 8
+    assert jobs(spark, lambda: S.transfer_split(master, spec, [1, 2, 12], exclude_test=False)) <= 7
+    assert jobs(spark, lambda: S.source_pool(master, S.SplitSpec(task_ids=[1, 2]), 30)) <= 8
+    assert jobs(spark, lambda: S.source_pool(master, S.SplitSpec(task_ids=[1, 2]))) <= 6
