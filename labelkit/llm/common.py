@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +66,8 @@ class WordCache:
     """Ids of words, encoded once each by ``encode`` and kept up to ``limit`` words.
 
     Exact for every encoder under which the words of a text are encoded independently of
-    each other.  The cache is emptied when full, so it needs bounded memory on any input.
+    each other.  A full cache keeps the words that most batches asked for, half of its
+    limit at most, so it needs bounded memory on any input.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 690_000):
@@ -76,35 +78,95 @@ class WordCache:
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.int32)
         self.start = np.zeros(1 << 12, dtype=np.int64)
-        self.length = np.zeros(1 << 12, dtype=np.int64)
+        self.length = np.zeros(1 << 12, dtype=np.int32)
+        self.asked = np.zeros(1 << 12, dtype=np.int32)
         self.used = 0
 
     def _add(self, words: list[str]) -> None:
         found = self.encode(words)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         flat = np.fromiter((i for ids in found for i in ids), dtype=np.int32, count=int(lengths.sum()))
+        self._append(words, flat, lengths)
+
+    def _append(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         first, n = len(self.index), len(self.index) + len(words)
         while n > len(self.start):
-            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+            for name in ("start", "length", "asked"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         while self.used + len(flat) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(flat)] = flat
         self.start[first:n] = self.used + np.cumsum(lengths) - lengths
         self.length[first:n] = lengths
+        self.asked[first:n] = 0
         self.index.update(zip(words, range(first, n)))
         self.used += len(flat)
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``words``, and how many each word has."""
+    def _shrink(self) -> None:
+        """Keeps what most batches asked for; a word that one batch alone had goes first."""
+        n = len(self.index)
+        asked = self.asked[:n].copy()
+        least = 2
+        while np.count_nonzero(asked >= least) > self.limit // 2:
+            least *= 2
+        keep = np.flatnonzero(asked >= least)
+        words = [w for w, k in zip(self.index, asked >= least) if k]
+        lengths = self.length[keep].astype(np.int64)
+        flat = self.flat[ragged(self.start[keep], lengths)]
+        self.clear()
+        self._append(words, flat, lengths)
+        self.asked[: len(words)] = asked[keep] // 2  # what was frequent long ago counts less
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where the cache has each word; valid until the next call."""
         if len(self.index) > self.limit:
-            self.clear()
-        missing = [w for w in dict.fromkeys(words) if w not in self.index]
-        if missing:
-            self._add(missing)
-        at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-        lengths = self.length[at]
+            self._shrink()
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        open_ = np.flatnonzero(at < 0)
+        if len(open_):
+            self._add(list(dict.fromkeys(words[i] for i in open_)))
+            at[open_] = [self.index[words[i]] for i in open_]
+        self.asked[at] += 1  # once per call, however often a word is there
+        return at
+
+    def ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words at these places, and how many each word has."""
+        lengths = self.length[at].astype(np.int64)
         return self.flat[ragged(self.start[at], lengths)], lengths
 
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``words``, and how many each word has."""
+        return self.ids_at(self.places(words))
+
+
+#: Code points whose lower case and normal form are themselves or one other, everywhere.
+_ODD = r"[^\x{0}-\x{12F}\x{131}-\x{24F}]"
+#: A full stop or comma that belongs to a longer run of marks.
+_JOINED = r"[.,][^\s\pL\pN]|[^\s\pL\pN][.,]"
+
+
+def encode_column(cache: WordCache, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all ``texts`` one after the other, and the number of ids of each text; NULL is empty.
+
+    For encoders that lower-case a text and encode runs of letters and runs of marks by
+    themselves.  Texts are split into words by Arrow; where a text allows it, words are
+    lower-cased and freed of full stops and commas first, so that fewer distinct ones are left.
+    """
+    texts = texts.fill_null("").cast(pa.large_string())
+    plain = pc.invert(pc.or_(pc.match_substring_regex(texts, _ODD), pc.match_substring_regex(texts, _JOINED)))
+    freed = pc.utf8_lower(texts)
+    for mark in ".,":
+        freed = pc.replace_substring(freed, mark, f" {mark} ")
+    words = pc.ascii_split_whitespace(pc.if_else(plain, freed, texts))
+    counts = np.asarray(pc.list_value_length(words), dtype=np.int64)
+    coded = words.flatten().dictionary_encode()
+    at = cache.places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(coded.indices, dtype=np.int64)]
+    ids, lengths = cache.ids_at(at)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    return ids, np.diff(ends[edges])
+
 
 def encode_texts(cache: WordCache, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all ``texts`` one after the other, and the number of ids of each text."""

@@ -8,6 +8,7 @@ again and packed with those of other groups, in rounds, until one group is left.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -17,20 +18,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import WordCache, encode_texts, ragged, slices
+from labelkit.llm.common import WordCache, encode_column, ragged, slices
 from labelkit.session import stage_table
 
 GROUP_PIECES = 20_000
+#: Pieces in underfull bins that are searched together.
+BLOCK_PIECES = 2_000
+#: Words that are encoded as one text.
+TOGETHER = 200
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
+def _last_of_word(tokenizer) -> np.ndarray | None:
+    """Which ids end a word, for a tokenizer that marks them by a suffix; else None."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    if not suffix:
+        return None
+    vocabulary = tokenizer.get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return out
+
+
 @lru_cache(maxsize=2)
 def word_cache(path: str) -> WordCache:
     """The ids that ``tokenizers`` gives; its pre-tokenizer never joins across white space."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return WordCache(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+
+    def one_by_one(words: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    last = _last_of_word(tokenizer)
+
+    def encode(words: list[str]) -> list[list[int]]:
+        """Words of Latin letters together, as one text, cut behind the ids that end a word."""
+        if last is None:
+            return one_by_one(words)
+        plain = [i for i, w in enumerate(words) if w.isalpha() and max(w) < "\u0250"]
+        out: dict[int, list[int]] = {}
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            ids = one_by_one([" ".join([words[i] for i in some])])[0]
+            ends = (np.flatnonzero(last[np.array(ids, dtype=np.int64)]) + 1).tolist()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                out.update(zip(some, (ids[a:b] for a, b in zip([0, *ends], ends))))
+        rest = [i for i in range(len(words)) if i not in out]
+        out.update(zip(rest, one_by_one([words[i] for i in rest])))
+        return [out[i] for i in range(len(words))]
+
+    return WordCache(encode)
 
 
 def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, text: str = "text") -> DataFrame:
@@ -47,7 +85,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache = word_cache(tokenizer)
         for batch in slices(batches, text):
-            ids, counts = encode_texts(cache, [t or "" for t in batch.column(text).to_pylist()])
+            ids, counts = encode_column(cache, batch.column(text))
             n = len(counts)
             whole = np.full(len(ids) + n, end_id, dtype="<u4")
             ends = np.cumsum(counts + 1)
@@ -148,43 +186,71 @@ class _Open:
         return True
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, steps: int = 400) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Exchanges between underfull bins, emptiest first, as long as one raises the squared fill.
 
-    Every step raises the sum of squared fills, so the search ends; ``steps`` bounds the
-    effort for each group.  Bins that become empty vanish.
+    Underfull bins are searched in blocks of at most ``BLOCK_PIECES`` pieces, emptiest bins
+    of all blocks side by side in each.  A block is done when none of its bins can be
+    improved or no whole bin of room is left in it; every step raises its sum of squared
+    fills, so the search ends.  Bins that become empty vanish.
     """
     fill = np.array([lengths[b].sum() for b in bins], dtype=np.int64)
-    done = [b for b, f in zip(bins, fill) if f == capacity]
-    work = _Open([b for b, f in zip(bins, fill) if f < capacity], lengths, capacity)
+    out = [b for b, f in zip(bins, fill) if f == capacity]
+    under = sorted((i for i, f in enumerate(fill) if f < capacity), key=lambda i: int(fill[i]))
+    blocks = -(-sum(len(bins[i]) for i in under) // BLOCK_PIECES)
+    for k in range(blocks):
+        out += _search_block(_Open([bins[i] for i in under[k::blocks]], lengths, capacity))
+    return out
+
+
+def _search_block(work: _Open) -> list[list[int]]:
     stuck = np.zeros(len(work.fill), dtype=bool)
-    for _ in range(steps):
+    moved = False
+    while work.capacity * np.count_nonzero(work.fill) - work.fill.sum() >= work.capacity:
         live = np.flatnonzero(~stuck & (work.fill > 0))
-        if not len(live) or work.capacity * np.count_nonzero(work.fill) - work.fill.sum() < capacity:
-            break  # no whole bin of room is left, so none can become empty
+        if not len(live):
+            if not moved:
+                break
+            stuck[:], moved = False, False  # what moved since may let them through
+            continue
         a = int(live[np.argmin(work.fill[live])])
         stuck[a] = not work.improve(a)
+        moved |= not stuck[a]
     order = np.argsort(work.bin, kind="stable")
     parts = np.split(work.piece[order], np.flatnonzero(np.diff(work.bin[order])) + 1) if len(order) else []
-    return done + [p.tolist() for p in parts]
+    return [p.tolist() for p in parts]
 
 
 def pack_group(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Bins of one group; rows come back with ``bin`` (within the group), ``offset`` and ``fill``."""
+    """Bins of one group; rows come back with ``bin`` (within the group), ``offset`` and ``carry``.
+
+    ``carry`` marks the emptiest bins, of at most half of the pieces, that another round
+    may fill better.
+    """
     group = group.sort_values(["length", "row_id"], ascending=[False, True], ignore_index=True)
     lengths = group["length"].to_numpy(dtype=np.int64)
     bins = local_search(best_fit(lengths, capacity), lengths, capacity)
-    number, offset, fill = (np.zeros(len(lengths), dtype=np.int64) for _ in range(3))
-    for k, own in enumerate(bins):
+    number, offset = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
+    carry = np.zeros(len(lengths), dtype=bool)
+    left = len(lengths) // 2
+    fills = [int(lengths[own].sum()) for own in bins]
+    for k in np.argsort(fills, kind="stable"):
+        own = bins[k]
         ends = np.cumsum(lengths[own])
-        number[own], offset[own], fill[own] = k, ends - lengths[own], ends[-1]
-    return pd.DataFrame({"row_id": group["row_id"], "length": lengths, "grp": group["grp"], "bin": number, "offset": offset, "fill": fill})
+        number[own], offset[own] = k, ends - lengths[own]
+        if fills[k] < capacity - capacity // 64 and len(own) <= left:
+            carry[own] = True
+            left -= len(own)
+        else:
+            left = 0
+    return pd.DataFrame({"row_id": group["row_id"], "length": lengths, "grp": group["grp"], "bin": number, "offset": offset, "carry": carry})
 
 
 def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (any columns with a ``length`` of 1 to ``capacity``) with ``sequence_id``, ``offset``.
 
-    Pieces of full length are sequences of their own.  Repeated rows are packed one by
+    The emptiest bins of each group, of at most half of its pieces, are opened again and
+    packed with those of other groups, until one group is left.  Pieces of full length are sequences of their own.  Repeated rows are packed one by
     one; an empty table gives an empty result.  A group takes ``group_pieces`` rows on
     average, whatever the size of the input.
     """
@@ -193,7 +259,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = GROUP_PIEC
     left, total, level, packed = short, short.count(), 0, []
     while total:
         groups = -(-total // group_pieces)
-        schema = "row_id long, length long, grp long, bin long, offset long, fill long"
+        schema = "row_id long, length long, grp long, bin long, offset long, carry boolean"
         binned = stage_table(
             left.withColumn("grp", F.pmod(F.xxhash64("row_id", F.lit(level)), F.lit(groups)))
             .groupBy("grp")
@@ -201,18 +267,14 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = GROUP_PIEC
             .withColumn("sequence_id", F.col("grp") * (1 << 24) + F.col("bin")),
             "bins",
         )
-        again = F.col("fill") < capacity - capacity // 64
         final = groups == 1
         packed.append(
-            binned.filter(F.lit(final) | ~again).select(
+            binned.filter(F.lit(final) | ~F.col("carry")).select(
                 "row_id", (F.col("sequence_id") * 64 + F.lit(level + 1)).alias("sequence_id"), "offset"
             )
         )
-        left = binned.filter(again).select("row_id", "length")
-        before, total = total, 0 if final else left.count()
-        if total > before // 2:  # pieces that no packing fills well: the next round is the last
-            packed[-1] = binned.select("row_id", (F.col("sequence_id") * 64 + F.lit(level + 1)).alias("sequence_id"), "offset")
-            total = 0
+        left = binned.filter("carry").select("row_id", "length")
+        total = 0 if final else left.count()
         level += 1
     full = kept.filter(F.col("length") >= capacity).withColumns({"sequence_id": F.col("row_id") * 64, "offset": F.lit(0).cast("long")})
     for part in packed:
