@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from labelkit.operators.ranks import join_groups, ordered_rank
 from labelkit.operators.relations import union_examples
+from labelkit.session import sized_table
 
 EXAMPLE_SCHEMA = T.StructType(
     [
@@ -116,10 +117,10 @@ def read_with_row_key(spark: SparkSession, path: str, name: str = "example_id")
     """
     table = spark.read.parquet(path)
     placed = table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    counts, n_files = sized_table(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")), "file-rows")
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = counts.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    if len(table.inputFiles()) <= FILE_ROWS_LIMIT:
+    if n_files <= FILE_ROWS_LIMIT:
         offsets = F.broadcast(offsets)
     return placed.join(offsets, "_file").select((F.col("_offset") + F.col("_row")).alias(name), *table.columns)
 

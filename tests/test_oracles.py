@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SMALL
+from checks import registry
+from tests.conftest import ROOT, SMALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -52,3 +55,10 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_without_the_training_data_operators():
+    code = "import sys; sys.modules['labelkit.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), [n for n in e.queries() if n.startswith('op') or n == 'pipeline'])"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    count, names = done.stdout.strip().splitlines()[-1].split(" ", 1)
+    assert int(count) == len(registry.QUERIES) and names == "[]"
