@@ -10,17 +10,18 @@ each word is solved once and words of a batch are solved together, in numpy.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import WordCache, ragged
+from labelkit.llm.common import WordCache, ragged, slices
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -192,9 +193,10 @@ class PieceModel:
         rows = rows[better]
         best[rows, end], came[rows, end], piece[rows, end] = score[better], start, ids[better]
 
-    @cached_property
-    def _plain(self) -> tuple[list[int], list[int], list[int], list[float]]:
-        return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.value.tolist(), self.score.tolist()
+    @property
+    def _plain(self) -> tuple[memoryview, memoryview, memoryview, memoryview]:
+        """The arrays for single reads, without copies of them."""
+        return tuple(memoryview(np.ascontiguousarray(x)) for x in (self.trie.base, self.trie.check, self.trie.value, self.score))
 
     def _solve_one(self, word: bytes) -> list[int]:
         base, check, value, scores = self._plain
@@ -227,6 +229,11 @@ class PieceModel:
         return out[::-1]
 
 
+#: Words in the cache of a Python worker, about 250 bytes each.
+CACHED_WORDS = 400_000
+#: Characters that are encoded at once, or one longer text.
+SLICE_CHARS = 500_000
+
 _caches: dict[int, WordCache] = {}
 
 
@@ -235,29 +242,51 @@ def _cache(model: PieceModel) -> WordCache:
     name = hash((len(model.content), model.score.tobytes()))
     if name not in _caches:
         _caches.clear()
-        _caches[name] = WordCache(model.encode_words, 700_000)
+        _caches[name] = WordCache(model.encode_words, CACHED_WORDS)
     return _caches[name]
 
 
+def _ids(model: PieceModel, texts: pa.Array) -> pa.Array:
+    cache = _cache(model)
+    units, counts = [], []
+    for value in texts.to_pylist():
+        own = UNIT.findall(" " + value) if value else []
+        units += own
+        counts.append(len(own))
+    ids, lengths = cache.ids(units)
+    ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _texts(model: PieceModel, lists: pa.Array) -> pa.Array:
+    data, start, length = model.bytes_of
+    out = []
+    for value in lists:
+        if not value.is_valid:
+            out.append(None)
+            continue
+        own = np.asarray(value.values)
+        text = data[ragged(start[own], length[own])].tobytes().decode("utf-8", "replace")
+        out.append(text[1:] if text.startswith(" ") else text)
+    return pa.array(out, pa.string())
+
+
+def _sliced(texts: pa.Array, run: Callable[[pa.Array], pa.Array], kind: pa.DataType) -> pa.Array:
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    parts = [run(part.column("text")) for part in slices([batch], "text", SLICE_CHARS)]
+    return pa.concat_arrays(parts) if parts else pa.nulls(0, kind)
+
+
 def encode(model: PieceModel, text: Column) -> Column:
-    """The ids of each text as an array; a null or empty text has none."""
+    """The ids of each text as an array; a null or empty text has none.
+
+    A task encodes about ``SLICE_CHARS`` characters at once; a longer text needs memory for
+    itself, its words and its ids.
+    """
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache = _cache(model)
         for array in arrays:
-            offsets, parts = [0], []
-            for lo in range(0, len(array), 256):
-                units, counts = [], []
-                for value in array.slice(lo, 256).to_pylist():
-                    own = UNIT.findall(" " + value) if value else []
-                    units += own
-                    counts.append(len(own))
-                ids, lengths = cache.ids(units)
-                ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
-                parts.append(ids)
-                offsets += (ends + offsets[lo]).tolist()
-            values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+            yield _sliced(array, lambda part: _ids(model, part), pa.list_(pa.int32()))
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, T.ArrayType(T.IntegerType()))(text)
@@ -266,21 +295,33 @@ def encode(model: PieceModel, text: Column) -> Column:
 def decode(model: PieceModel, ids: Column) -> Column:
     """The text of each array of ids: bytes are joined, markers become spaces, the first space goes.
 
-    Ids of control pieces give nothing; bytes that are not UTF-8 become U+FFFD; null stays null.
+    Ids of control pieces give nothing; bytes that are not UTF-8 become U+FFFD; null stays
+    null.  A text of any length is put together from its ids in one piece.
     """
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        data, start, length = model.bytes_of
         for array in arrays:
-            out = []
-            for value in array:
-                if not value.is_valid:
-                    out.append(None)
-                    continue
-                own = np.asarray(value.values)
-                text = data[ragged(start[own], length[own])].tobytes().decode("utf-8", "replace")
-                out.append(text[1:] if text.startswith(" ") else text)
-            yield pa.array(out, pa.string())
+            yield _texts(model, array)
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, T.StringType())(ids)
+
+
+def recode(model: PieceModel, docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``(*keep, ids, same)``: the ids of each text, and whether they decode to the text again.
+
+    Encoding and decoding share one worker, one model and one cache.  A null text has no
+    ids and decodes to an empty one, which is not the same.  What a task gives back at once
+    is as large as ``SLICE_CHARS`` characters or one longer text.
+    """
+    rows = docs.select(*keep, F.col(text).alias("_text"))
+    schema = T.StructType(rows.schema.fields[:-1]).add("ids", T.ArrayType(T.IntegerType())).add("same", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "_text", SLICE_CHARS):
+            own = part.column("_text")
+            ids = _ids(model, own)
+            same = pc.fill_null(pc.equal(_texts(model, ids), own), False)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, same], names=schema.names)
+
+    return rows.mapInArrow(run, schema)

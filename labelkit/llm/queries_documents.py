@@ -131,13 +131,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, as a checksum of its ids in decimal, and whether they decode to the text."""
     model = pieces.PieceModel.load(public_tokenizers.path(PIECES))
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.withColumn("ids", pieces.encode(model, F.col("text")))
-    rows = rows.withColumn("decoded", pieces.decode(model, F.col("ids")))
-    return rows.select(
+    return pieces.recode(model, docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
         F.crc32(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")).alias("ids_crc32"),
-        (F.col("decoded") == F.col("text")).alias("round_trip"),
+        F.col("same").alias("round_trip"),
     )
 
 
