@@ -9,6 +9,8 @@ the first ``n - ceil(s n) + 1`` of either (prefix filter), whatever the order.
   pivot), so its pairs are linear in the prefixes, also within a large group of copies.
 * Round two takes pairs that share a pivot but are not connected yet.  Groups are dealt to
   several tasks in blocks.
+* Each round decides the nearest pair of every class (round two: of every component) first
+  and then only pairs that are not connected by those.
 * In both, parity maps, whose distance never exceeds the set difference, leave the few
   pairs that can be similar.  Maps of 1,024 bits are part of the join condition of round
   two; larger sets have longer maps besides.
@@ -20,7 +22,7 @@ Pairs of one component that no round compared cannot change it, so no link is lo
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,21 +179,26 @@ def decide(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, num: i
     return overlap.filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
+def _apart(x: str, y: str) -> Column:
+    """Bits in which the parity maps ``<x>0``... and ``<y>0``... differ."""
+    apart = F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0")))
+    for i in range(1, WORDS):
+        apart = apart + F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}")))
+    return apart
+
+
 def _may_be_similar(x: str, y: str, num: int, den: int) -> Column:
     """Whether sizes ``n<x>``, ``n<y>`` and the words ``<x>0``... of the parity maps allow the similarity.
 
     Each element that one set has and the other has not flips one bit, so the maps never
     differ in more bits than the sets in elements.
     """
-    nx, ny = F.col(f"n{x}"), F.col(f"n{y}")
-    apart = F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0")))
-    for i in range(1, WORDS):
-        apart = apart + F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}")))
+    nx, ny, apart = F.col(f"n{x}"), F.col(f"n{y}"), _apart(x, y)
     return (F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (apart * (num + den) <= (nx + ny) * (den - num))
 
 
 def _wide_allow(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The ``pairs (x, nx, y, ny)`` whose wide maps, where both have one, allow the similarity.
+    """The ``pairs (x, nx, y, ny, apart)`` whose wide maps, where both have one, allow the similarity.
 
     Sets this similar differ in size by less than a factor of two, so one map is at most
     twice as long as the other; its halves are then laid on each other.
@@ -205,10 +212,10 @@ def _wide_allow(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> Dat
         return F.when(F.size(a) > F.size(b), both).otherwise(a)
 
     bits = F.zip_with(folded(F.col("wx"), F.col("wy")), folded(F.col("wy"), F.col("wx")), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-    apart = F.aggregate(bits, F.lit(0), lambda s, b: s + F.coalesce(b, F.lit(0)))
+    wide = F.aggregate(bits, F.lit(0), lambda s, b: s + F.coalesce(b, F.lit(0)))
     small = (F.size("wx") == 0) | (F.size("wy") == 0)
-    may = small | (apart * (num + den) <= (F.col("nx") + F.col("ny")) * (den - num))
-    return pairs.join(x, "x").join(y, "y").filter(may).select("x", "nx", "y", "ny")
+    may = small | (wide * (num + den) <= (F.col("nx") + F.col("ny")) * (den - num))
+    return pairs.join(x, "x").join(y, "y").filter(may).select("x", "nx", "y", "ny", "apart")
 
 
 def _side(rows: DataFrame, name: str, *keep: str) -> DataFrame:
@@ -226,15 +233,46 @@ def _unresolved(pairs: DataFrame, classes: DataFrame, groups: DataFrame, num: in
     open_groups = members.groupBy("y").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    open_groups = open_groups.filter("low <> high").select("y", (F.floor((F.col("size") - 1) / BLOCK) + 1).alias("blocks"))
-    rows = members.join(open_groups, "y")
+    open_groups = open_groups.filter("low <> high").select("y", "size", (F.floor((F.col("size") - 1) / BLOCK) + 1).alias("blocks"))
+    open_groups = stage_table(open_groups, "open-pivots")
+    rows = join_counted(members, open_groups, ["y"], "size", members.count())
     one = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
     two = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     a = _side(one, "a", "y", "block", F.col("component").alias("ca"))
     b = _side(two, "b", "y", "block", F.col("component").alias("cb"))
     open_pair = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _may_be_similar("a", "b", num, den)
     found = a.alias("l").join(b.alias("r"), (F.col("l.y") == F.col("r.y")) & (F.col("l.block") == F.col("r.block")) & open_pair)
-    return found.select(F.col("a").alias("x"), F.col("na").alias("nx"), F.col("b").alias("y"), F.col("nb").alias("ny")).distinct()
+    pairs = found.select(F.col("a").alias("x"), F.col("na").alias("nx"), F.col("b").alias("y"), F.col("nb").alias("ny"), _apart("a", "b").alias("apart"), "ca", "cb")
+    return pairs.distinct()
+
+
+def _nearest_first(pairs: DataFrame, sides: tuple[str, str], check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The links among ``pairs``, without those that others make superfluous.
+
+    ``check`` decides pairs exactly.  First it gets one pair for each node of either
+    ``sides`` column, the one whose parity maps differ least.  What those link need not be
+    compared again: a second pass checks the pairs whose ends do not have the same
+    smallest neighbour.  In a large group of near copies the first pass links nearly all,
+    so pairs that are decided grow with the members, not with their pairs.
+    """
+    a, b = sides
+    best = F.min(F.struct("apart", "x", "y"))
+    first = pairs.groupBy(a).agg(best.alias("_p")).unionByName(pairs.groupBy(b).agg(best.alias("_p")).withColumnRenamed(b, a))
+    first = stage_table(first.select("_p.x", "_p.y").distinct().join(pairs, ["x", "y"]), "nearest-pairs")
+    links = stage_table(check(first), "nearest-links")
+    linked = links.select(F.col("a").alias("x"), F.col("b").alias("y")).join(first, ["x", "y"])
+    ends = linked.select(F.col(a).alias("n"), F.col(b).alias("m")).unionByName(linked.select(F.col(b).alias("n"), F.col(a).alias("m")))
+    one = stage_table(ends.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("m")), "least-neighbour")
+    two = one.join(one.select(F.col("n").alias("m"), F.col("m").alias("further")), "m").select("n", F.least("m", "further").alias("m"))
+    rep = stage_table(two, "representative")
+
+    def named(rows: DataFrame, end: str) -> DataFrame:
+        own = rep.select(F.col("n").alias(end), F.col("m").alias(f"_{end}"))
+        return rows.join(own, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+
+    rest = named(named(pairs, a), b)
+    rest = rest.filter(F.col(f"_{a}") != F.col(f"_{b}")).select(*pairs.columns).join(first.select("x", "y"), ["x", "y"], "left_anti")
+    return links.unionByName(check(stage_table(rest, "other-pairs")))
 
 
 def _shared_grams(described: DataFrame) -> DataFrame:
@@ -280,12 +318,18 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: s
     )
     pairs = stage_table(_shared_grams(described.filter("doc_id IS NOT NULL")), "pairs")
     both = pairs.join(_side(classes, "x"), "x").join(_side(classes, "y"), "y").filter(_may_be_similar("x", "y", num, den))
-    both = _wide_allow(both.select("x", "nx", "y", "ny"), classes, num, den)
+    both = both.withColumn("apart", _apart("x", "y"))
+    both = _wide_allow(both.select("x", "nx", "y", "ny", "apart"), classes, num, den)
     both = stage_table(both, "first-candidates")
-    first = stage_table(decide(both, docs, classes, k, num, den), "links")
+
+    def check(some: DataFrame) -> DataFrame:
+        return decide(some.select("x", "nx", "y", "ny"), docs, classes, k, num, den)
+
+    first = stage_table(_nearest_first(both, ("x", "y"), check), "links")
     candidates = _unresolved(pairs, classes, components(first), num, den)
-    candidates = stage_table(_wide_allow(candidates, classes, num, den), "candidates")
-    second = decide(candidates, docs, classes, k, num, den)
+    kept = _wide_allow(candidates.drop("ca", "cb"), classes, num, den)
+    candidates = stage_table(candidates.join(kept.select("x", "y"), ["x", "y"], "left_semi"), "candidates")
+    second = _nearest_first(candidates, ("ca", "cb"), check)
     groups = components(first.unionByName(second))
     named = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(
         "cls", "first_id", "copies", F.coalesce("component", "cls").alias("component")
