@@ -81,7 +81,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
     return met.select(
-        "doc_id", *counts, F.sha2(personal_data.joined(rules), 256).alias("base_sha256"), personal_data.joined(every).alias("spans")
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.joined(rules), 256).alias("base_sha256"),
+        personal_data.joined(every).alias("spans"),
+        (F.size(every) - F.size(rules)).cast("long").alias("n_added"),
     )
 
 
