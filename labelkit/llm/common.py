@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as keep it apart from the columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row, also where lambdas refer to it."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -70,7 +82,7 @@ class WordCache:
     limit at most, so it needs bounded memory on any input.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 690_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

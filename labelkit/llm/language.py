@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import ragged
+from labelkit.llm.common import ragged, unused
 
 PAD = 10  # the bytes before a text count as line ends
 CHUNK = 1_000_000
@@ -141,11 +141,14 @@ def freeze(languages: list[str], order: int, lang: np.ndarray, length: np.ndarra
 
 
 def training_sample(docs: DataFrame, sample_chars: int, text: str, lang: str) -> DataFrame:
-    """Whole labelled texts of about ``sample_chars`` code points per language, chosen by a hash of the id."""
+    """Whole labelled texts of about ``sample_chars`` code points per language, chosen by a hash of the id.
+
+    The first text by that hash is in it however long the texts of its language are.
+    """
     known = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select("doc_id", F.col(text).alias("text"), F.col(lang).alias("lang"))
-    share = known.groupBy("lang").agg((F.lit(sample_chars * 1.5) / F.sum(F.length("text"))).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = known.join(F.broadcast(share), "lang").withColumn("draw", draw).filter("draw < share")
+    share = known.groupBy("lang").agg((F.lit(sample_chars * 1.5) / F.sum(F.length("text"))).alias("share"), F.min(draw).alias("least"))
+    some = known.join(F.broadcast(share), "lang").withColumn("draw", draw).filter("draw < share OR draw = least")
     before = Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
     return some.withColumn("before", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0))).filter(
         F.col("before") < sample_chars
@@ -222,12 +225,15 @@ def identify(docs: DataFrame, model: PpmModel | None, text: str = "text") -> Dat
 
     # arrow_udf reads the types of the iterator from these hints
     predict.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    scored = docs.withColumn("__ppm", F.arrow_udf(predict, PREDICTION)(F.coalesce(F.col(text), F.lit(""))))
+    (ppm,) = unused(docs, "__ppm")
+    # a filter on the prediction must not run the model a second time
+    model_udf = F.arrow_udf(predict, PREDICTION).asNondeterministic()
+    scored = docs.withColumn(ppm, model_udf(F.coalesce(F.col(text), F.lit(""))))
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    out = {c: F.when(letters, F.col("__ppm")[c]) for c in names}
+    out = {c: F.when(letters, F.col(ppm)[c]) for c in names}
     out["lang_pred"] = F.coalesce(out["lang_pred"], F.lit("und"))
     out["score"] = F.coalesce(out["score"], F.lit(0.0))
-    return scored.withColumns(out).drop("__ppm")
+    return scored.withColumns(out).drop(ppm)
 
 
 def _parts(array: pa.Array, most: int = 1_000_000) -> Iterator[pa.Array]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import ascii_lower, bind, join_counted
+from labelkit.llm.common import ascii_lower, bind, join_counted, unused
 from labelkit.session import stage_table
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -57,16 +57,17 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text: st
     ``docs`` are replaced, all others stay as they are.
     """
     docs = docs.drop("n_lines", "n_dropped").withColumn(text, F.coalesce(F.col(text), F.lit("")))
-    lost = shared_lines(docs, text, min_chars, min_docs).withColumnRenamed("doc_id", "__doc")
-    met = docs.join(lost, docs["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs[text]) == F.col("__text")), "left")
+    doc, own, dropped = unused(docs, "__doc", "__text", "__dropped")
+    lost = shared_lines(docs, text, min_chars, min_docs).toDF(doc, own, dropped)
+    met = docs.join(lost, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs[text]) == F.col(own)), "left")
     lines = F.split(F.col(text), "\n")
 
     def without_dropped(lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(dropped))
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
     return met.select(
-        *[F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(bind(lines, without_dropped)).alias(text) if c == text else docs[c] for c in docs.columns],
+        *[F.when(F.col(dropped).isNull(), F.col(text)).otherwise(bind(lines, without_dropped)).alias(text) if c == text else docs[c] for c in docs.columns],
         F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
     )
