@@ -276,9 +276,10 @@ def _nearest_first(pairs: DataFrame, sides: tuple[str, str], check: Callable[[Da
 
 
 def _shared_grams(described: DataFrame) -> DataFrame:
-    """Distinct pairs ``(x, y)`` of a class and the smallest class that shares a prefix n-gram with it."""
-    entries = described.filter("cls IS NOT NULL").select(F.explode("prefix").alias("gram"), F.col("cls").alias("x"))
-    shared = entries.groupBy("gram").agg(F.min("x").alias("y"), F.max("x").alias("last")).filter("y <> last").select("gram", "y")
+    """Distinct pairs ``(x, nx, y, ny)`` of a class and the smallest class that shares a prefix n-gram with it, with their sizes."""
+    entries = described.filter("cls IS NOT NULL").select(F.explode("prefix").alias("gram"), F.col("cls").alias("x"), F.col("n").cast("int").alias("nx"))
+    shared = entries.groupBy("gram").agg(F.min(F.struct("x", "nx")).alias("y"), F.max("x").alias("last")).filter("y.x <> last")
+    shared = shared.select("gram", F.col("y.x").alias("y"), F.col("y.nx").alias("ny"))
     shared = stage_table(shared, "shared")
     grams = key_filter(shared, "gram")
 
@@ -288,14 +289,17 @@ def _shared_grams(described: DataFrame) -> DataFrame:
             values = np.asarray(prefix.flatten())
             keep = may_contain(grams, values)
             owner = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(prefix)))[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(values[keep]), batch.column("cls").take(pa.array(owner))], ["gram", "x"])
+            owner = pa.array(owner)
+            columns = [pa.array(values[keep]), batch.column("cls").take(owner), batch.column("n").take(owner)]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "x", "nx"])
 
-    kept = described.filter("cls IS NOT NULL").select("cls", "prefix").mapInArrow(prune, "gram long, x long")
+    rows = described.filter("cls IS NOT NULL").select("cls", F.col("n").cast("int").alias("n"), "prefix")
+    kept = rows.mapInArrow(prune, "gram long, x long, nx int")
     kept = stage_table(kept.distinct(), "entries")
     counted = stage_table(
         shared.join(kept.groupBy("gram").agg(F.count(F.lit(1)).alias("size")), "gram"), "shared-sizes"
     )
-    return join_counted(kept, counted, ["gram"], "size", kept.count()).filter("x <> y").select("x", "y").distinct()
+    return join_counted(kept, counted, ["gram"], "size", kept.count()).filter("x <> y").select("x", "nx", "y", "ny").distinct()
 
 
 def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: str = "text") -> DataFrame:
@@ -317,7 +321,9 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text: s
         "classes",
     )
     pairs = stage_table(_shared_grams(described.filter("doc_id IS NOT NULL")), "pairs")
-    both = pairs.join(_side(classes, "x"), "x").join(_side(classes, "y"), "y").filter(_may_be_similar("x", "y", num, den))
+    # maps go to pairs of similar sizes only
+    sized = pairs.filter(F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num).select("x", "y")
+    both = sized.join(_side(classes, "x"), "x").join(_side(classes, "y"), "y").filter(_may_be_similar("x", "y", num, den))
     both = both.withColumn("apart", _apart("x", "y"))
     both = _wide_allow(both.select("x", "nx", "y", "ny", "apart"), classes, num, den)
     both = stage_table(both, "first-candidates")
