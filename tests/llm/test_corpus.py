@@ -9,10 +9,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from labelkit.llm import chat, divergence, importance
+import corpus_pipeline
+from labelkit.llm import chat, divergence, importance, language, line_dedup, neighbours, packing, personal_data, pieces
+from labelkit.llm.common import encode_column
 
 MESSY = [
     (1, "Hello hello WORLD, été ÉTÉ x9", "en", "a"),
@@ -248,3 +252,174 @@ def test_unknown_kinds_and_empty_tables(spark):
     assert chat.format_conversations(spark.createDataFrame([], schema)).count() == 0
     with pytest.raises(Exception, match="no such kind of part"):
         chat.format_conversations(spark.createDataFrame([(1, 0, "user", [part("video", "x")])], schema)).collect()
+
+
+def test_search_goes_on_until_no_bin_improves():
+    lengths = np.random.default_rng(0).integers(1000, 1700, 2000)
+    bins = packing.best_fit(lengths, 4096)
+    found = packing.local_search(bins, lengths, 4096)
+    assert sorted(k for b in found for k in b) == list(range(2000)) and max(lengths[b].sum() for b in found) <= 4096
+    assert len(found) <= 0.94 * len(bins)
+    again = packing._Open([b for b in found if lengths[b].sum() < 4096], lengths, 4096)
+    if again.capacity * len(again.fill) - again.fill.sum() >= 4096 and len(again.piece) <= packing.BLOCK_PIECES:
+        assert not any(again.improve(a) for a in range(len(again.fill)))
+
+
+def test_underfull_bins_of_many_groups_meet(spark):
+    sizes = [int(n) for n in np.random.default_rng(1).integers(1000, 1700, 3000)]
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id long, length long")
+    whole = packing.pack(pieces).select("sequence_id").distinct().count()
+    parted = packing.pack(pieces, group_pieces=250)
+    rows = parted.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert sum(r["n"] for r in rows) == sum(sizes) and all(r["n"] == r["end"] <= 4096 for r in rows)
+    assert len(rows) <= 1.03 * whole
+
+
+def test_words_are_encoded_as_in_their_text():
+    from tokenizers import Tokenizer
+
+    odd = ["'s 's. don't!'s x.'s ..., a,b.c 1.5 ÉTÉ İx Σας ΣΑΣ é ﬁ \x01 , . ,.  x\u0085y\x1cz", None, "", "A" * 5000 + " b.", "it's,fine. It'S", "…. „a”. ≠ .", "क़ख़ ज़"]
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [plain.encode(t or "", add_special_tokens=False).ids for t in odd]
+    cache = packing.word_cache.__wrapped__(public_tokenizers.path("word_bpe_49k.json"))
+    for limit in (690_000, 3):
+        cache.limit = limit
+        for _ in range(3):
+            ids, counts = encode_column(cache, pa.array(odd))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+    assert len(cache.index) < 100
+
+
+def test_scan_finds_all_within_a_bound_and_leaves_out_the_own_row():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 24))
+    x[100:400] = x[100]  # a large group of copies
+    ids = rng.permutation(900).astype(np.int64)
+    rotation = np.linalg.qr(rng.standard_normal((25, 25)))[0]
+    index = neighbours.Index(float((x * x).sum(axis=1).max()), rotation, np.zeros((1, 25)), 1)
+    some = np.array([100, 101, 5, 800, 333])
+    exact = [sorted(((-float((x[j] * x[i]).sum()), int(ids[j])) for j in range(900) if j != i)) for i in some]
+    for k in (1, 20):
+        score = np.array([-e[k - 1][0] for e in exact])
+        for bound in (None, score, np.where(np.arange(5) % 2, score, np.nan)):
+            row, found, own = neighbours.scan_block(index, x, ids, x[some], ids[some], k, bound)
+            for i, e in enumerate(exact):
+                got = list(zip((-own[row == i]).tolist(), found[row == i].tolist()))
+                assert len(got) == k and [g for _, g in got] == [g for _, g in e[:k]], (k, i)
+
+
+def test_neighbours_within_a_large_group_of_copies(spark):
+    rows = [(i, [1.0, 2.0, 0.5]) for i in range(150)] + [(i, [math.sin(i), math.cos(i), 0.0]) for i in range(150, 400)] + [(7, [1.0, 2.0, 0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, F.col("id") % 50 == 0, k=5).collect()
+    own = {q: [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 50, 100)}
+    assert own == {0: [1, 2, 3, 4, 5], 50: [0, 1, 2, 3, 4], 100: [0, 1, 2, 3, 4]}
+    assert len(found) == 8 * 5
+
+
+def test_pieces_recode(spark):
+    model = pieces.PieceModel.load(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["", "plain words", "  two  spaces ", "tab\tand\nline", "日本語 x" * 50, "a" * 300, None, "é𝄞 \x01"]
+    docs = spark.createDataFrame([(i, t, [9]) for i, t in enumerate(texts)] + [(1, "plain words", [9])], "doc_id long, text string, ids array<int>")
+    found = pieces.recode(model, docs).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted([*range(len(texts)), 1])
+    assert all(r["same"] == (texts[r["doc_id"]] is not None) for r in found)
+    assert all((r["ids"] == []) == (not texts[r["doc_id"]]) for r in found)
+    ids = {r["doc_id"]: r["ids"] for r in docs.select("doc_id", pieces.encode(model, F.col("text")).alias("ids")).collect()}
+    assert all(ids[r["doc_id"]] == r["ids"] for r in found)
+    assert pieces.recode(model, docs.filter("doc_id < 0")).count() == 0
+
+
+LONG = "the quick brown fox jumps over the lazy dog while nobody looks at the sky "
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [
+        (5, LONG + "a b c"), (5, LONG + "a b c"), (7, LONG + "a b c"), (None, LONG + "a b c"),
+        (9, "wholly other words that stand in no other text at all"), (9, "wholly other words that stand in no other text at all"),
+        (None, "only rows without an id have these words in them"), (None, "only rows without an id have these words in them"),
+        (11, ""), (11, ""), (None, None), (None, None), (12, "###"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = Counter((r["doc_id"], (r["text"] or "")[:6]) for r in kept.collect())
+    assert found == {(5, "the qu"): 1, (9, "wholly"): 1, (None, "only r"): 1, (11, ""): 2, (None, ""): 2, (12, "###"): 1}
+
+
+def test_a_language_of_few_long_texts_is_learnt(spark):
+    english, german = "this is the house of the old man and the sea ", "das ist das haus und der alte mann am meer "
+    rows = [(i, english * 3000, "en") for i in (1, 2)] + [(i, german * 3, "de") for i in range(10, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for shift in (0, 1000, 5000):
+        model = language.fit(docs.withColumn("doc_id", F.col("doc_id") + shift), sample_chars=2_000)
+        assert model.languages == ["de", "en"]
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    names = ["__doc", "__text", "__dropped", "__hash", "__spans", "__ppm"]
+    rows = [(i, f"{LONG}\nmail me at a{i}@b.org", *["x"] * len(names)) for i in range(6)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    deduped = line_dedup.line_dedup(docs)
+    assert [r["n_dropped"] for r in deduped.orderBy("doc_id").collect()] == [1] * 5 + [0]
+    assert set(names) <= set(deduped.columns)
+    clean = personal_data.redact(docs)
+    assert clean.columns == docs.columns and clean.filter("text LIKE '%[EMAIL]%' AND __doc = 'x' AND __spans = 'x'").count() == 6
+    named = language.identify(docs, None)
+    model = language.fit(docs.withColumn("lang", F.lit("en")))
+    assert language.identify(docs, model).filter("__ppm = 'x' AND lang_pred = 'en'").count() == 6 and "__ppm" in named.columns
+
+
+def base_spans(text):
+    """The fixed rules in ``re``."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m.group() if c.isdigit()]
+        total = sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits)))
+        if 14 <= len(digits) <= 19 and total % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m.group()) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def middle(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(4)
+
+
+def test_personal_data_of_a_whole_table(middle):
+    found = {r["doc_id"]: r["spans"] for r in personal_data.personal_spans(middle).collect()}
+    added = 0
+    for doc, text in middle.collect():
+        spans = found.get(doc, [])
+        assert sorted((s["start"], s["kind"], s["end"]) for s in spans if s["rule"]) == base_spans(text or ""), doc
+        for s in spans:
+            if not s["rule"]:
+                value = text[s["start"] : s["end"]]
+                added += 1
+                assert personal_data.ALL_KINDS[s["kind"]] == "secret" and sum(c.isdigit() for c in value) >= 3, value
+        announced = {m.group(1) for m in re.finditer(r"(?:token = \"|password=)([0-9a-f]{16,})", text or "")}
+        assert announced <= {text[s["start"] : s["end"]] for s in spans}
+    assert added >= 10
+
+
+def test_trees_decide_on_what_is_added(middle):
+    spans = personal_data.candidates(middle).cache()
+    model = personal_data.fit(spans)
+    assert model.trees is not None and model.thresholds[personal_data.SECRET] >= 0.5
+
+    def added(m):
+        every = personal_data.chosen(spans, m).select("doc_id", F.explode("spans").alias("s")).filter("NOT s.rule")
+        return {(r["doc_id"], r["s"]["start"], r["s"]["kind"]) for r in every.collect()}
+
+    own = added(model)
+    assert own and not added(personal_data.SpanModel(None, {}))
+    everything = added(personal_data.SpanModel(None, {k: 0.0 for k in range(len(personal_data.ALL_KINDS))}))
+    assert own < everything  # proposals that pass their check and that the trees refuse
