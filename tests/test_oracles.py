@@ -19,7 +19,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 NAMES = sorted(entry.oracle_sql())
-SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
 
 
 @pytest.fixture(scope="module")
