@@ -58,7 +58,8 @@ def by_id(df, *columns):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(name, spark):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "benchmark", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     theirs = con.sql(ORACLES[name])
     mine = QUERIES[name](spark, SMALL).select(*theirs.columns)
     assert sorted(map(tuple, mine.collect())) == sorted(theirs.fetchall())
