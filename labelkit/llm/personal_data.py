@@ -216,15 +216,15 @@ class SpanModel:
     thresholds: dict[int, float]
 
 
-def fit(spans: DataFrame, sample_spans: int = 50_000, precision: float = 0.98, seed: int = 7) -> SpanModel:
+def fit(spans: DataFrame, precision: float = 0.98, seed: int = 7) -> SpanModel:
     """Trees from proposed spans with labels.
 
     Numbers and addresses of a rule that pass their check are right; proposals that fail it,
     and runs of digits within a word, are wrong.  Long runs assigned to a name of a secret
     are right, those with fewer than two runs of digits wrong.  All other proposals have no
-    label; they are what the trees judge.  About ``sample_spans`` spans of either label are
-    drawn by a hash; either label of a kind weighs the same.  Thresholds are calibrated on a
-    quarter of the documents that the trees do not see.  A kind gets none if no threshold
+    label; they are what the trees judge.  Every labelled span counts, spans with the same
+    features as one row of their number; either label of a kind weighs the same.  Thresholds
+    are calibrated on a quarter of the documents that the trees do not see.  A kind gets none if no threshold
     reaches ``precision`` there, and then only its rule counts; for an address spelt with
     brackets its check decides then.
     """
@@ -236,28 +236,28 @@ def fit(spans: DataFrame, sample_spans: int = 50_000, precision: float = 0.98, s
     label = F.when(F.col("kind") == SECRET, secret).otherwise(number)
     known = with_features(spans).withColumn("label", label).filter("label IS NOT NULL")
     known = known.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)))
-    counts = {(row["kind"], row["label"]): row["count"] for row in known.groupBy("kind", "label").count().collect()}
-    totals = {label: sum(n for (_, of), n in counts.items() if of == label) for label in (0.0, 1.0)}
+    # what the trees of a kind do not see would only keep its rows apart
+    unseen = [(f"f_{k}", own) for own, names, _ in _families() for k in CONTEXT + FORMAT if k not in names]
+    known = known.withColumns({c: F.when(~own, F.col(c)).otherwise(0.0) for c, own in unseen})
+    # written, so that every pass of the fit reads distinct features only
+    learnt = stage_table(known.groupBy(*[c for c, _ in unseen], "label", "kind", "fold").agg(F.count(F.lit(1)).alias("n")), "pii-learnt")
+    counts = {(row["kind"], row["label"]): row["n"] for row in learnt.groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()}
     untaught = SpanModel(None, {k: 0.0 for k in ADDRESSES})  # only what needs no near misses
-    if not min(totals.values()):
+    if len({label for _, label in counts}) < 2:
         return untaught
-    share = F.when(F.col("label") == 1, sample_spans / totals[1.0]).otherwise(sample_spans / totals[0.0])
-    draw = F.pmod(F.xxhash64("doc_id", "start", "kind", "rule"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    weights = F.create_map(*[F.lit(x) for (k, of), n in counts.items() for x in (2 * k + int(of), 1000.0 / n)])
-    weighted = known.filter(draw < share).withColumn("weight", F.element_at(weights, F.col("kind") * 2 + F.col("label").cast("int")))
-    # the sample is bounded; one written file keeps every pass of the fit small
-    columns = [f"f_{k}" for k in CONTEXT + FORMAT]
-    sample = stage_table(weighted.select(*columns, "label", "weight", "kind", "fold").coalesce(4), "pii-sample")
+    share = F.create_map(*[F.lit(x) for (k, of), n in counts.items() for x in (2 * k + int(of), 1000.0 / n)])
+    weight = F.col("n") * F.element_at(share, F.col("kind") * 2 + F.col("label").cast("int"))
+    weighted = learnt.withColumn("weight", weight)
     fitted, thresholds = [], dict(untaught.thresholds)
     for own, names, rounds in _families():
-        rows = _assembled(sample.filter(own), names)
+        rows = _assembled(weighted.filter(own), names)
         train = rows.filter("fold <> 0")
         if train.select("label").distinct().count() < 2:
             fitted.append(None)
             continue
         trees = GBTClassifier(maxIter=rounds, maxDepth=3, seed=seed, maxBins=32, weightCol="weight", cacheNodeIds=False, checkpointInterval=-1).fit(train)
         scored = trees.transform(rows.filter("fold = 0")).withColumn("p", F.round(vector_to_array("probability")[1], 3))
-        steps = scored.groupBy("kind", "p").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("all")).collect()
+        steps = scored.groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all")).collect()
         thresholds |= calibrated([(r["kind"], r["p"], r["right"], r["all"] - r["right"]) for r in steps], precision)
         fitted.append(trees)
     return SpanModel(fitted, thresholds) if any(fitted) else untaught

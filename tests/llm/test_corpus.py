@@ -423,3 +423,18 @@ def test_trees_decide_on_what_is_added(middle):
     assert own and not added(personal_data.SpanModel(None, {}))
     everything = added(personal_data.SpanModel(None, {k: 0.0 for k in range(len(personal_data.ALL_KINDS))}))
     assert own < everything  # proposals that pass their check and that the trees refuse
+
+
+def test_trees_learn_from_every_labelled_span(spark, monkeypatch):
+    n = 60_000
+    rows = spark.range(2 * n).select(
+        F.col("id").alias("doc_id"), F.col("id").alias("text_hash"), F.lit(1).alias("kind"), F.lit(9).alias("start"), F.lit(16).alias("end"), F.lit(True).alias("rule"),
+        F.lit("1.2.3.4").alias("value"), F.when(F.col("id") < n, "host is ").otherwise("version ").alias("before"), F.lit(" ").alias("after"), (F.col("id") < n).alias("valid"),
+    )
+    written, write = {}, personal_data.stage_table
+    monkeypatch.setattr(personal_data, "stage_table", lambda df, name: written.setdefault(name, write(df, name)))
+    personal_data.fit(rows)
+    (learnt,) = written.values()
+    own = F.col("n") if "n" in learnt.columns else F.lit(1)
+    assert {r["label"]: r["spans"] for r in learnt.groupBy("label").agg(F.sum(own).alias("spans")).collect()} == {1.0: n, 0.0: n}
+    assert learnt.count() <= 8  # two kinds of context in four folds
