@@ -1,7 +1,8 @@
 """Language identification by prediction by partial matching over bytes.
 
-For each language a tree of byte contexts up to ``order`` is counted from a bounded sample
-of labelled texts and then frozen.  A byte seen ``c`` times in a context that was seen
+For each language a tree of byte contexts up to ``order`` is counted over all labelled texts
+and then frozen.  The number of strings in the model is bounded: beyond it the rare ones of
+the whole corpus are left out, which are then coded in a shorter context.  A byte seen ``c`` times in a context that was seen
 ``n`` times with ``d`` different bytes costs ``-log2(c / (n + d))`` bits; any other byte
 costs the escape ``-log2(d / (n + d))`` and is coded in the next shorter context, in the
 end uniformly over 256 bytes.  The language with the shortest code of the whole text wins.
@@ -21,10 +22,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import ragged, unused
+from labelkit.llm.common import ragged, slices, unused
+from labelkit.session import stage_table
 
 PAD = 10  # the bytes before a text count as line ends
 CHUNK = 1_000_000
+#: Strings that a task counts before it sends them on.
+HELD = 1_000_000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _U = np.uint64
@@ -155,37 +159,82 @@ def training_sample(docs: DataFrame, sample_chars: int, text: str, lang: str) ->
     )
 
 
-def fit(docs: DataFrame, order: int = 4, sample_chars: int = 1_500_000, text: str = "text", lang: str = "lang") -> PpmModel | None:
-    """Context trees of every language in ``docs``; ``None`` without labelled text.
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all ``(keys, counts)``, sorted, with the sums of their counts."""
+    keys, row = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(row, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+
+
+def string_counts(texts: DataFrame, order: int) -> DataFrame:
+    """``(lang, gram, count)``: byte strings of length ``order + 1`` of all ``texts (lang, text)``.
 
-    ``sample_chars`` bounds the labelled text per language, and with it the model that the
-    driver holds and every task gets; the number of languages is taken to be small.
+    ``order`` line ends stand before the first text and behind every text.  A task counts in
+    tables of at most ``HELD`` strings before it sends them on.
     """
 
+    def rows(name: str, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([name]).take(pa.array(np.zeros(len(keys), dtype=np.int32))), pa.array(keys.view(np.int64)), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "count"])
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in slices(batches, "text"):
             names = batch.column("lang").to_pylist()
-            texts = [t.encode() for t in batch.column("text").to_pylist()]
+            encoded = [t.encode() for t in batch.column("text").to_pylist()]
             for name in dict.fromkeys(names):
-                data = b"".join(bytes([PAD]) * order + t for t, own in zip(texts, names) if own == name)
-                own = LOWER[np.frombuffer(data, dtype=np.uint8)]
+                ends = bytes([PAD]) * order
+                own = LOWER[np.frombuffer(ends + b"".join(t + ends for t, of in zip(encoded, names) if of == name), dtype=np.uint8)]
                 key = np.zeros(len(own) - order, dtype=np.uint64)
                 for j in range(order + 1):
                     key |= own[order - j : len(own) - j].astype(np.uint64) << _U(8 * j)
-                    keys, counts = np.unique(key, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(keys)), pa.array(np.full(len(keys), j + 1)), pa.array(keys.view(np.int64)), pa.array(counts)],
-                        ["lang", "length", "gram", "count"],
-                    )
-
-    sample = training_sample(docs, sample_chars, text, lang)
-    counts = sample.select("lang", "text").mapInArrow(count, "lang string, length long, gram long, count long")
-    found = counts.groupBy("lang", "length", "gram").agg(F.sum("count").alias("count")).toArrow()
+                held.setdefault(name, []).append(np.unique(key, return_counts=True))
+            if sum(len(k) for parts in held.values() for k, _ in parts) > HELD:
+                held = {name: [_merged(parts)] for name, parts in held.items()}
+                if sum(len(parts[0][0]) for parts in held.values()) > HELD // 2:
+                    yield from (rows(name, *parts[0]) for name, parts in held.items())
+                    held = {}
+        yield from (rows(name, *_merged(parts)) for name, parts in held.items())
+
+    counted = texts.select("lang", "text").mapInArrow(count, "lang string, gram long, count long")
+    return counted.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+
+
+def fit(
+    docs: DataFrame, order: int = 4, sample_chars: int | None = None, text: str = "text", lang: str = "lang", most_strings: int = 1_000_000
+) -> PpmModel | None:
+    """Context trees of every language in ``docs``; ``None`` without labelled text.
+
+    All labelled texts are counted; ``sample_chars`` asks for about as many code points per
+    language instead.  ``most_strings`` bounds the model, which the driver holds and every
+    task gets: if there are more strings, over all languages and lengths, the model holds
+    those that occur often enough for as many.  The number of languages is taken to be small.
+    """
+    if sample_chars is None:
+        labelled = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    else:
+        labelled = training_sample(docs, sample_chars, text, lang)
+    longest = stage_table(string_counts(labelled, order), "lang-strings")
+    # every byte ends one of the longest strings, so these give the counts of all shorter ones
+    ends = [F.struct(F.lit(j + 1).alias("length"), F.col("gram").bitwiseAND(F.lit((1 << (8 * (j + 1))) - 1)).alias("gram")) for j in range(order)]
+    shorter = longest.select("lang", "count", F.inline(F.array(*ends))).groupBy("lang", "length", "gram").agg(F.sum("count").alias("count"))
+    columns = ["lang", "length", "gram", "count"]
+    counts = stage_table(longest.withColumn("length", F.lit(order + 1)).select(*columns).unionByName(shorter.select(*columns)), "lang-contexts")
+    # by steps of the logarithm, of which there are few however large the corpus is
+    step = F.floor(F.log2("count") * 64)
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
+    # a string is at least as frequent as a longer one that ends in it, so the model never holds the longer one alone
+    least, left = float("inf"), most_strings
+    for row in steps:
+        if row["n"] > left:
+            break
+        least, left = row["step"], left - row["n"]
+    found = counts.filter((step >= F.lit(least)) | (F.col("length") == 1)).toArrow()
     if not found.num_rows:
         return None
     names = sorted(found.column("lang").unique().to_pylist())
-    numbers = np.array([names.index(x) for x in found.column("lang").combine_chunks().dictionary_encode().dictionary.to_pylist()])
-    lang_number = numbers[found.column("lang").combine_chunks().dictionary_encode().indices.to_numpy()]
+    coded = found.column("lang").combine_chunks().dictionary_encode()
+    numbers = np.array([names.index(x) for x in coded.dictionary.to_pylist()])
+    lang_number = numbers[coded.indices.to_numpy()]
     length, gram, count_ = (found.column(c).to_numpy() for c in ("length", "gram", "count"))
     return freeze(names, order, lang_number, length, gram.view(np.uint64), count_)
 

@@ -438,3 +438,27 @@ def test_trees_learn_from_every_labelled_span(spark, monkeypatch):
     own = F.col("n") if "n" in learnt.columns else F.lit(1)
     assert {r["label"]: r["spans"] for r in learnt.groupBy("label").agg(F.sum(own).alias("spans")).collect()} == {1.0: n, 0.0: n}
     assert learnt.count() <= 8  # two kinds of context in four folds
+
+
+def test_languages_are_learnt_from_whole_texts_of_all_documents(spark):
+    rows = [(i, f"word{i % 10} zq{i:04d}", "en" if i % 2 else "de") for i in range(400)]
+    docs = spark.createDataFrame([(9000, "x" * 2_000_000 + " qqqq", "en"), *rows], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ["de", "en"]
+    last = model.order
+    for text in ["zq0001", "zq0198", "zq0399", "x qqqq"]:
+        key = int.from_bytes(text[-last - 1 :].encode())
+        assert model.grams[last].find(np.array([key], dtype=np.uint64))[0] >= 0, text
+    # every byte and every end of a text counts once, however rows are cut into batches and partitions
+    again = language.fit(docs.repartition(7))
+    for a, b in zip([*model.cost, *model.escape], [*again.cost, *again.escape]):
+        assert np.array_equal(a, b)
+
+
+def test_a_language_model_of_bounded_size_keeps_the_frequent_strings(spark):
+    docs = spark.createDataFrame([(i, "the house the house" if i < 50 else f"q{i}z{i * 7919}", "en") for i in range(100)], "doc_id long, text string, lang string")
+    whole, few = language.fit(docs), language.fit(docs, most_strings=120)
+    held = lambda m: sum(len(c) for c in m.cost)
+    assert held(few) <= 120 < held(whole)
+    texts = [b"the house", b"unseen 99z"]
+    assert np.isfinite(few.bits(texts)).all() and abs(few.bits(texts)[0, 0] - whole.bits(texts)[0, 0]) < 8
