@@ -34,9 +34,14 @@ _BLANKS = bytes(32 if b in SEPARATORS else b for b in range(256))
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes each, or of a single longer value."""
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))
+    return runs(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64), most)
+
+
+def runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose ``sizes`` sum to at most ``most``, or of a single larger one."""
+    ends = np.cumsum(sizes)
     start = 0
-    while start < len(column):
+    while start < len(sizes):
         limit = (ends[start - 1] if start else 0) + most
         stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
         yield start, stop
@@ -97,6 +102,12 @@ class Words:
     def token(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.starts[i] + self.lengths[i]].tobytes()
 
+    def tokens(self, at: np.ndarray) -> pa.Array:
+        """The tokens at these places as strings."""
+        offsets = np.concatenate([[0], np.cumsum(self.lengths[at])]).astype(np.int64)
+        data = pa.py_buffer(self.data[ragged(self.starts[at], self.lengths[at])].tobytes())
+        return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), data]).cast(pa.string())
+
 
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -175,16 +186,21 @@ class TokenTable:
 
     def joined(self, entries: np.ndarray, counts: np.ndarray) -> pa.Array:
         """Texts of ``counts`` tokens each, the tokens of a text joined by blanks."""
-        lengths = self.offsets[entries + 1] - self.offsets[entries] + 1
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        out = np.full(int(ends[-1]), ord(" "), dtype=np.uint8)
-        out[ragged(ends[:-1], lengths - 1)] = self.blob[ragged(self.offsets[entries], lengths - 1)]
-        borders = ends[np.concatenate([[0], np.cumsum(counts)])]
-        drop = borders[1:][counts > 0] - 1  # the blank behind the last token of a text
-        sizes = np.diff(borders) - (counts > 0)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        data = pa.py_buffer(np.delete(out, drop).tobytes())
-        return pa.Array.from_buffers(pa.large_string(), len(counts), [None, pa.py_buffer(offsets), data]).cast(pa.string())
+        starts = self.offsets[entries]
+        return joined(self.blob, starts, self.offsets[entries + 1] - starts, counts)
+
+
+def joined(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Texts of ``counts`` tokens each, which stand in ``data``, the tokens of a text joined by blanks."""
+    ends = np.concatenate([[0], np.cumsum(lengths + 1)])
+    out = np.full(int(ends[-1]), ord(" "), dtype=np.uint8)
+    out[ragged(ends[:-1], lengths)] = data[ragged(starts, lengths)]
+    borders = ends[np.concatenate([[0], np.cumsum(counts)])]
+    drop = borders[1:][counts > 0] - 1  # the blank behind the last token of a text
+    sizes = np.diff(borders) - (counts > 0)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    data = pa.py_buffer(np.delete(out, drop).tobytes())
+    return pa.Array.from_buffers(pa.large_string(), len(counts), [None, pa.py_buffer(offsets), data]).cast(pa.string())
 
 
 def count_tokens(df: DataFrame, text: str, groups: Sequence[str] = ()) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.functions import encoding as E
-from labelkit.functions.lookup import TokenTable, Words, count_tokens, slices
+from labelkit.functions.lookup import TokenTable, Words, count_tokens, joined, runs, slices
 from labelkit.operators.ranks import TOP_N_LIMIT, ordered_rank
 from labelkit.session import stage_table
 
@@ -26,6 +26,8 @@ from labelkit.session import stage_table
 DICTIONARY_LIMIT = 500_000
 #: Most frequent tokens that are looked up in place when the vocabulary is larger.
 FREQUENT_TOKENS = 100_000
+#: Ids that are decoded at once.
+SLICE_IDS = 100_000
 
 
 def build_vocab(df: DataFrame, columns: Sequence[str], size: int | None = None) -> DataFrame:
@@ -87,7 +89,7 @@ class Dictionary:
         """``struct(ids, pos, token)``: the ids, and the places and tokens that are not in the table."""
 
         def encode(texts: pa.Array) -> pa.Array:
-            ids, counts, pos, rest, n_rest = [], [], [], [], []
+            ids, counts, pos, rest, n_rest = [], [], [], [pa.array([], pa.string())], []
             for w in self._words(texts, limit):
                 own = self._encode(w)
                 unknown = np.flatnonzero(own == E.UNK_ID)
@@ -95,11 +97,11 @@ class Dictionary:
                 owner = np.repeat(np.arange(len(w.counts)), w.counts)[unknown]
                 ids.append(own)
                 counts.append(w.counts)
-                pos.append(unknown - first[owner])
-                rest += [w.token(i) for i in unknown]
+                pos.append((unknown - first[owner]).astype(np.int32))
+                rest.append(w.tokens(unknown))  # in Arrow: an object per token would take ten times the text
                 n_rest.append(np.bincount(owner, minlength=len(w.counts)))
-            every = [np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (ids, counts, pos, n_rest)]
-            tokens = pa.array(rest, type=pa.binary()).cast(pa.string())
+            every = [np.concatenate([np.zeros(0, dtype=np.int32), *x]) for x in (ids, counts, pos, n_rest)]
+            tokens = pa.concat_arrays(rest)
             columns = [
                 _lists(pa.array(every[0].astype(np.int32)), every[1]),
                 _lists(pa.array(every[2].astype(np.int32)), every[3]),
@@ -123,37 +125,42 @@ def _lowered(text: Column) -> Column:
 
 
 def _decode(words: Dictionary, lists: pa.Array, pos: pa.Array | None, tokens: pa.Array | None) -> pa.Array:
-    """Texts of lists of ids; ``tokens`` stand at the places ``pos`` of their lists (ascending)."""
-    counts = np.asarray(pc.fill_null(lists.value_lengths(), 0), dtype=np.int64)
-    ids = np.asarray(pc.fill_null(lists.flatten(), -1), dtype=np.int64)
-    known = (ids >= 0) & (ids < len(words.by_id))
-    entry = np.full(len(ids), -1, dtype=np.int64)
-    entry[known] = words.by_id[ids[known]]
-    if tokens is None:
-        there = entry >= 0
-        owner = np.repeat(np.arange(len(counts)), counts)[there]
-        out = words.table.joined(entry[there], np.bincount(owner, minlength=len(counts)))
-    else:
-        first = np.cumsum(counts) - counts
-        given: dict[int, str] = {}
-        for row, (places, own) in enumerate(zip(pos.to_pylist(), tokens.to_pylist())):
-            given.update((int(first[row]) + p, t) for p, t in zip(places or (), own or ()))
-        table = words.table
-        texts = []
-        for row, n in enumerate(counts):
-            some = range(int(first[row]), int(first[row]) + int(n))
-            found = [given.get(i) or _token(table, entry[i]) for i in some]
-            texts.append(" ".join(t for t in found if t is not None))
-        out = pa.array(texts, type=pa.string())
+    """Texts of lists of ids; ``tokens`` stand at the places ``pos`` of their lists.
+
+    Lists are decoded ``SLICE_IDS`` ids at a time, or one longer list, without an object per token.
+    """
+    sizes = np.asarray(pc.fill_null(lists.value_lengths(), 0), dtype=np.int64)
+    parts = [pa.array([], pa.string())]
+    for start, stop in runs(sizes, SLICE_IDS):
+        some = [x if x is None else x.slice(start, stop - start) for x in (lists, pos, tokens)]
+        parts.append(_decode_slice(words, sizes[start:stop], *some))
+    out = pa.concat_arrays(parts)
     if lists.null_count:
         out = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), out)
     return out
 
 
-def _token(table: TokenTable, entry: int) -> str | None:
-    if entry < 0:
-        return None
-    return table.blob[table.offsets[entry] : table.offsets[entry + 1]].tobytes().decode()
+def _decode_slice(words: Dictionary, counts: np.ndarray, lists: pa.Array, pos: pa.Array | None, tokens: pa.Array | None) -> pa.Array:
+    table = words.table
+    ids = np.asarray(pc.fill_null(lists.flatten(), -1), dtype=np.int64)
+    known = (ids >= 0) & (ids < len(words.by_id))
+    entry = np.full(len(ids), -1, dtype=np.int64)
+    entry[known] = words.by_id[ids[known]]
+    there = entry >= 0
+    data, starts, lengths = table.blob, np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
+    starts[there] = table.offsets[entry[there]]
+    lengths[there] = table.offsets[entry[there] + 1] - starts[there]
+    if tokens is not None:
+        given = tokens.flatten().cast(pa.large_string())
+        owner = np.repeat(np.arange(len(counts)), np.asarray(pc.fill_null(pos.value_lengths(), 0), dtype=np.int64))
+        at = (np.cumsum(counts) - counts)[owner] + np.asarray(pos.flatten(), dtype=np.int64)
+        offsets = np.frombuffer(given.buffers()[1], dtype=np.int64)[given.offset : given.offset + len(given) + 1] if len(given) else np.zeros(1, dtype=np.int64)
+        held = np.frombuffer(given.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, dtype=np.uint8)
+        there[at] = True
+        starts[at], lengths[at] = len(data) + offsets[:-1] - offsets[0], np.diff(offsets)
+        data = np.concatenate([data, held])
+    owner = np.repeat(np.arange(len(counts)), counts)[there]
+    return joined(data, starts[there], lengths[there], np.bincount(owner, minlength=len(counts)))
 
 
 def _dictionary(vocab: DataFrame) -> Dictionary:

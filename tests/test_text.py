@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +124,42 @@ def test_more_than_one_slice_of_texts(spark):
     assert found == {1: 400_000, 2: 2, 3: 400_000}
     words = {r["example_id"]: r["text"] for r in T.decode_ids(T.encode_text(df, vocab), vocab).collect()}
     assert words == {1: long, 2: "t1 t2", 3: long}
+
+
+def _peak_mb(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_decoding_makes_no_object_per_token():
+    n, each = 2_000, 300
+    words = T.Dictionary(pa.array(["a", "bc"]), np.array([3, 4]))
+    lists = pa.array([[3, 99] * (each // 2), None, [1, 4, 7], []] + [[3, 99] * (each // 2)] * n, pa.list_(pa.int32()))
+    pos = pa.array([list(range(1, each, 2)), None, None, None] + [list(range(1, each, 2))] * n, pa.list_(pa.int32()))
+    tokens = pa.array([[f"r{i}" for i in range(each // 2)], None, None, None] + [[f"r{i}" for i in range(each // 2)]] * n, pa.list_(pa.string()))
+    text = " ".join(f"a r{i}" for i in range(each // 2))
+    out, peak = _peak_mb(lambda: T._decode(words, lists, pos, tokens))
+    assert out[:4].to_pylist() == [text, None, "bc", ""] and set(out[4:].to_pylist()) == {text}
+    assert peak < 40, peak
+    plain, peak = _peak_mb(lambda: T._decode(words, lists, None, None))
+    assert plain[:4].to_pylist() == [" ".join(["a"] * (each // 2)), None, "bc", ""] and peak < 40, peak
+    cut = T._decode(words, lists.slice(2, 1500), pos.slice(2, 1500), tokens.slice(2, 1500))
+    assert cut.equals(out.slice(2, 1500))
+
+
+def test_tokens_outside_of_the_dictionary_stay_in_arrow(monkeypatch):
+    words, found = T.Dictionary(pa.array(["a"]), np.array([3])), {}
+    monkeypatch.setattr(T.F, "arrow_udf", lambda fn, kind: found.setdefault("fn", fn) and (lambda text: text))
+    monkeypatch.setattr(T, "_lowered", lambda text: text)
+    words.ids_and_rest(None)
+    texts = pa.array(["a " + " ".join(f"r{i}" for i in range(400_000)), None, "", "x\u00e9 a y"])
+    out, peak = _peak_mb(lambda: found["fn"](texts))
+    assert out.field("pos")[3].as_py() == [0, 2] and out.field("token")[3].as_py() == ["x\u00e9", "y"] and out.field("token")[1].as_py() == []
+    assert len(out.field("token")[0]) == 400_000 and out.field("ids")[3].as_py() == [2, 3, 2]
+    few = [" ".join(f"r{i}" for i in range(1000))] * 5000
+    out, peak = _peak_mb(lambda: found["fn"](pa.array(few)))
+    assert peak < 150 and out.field("token")[4999].as_py() == few[0].split(), peak
