@@ -250,24 +250,28 @@ def components(links: DataFrame) -> DataFrame:
     state = stage_table(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links"
     )
+    digest = _digest(state)
     # every link a > b; done when each a has one link and no b is an a
     while True:
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _star(both, F.col("b") > F.col("a"), include_self=True)
-        large = stage_table(large, "large-star")
-        after = stage_table(_star(large, F.lit(True), include_self=False), "small-star")
-        if _digest(after) == _digest(state):
+        # the digest has the number of links, so no step counts its input again
+        large = stage_table(_star(both, F.col("b") > F.col("a"), include_self=True, total=2 * digest[0]), "large-star")
+        after = stage_table(_star(large, F.lit(True), include_self=False, total=digest[0]), "small-star")
+        before, digest = digest, _digest(after)
+        if digest == before:
             break
         state = after
     inner = state.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return inner.unionByName(state.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _star(links: DataFrame, moved: Column, include_self: bool) -> DataFrame:
-    """Each neighbour ``b`` of ``a`` that is ``moved`` becomes linked with the smallest neighbour (or ``a``)."""
+def _star(links: DataFrame, moved: Column, include_self: bool, total: int) -> DataFrame:
+    """Each neighbour ``b`` of ``a`` that is ``moved`` becomes linked with the smallest neighbour (or ``a``).
+
+    There are at most ``total`` links.
+    """
     least = links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
     least = stage_table(least.withColumn("m", F.least("a", "m")), "least")
-    total = links.count()
     joined = join_counted(links, least, ["a"], "degree", total)
     out = joined.filter(moved).select(F.col("b").alias("x"), "m")
     if not include_self:

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from labelkit.llm import chat, divergence, importance, language, line_dedup, neighbours, packing, personal_data, pieces
+from labelkit.llm import chat, common, divergence, importance, language, line_dedup, neighbours, packing, personal_data, pieces
 from labelkit.llm.common import encode_column
 
 MESSY = [
@@ -462,3 +462,12 @@ def test_a_language_model_of_bounded_size_keeps_the_frequent_strings(spark):
     assert held(few) <= 120 < held(whole)
     texts = [b"the house", b"unseen 99z"]
     assert np.isfinite(few.bits(texts)).all() and abs(few.bits(texts)[0, 0] - whole.bits(texts)[0, 0]) < 8
+
+
+def test_components_digest_each_state_once(spark, monkeypatch):
+    calls, digest, stage = [], common._digest, common.stage_table
+    monkeypatch.setattr(common, "_digest", lambda links: calls.append("digest") or digest(links))
+    monkeypatch.setattr(common, "stage_table", lambda df, name: calls.append(name) or stage(df, name))
+    links = spark.createDataFrame([(1, 2), (2, 3), (9, 8)], "a long, b long")
+    assert {r["node"]: r["component"] for r in common.components(links).collect()} == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+    assert calls.count("digest") == 1 + calls.count("small-star")
