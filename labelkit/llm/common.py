@@ -245,18 +245,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps until no link changes.  Each step is a
     map-side combined minimum by node and a join; its result is written to shared storage.
-    Nulls, loops and repeated links have no effect.
+    Before a state is written, each task makes stars of the links it holds: a chain within
+    a task takes no steps, so rounds, and with them the driver's plans, stages and threads,
+    are few.  Nulls, loops and repeated links have no effect.
     """
-    state = stage_table(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links"
-    )
+    distinct = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    state = stage_table(_local_stars(distinct), "links")
     digest = _digest(state)
     # every link a > b; done when each a has one link and no b is an a
     while True:
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # the digest has the number of links, so no step counts its input again
         large = stage_table(_star(both, F.col("b") > F.col("a"), include_self=True, total=2 * digest[0]), "large-star")
-        after = stage_table(_star(large, F.lit(True), include_self=False, total=digest[0]), "small-star")
+        after = stage_table(_local_stars(_star(large, F.lit(True), include_self=False, total=digest[0])), "small-star")
         before, digest = digest, _digest(after)
         if digest == before:
             break
@@ -265,6 +266,45 @@ def components(links: DataFrame) -> DataFrame:
     return inner.unionByName(state.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+#: Links that a task holds at once.
+TASK_LINKS = 1 << 20
+
+
+def _local_stars(links: DataFrame, most: int = TASK_LINKS) -> DataFrame:
+    """The same components, with the nodes of each task's links (``most`` at a time) linked to the smallest one they reach there."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append((np.asarray(batch.column("a")), np.asarray(batch.column("b"))))
+            n += batch.num_rows
+            if n >= most:
+                yield stars(held)
+                held, n = [], 0
+        if n:
+            yield stars(held)
+
+    def stars(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate(side) for side in zip(*held))
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        x, y = at[: len(a)], at[len(a) :]
+        root = np.arange(len(nodes))
+        while True:
+            rx, ry = root[x], root[y]
+            apart = rx != ry
+            if not apart.any():
+                break
+            x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+            # the larger root goes below the smallest one it meets
+            np.minimum.at(root, np.maximum(rx, ry), np.minimum(rx, ry))
+            while not np.array_equal(root, above := root[root]):
+                root = above
+        below = root != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[below]), pa.array(nodes[root[below]])], ["a", "b"])
+
+    return links.select("a", "b").mapInArrow(run, "a long, b long")
+
+
 def _star(links: DataFrame, moved: Column, include_self: bool, total: int) -> DataFrame:
     """Each neighbour ``b`` of ``a`` that is ``moved`` becomes linked with the smallest neighbour (or ``a``).
 

@@ -471,3 +471,29 @@ def test_components_digest_each_state_once(spark, monkeypatch):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8)], "a long, b long")
     assert {r["node"]: r["component"] for r in common.components(links).collect()} == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
     assert calls.count("digest") == 1 + calls.count("small-star")
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    calls, stage = [], common.stage_table
+    monkeypatch.setattr(common, "stage_table", lambda df, name: calls.append(name) or stage(df, name))
+    chain = [(i, i + 1) for i in range(3000) if i % 1000 != 999]
+    links = spark.createDataFrame([*chain, *chain, (5, 5), (None, 4)], "a long, b long").repartition(5)
+    found = {r["node"]: r["component"] for r in common.components(links).collect()}
+    assert found == {i: i // 1000 * 1000 for i in range(3000)}
+    assert calls.count("small-star") <= 2
+
+
+def test_local_stars_keep_components_whatever_a_task_holds(spark):
+    rng = np.random.default_rng(3)
+    pairs = {(int(max(p)), int(min(p))) for p in rng.integers(0, 400, (330, 2)) if p[0] != p[1]}
+    links = spark.createDataFrame(sorted(pairs), "a long, b long").repartition(3)
+    want = {r["node"]: r["component"] for r in common.components(links).collect()}
+    best = {n: n for p in pairs for n in p}
+    for _ in best:
+        for a, b in pairs:
+            best[a] = best[b] = min(best[a], best[b])
+    assert want == best
+    for most in (1, 7, 1 << 20):
+        again = common._local_stars(links, most)
+        assert all(r["a"] > r["b"] for r in again.collect())
+        assert {r["node"]: r["component"] for r in common.components(again).collect()} == best
