@@ -3,7 +3,8 @@
 Subword ids are dealt by frequency to clusters of equal size; the rarest share the last
 place of a cluster and have their frequency there.  One attention layer, trained in numpy,
 predicts the cluster of the next subword from a window of those before it, and then the
-place within that cluster.  Subwords are counted over all training texts.  The layer is
+place within that cluster.  Training texts are encoded once, their subwords written and
+counted over all of them.  The layer is
 begun on a sample; then each partition goes on from there over all windows of its training
 texts, and the weights that the partitions arrive at are averaged.  A text is cut into windows that
 overlap by half, so each subword is scored once, with at least half a window before it where
@@ -18,9 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +44,10 @@ SEGMENT, CHUNK = 2000, 2048
 LN10 = float(np.log(10))
 
 
-def _words(texts: pa.Array) -> list[str]:
-    return [w.decode() for t in texts.to_pylist() for w in (t or "").encode().lower().split()]
+def _words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, A-Z as a-z, and their number by text."""
+    words = [(t or "").encode().lower().split() for t in texts.to_pylist()]
+    return pa.array(chain.from_iterable(words), pa.binary()).dictionary_encode(), np.fromiter(map(len, words), np.int64, len(words))
 
 
 def _with_ends(values: np.ndarray, counts: np.ndarray, end) -> np.ndarray:
@@ -55,8 +60,9 @@ def _with_ends(values: np.ndarray, counts: np.ndarray, end) -> np.ndarray:
 
 def subwords(cache: WordCache, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Subword ids of all texts with an end each; their number by word, and by text."""
-    hashes, counts = word_hashes(texts)
-    ids, per_word = cache.ids(_words(texts))
+    coded, counts = _words(texts)
+    places = cache.places([w.decode() for w in coded.dictionary.to_pylist()])
+    ids, per_word = cache.ids_at(places[np.asarray(coded.indices, dtype=np.int64)])
     per_word = _with_ends(per_word, counts, 1)
     stops = np.cumsum(counts + 1)
     edges = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], stops])]
@@ -91,63 +97,99 @@ class Attention:
         blocks = -(-per_text // HALF)
         length = blocks * HALF + HALF
         begin = np.cumsum(length) - length
-        line = np.full(int(length.sum()), NONE, dtype=np.int64)
-        target = np.full(int(length.sum()), -1, dtype=np.int64)
+        line = np.full(int(length.sum()), NONE, dtype=np.int16)
+        target = np.full(int(length.sum()), -1, dtype=np.int16)
         spots = ragged(begin + HALF, per_text)
         target[spots] = slots
         # an input is the subword before its target
         later = np.ones(len(slots), dtype=bool)
         later[(np.cumsum(per_text) - per_text)[per_text > 0]] = False
         line[spots[later]] = slots[:-1][later[1:]] if len(slots) > 1 else slots[:0]
-        first = ragged(begin // HALF, blocks) * HALF
-        return line[first[:, None] + np.arange(WINDOW)], target[first[:, None] + np.arange(HALF, WINDOW)]
+        first = ragged(begin // HALF, blocks)
+        line, target = line.reshape(-1, HALF), target.reshape(-1, HALF)
+        return np.concatenate([line[first], line[first + 1]], axis=1), target[first + 1]
 
     def forward(self, inputs: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        x = w["embed"][inputs] + w["place"]
-        q, k, v = x[:, HALF:] @ w["q"], x @ w["k"], x @ w["v"]
-        scores = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + MASK
-        scores -= scores.max(axis=2, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=2, keepdims=True)
-        mixed = scores @ v
-        hidden = x[:, HALF:] + mixed @ w["o"]
-        return {"x": x, "q": q, "k": k, "v": v, "attend": scores, "mixed": mixed, "hidden": hidden}
+        """All products of a weight are one matrix product over the rows of all windows."""
+        n = len(inputs)
+        x = w["embed"].take(inputs.ravel(), axis=0).reshape(n, WINDOW, WIDTH)
+        x += w["place"]
+        late, flat = x[:, HALF:].reshape(-1, WIDTH), x.reshape(-1, WIDTH)
+        q = (late @ (w["q"] * SCALE)).reshape(n, HALF, WIDTH)
+        k, v = ((flat @ w[name]).reshape(n, WINDOW, WIDTH) for name in "kv")
+        attend = q @ k.transpose(0, 2, 1)
+        np.exp(_lower(attend, SEEN), out=attend)
+        attend *= SEEN
+        attend /= (attend.reshape(-1, WINDOW) @ np.ones(WINDOW, dtype=np.float32)).reshape(n, HALF, 1)
+        mixed = attend @ v
+        hidden = late + mixed.reshape(-1, WIDTH) @ w["o"]
+        return {"x": flat, "late": late, "q": q, "k": k, "v": v, "attend": attend, "mixed": mixed, "hidden": hidden}
 
     def log_probs(self, ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each id, all texts in batches of windows."""
         inputs, targets = self.windows(self.slot_of[ids], per_text)
         out = np.empty(len(ids), dtype=np.float64)
         done = 0
-        for lo in range(0, len(inputs), 2048):
-            goal = targets[lo : lo + 2048].ravel()
+        for lo in range(0, len(inputs), TOGETHER):
+            goal = targets[lo : lo + TOGETHER].ravel()
             used = np.flatnonzero(goal >= 0)
-            hidden = self.forward(inputs[lo : lo + 2048], self.weights)["hidden"].reshape(-1, WIDTH)[used]
-            out[done : done + len(used)] = self._slot_log_probs(hidden, goal[used])
+            hidden = self.forward(inputs[lo : lo + TOGETHER], self.weights)["hidden"]
+            out[done : done + len(used)] = self._slot_log_probs(hidden, used, goal[used])
             done += len(used)
         return out + self.within[ids]
 
-    def _slot_log_probs(self, hidden: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    def _slot_log_probs(self, hidden: np.ndarray, used: np.ndarray, slots: np.ndarray) -> np.ndarray:
         w = self.weights
-        cluster, place = slots // PLACES, slots % PLACES
-        out = _log_softmax_at(hidden @ w["out"] + w["bias"], cluster)
-        # the rows of a cluster together, so that each needs the places of its own cluster only
-        order = np.argsort(cluster, kind="stable")
-        edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
-        for c in range(CLUSTERS):
-            rows = order[edges[c] : edges[c + 1]]
-            if len(rows):
-                out[rows] += _log_softmax_at(hidden[rows] @ w["inner"][c] + w["inner_bias"][c], place[rows])
+        order, cluster, place, edges = _by_cluster(slots)
+        hidden = hidden.take(used[order], axis=0)
+        found = _log_softmax_at(hidden @ w["out"] + w["bias"], cluster) + _log_softmax_at(_places(hidden, w, cluster, edges), place)
+        out = np.empty(len(slots), dtype=np.float32)
+        out[order] = found
         return out
 
 
+def _by_cluster(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order with the rows of a cluster together, so that each needs the places of its own cluster only."""
+    order = np.argsort(slots // PLACES, kind="stable")
+    slots = slots[order].astype(np.int64)
+    cluster = slots // PLACES
+    return order, cluster, slots % PLACES, np.searchsorted(cluster, np.arange(CLUSTERS + 1))
+
+
+def _places(hidden: np.ndarray, w: dict[str, np.ndarray], cluster: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Logits of the places of each row's own cluster; the rows of a cluster lie together."""
+    logits = w["inner_bias"].take(cluster, axis=0)
+    for c in np.flatnonzero(np.diff(edges)):
+        rows = slice(edges[c], edges[c + 1])
+        logits[rows] += hidden[rows] @ w["inner"][c]
+    return logits
+
+
+def _lower(x: np.ndarray, seen: np.ndarray | bool = True) -> np.ndarray:
+    """Takes the greatest ``seen`` number off each row of ``x`` if an exponential could overflow or a sum be lost."""
+    if x.size and not (x.min() > -LARGE and x.max() < LARGE):
+        x -= np.where(seen, x, -np.inf).max(axis=-1, keepdims=True)
+        np.minimum(x, 0, out=x)  # where not seen
+    return x
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """``x`` becomes its exponential; returns the sums of rows."""
+    np.exp(x, out=x)
+    return x @ np.ones(x.shape[-1], dtype=x.dtype)
+
+
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(at)), at]
-    np.exp(logits, out=logits)
-    return picked - np.log(logits.sum(axis=1))
+    picked = _lower(logits)[np.arange(len(at)), at]
+    return picked - np.log(_exp(logits))
 
 
-MASK = np.where(np.arange(WINDOW)[None, :] > np.arange(HALF, WINDOW)[:, None], np.float32(-1e9), np.float32(0))
+SEEN = np.arange(WINDOW)[None, :] <= np.arange(HALF, WINDOW)[:, None]
+#: Exponentials of numbers up to this size, and sums of some of them, are ordinary 32-bit numbers.
+LARGE = 80
+SCALE = np.float32(1 / np.sqrt(WIDTH))
+#: Windows that are scored at once, which bounds memory.
+TOGETHER = 1024
 
 
 class Adam:
@@ -224,18 +266,45 @@ def _training_ids(cache: WordCache, texts: pa.Array, last: np.ndarray, end_id: i
     return ids[keep], per_text - ~last
 
 
+def _width(n_ids: int) -> np.dtype:
+    return np.dtype("<u2" if n_ids <= 1 << 16 else "<u4")
+
+
+def encoded(rows: DataFrame, tokenizer: str, n_ids: int, end_id: int) -> DataFrame:
+    """Segments with their subword ``ids``, as little-endian unsigned numbers, for all later passes; tables with ``ids`` stay as they are."""
+    if "ids" in rows.columns:
+        return rows
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, width = word_cache(tokenizer), _width(n_ids)
+        for batch in slices(batches, "text"):
+            ids, per_text = _training_ids(cache, batch.column("text"), batch.column("last").to_numpy(zero_copy_only=False), end_id)
+            offsets = np.concatenate([[0], np.cumsum(per_text)]) * width.itemsize
+            binary = pa.BinaryArray.from_buffers(pa.binary(), len(per_text), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.astype(width))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, binary], [*batch.schema.names, "ids"])
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return rows.mapInArrow(encode, f"{schema}, ids binary")
+
+
+def _ids_of(column: pa.Array, n_ids: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of ``encoded``, and their number by row."""
+    width = _width(n_ids)
+    sizes = np.asarray(pc.binary_length(column), dtype=np.int64) // width.itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=width), sizes
+
+
 def subword_counts(rows: DataFrame, tokenizer: str, n_ids: int, end_id: int) -> np.ndarray:
     """How often each subword id occurs in all segments: a row per id comes to the driver."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, total = word_cache(tokenizer), np.zeros(n_ids, dtype=np.int64)
-        for batch in slices(batches, "text"):
-            ids, _ = _training_ids(cache, batch.column("text"), batch.column("last").to_numpy(zero_copy_only=False), end_id)
-            total += np.bincount(ids, minlength=n_ids)
+        total = np.zeros(n_ids, dtype=np.int64)
+        for batch in slices(batches, "ids"):
+            total += np.bincount(_ids_of(batch.column("ids"), n_ids)[0], minlength=n_ids)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
-    found = rows.select("text", "last").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    found = encoded(rows, tokenizer, n_ids, end_id).select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(n_ids, dtype=np.int64)
     out[found.column("id").to_numpy()] = found.column("n").to_numpy()
     return out
@@ -247,13 +316,14 @@ def go_on(rows: DataFrame, model: Attention, tokenizer: str, end_id: int, batch:
     A partition counts by its targets, whose number over all partitions is returned.
     """
     shapes = {name: x.shape for name, x in model.weights.items()}
+    n_ids = len(model.slot_of)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, rng, seen = word_cache(tokenizer), np.random.default_rng(11), 0
+        rng, seen = np.random.default_rng(11), 0
         own = Attention({k: x.copy() for k, x in model.weights.items()}, model.slot_of, model.within)
         adam = Adam(own)
-        for part in slices(batches, "text", 1_500_000):
-            ids, per_text = _training_ids(cache, part.column("text"), part.column("last").to_numpy(zero_copy_only=False), end_id)
+        for part in slices(batches, "ids", 1_500_000):
+            ids, per_text = _ids_of(part.column("ids"), n_ids)
             inputs, targets = own.windows(own.slot_of[ids], per_text)
             order = rng.permutation(len(inputs))
             for lo in range(0, len(order), batch):
@@ -270,7 +340,7 @@ def go_on(rows: DataFrame, model: Attention, tokenizer: str, end_id: int, batch:
         return pa.table({"chunk": table.column("chunk")[:1], "n": [sum(table.column("n").to_pylist())], "sums": pa.array([sums.tobytes()], pa.binary())})
 
     schema = "chunk long, n long, sums binary"
-    found = sorted(rows.select("text", "last").mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema).collect())
+    found = sorted(encoded(rows, tokenizer, n_ids, end_id).select("ids").mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema).collect())
     if not found:
         return 0
     flat, at = np.concatenate([np.frombuffer(r["sums"]) for r in found]) / found[0]["n"], 0
@@ -281,47 +351,49 @@ def go_on(rows: DataFrame, model: Attention, tokenizer: str, end_id: int, batch:
     return found[0]["n"]
 
 
-def _softmax_error(logits: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(goal)), goal] -= 1
-    return (p / len(goal)).astype(np.float32)
+def _softmax_error(logits: np.ndarray, goal: np.ndarray, n: int) -> np.ndarray:
+    """What ``logits`` become: the softmax less 1 at ``goal``, over ``n`` targets."""
+    logits *= (1 / (_exp(_lower(logits)) * np.float32(n)))[:, None]
+    logits[np.arange(len(goal)), goal] -= np.float32(1 / n)
+    return logits
 
 
 def _gradients(model: Attention, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     w = model.weights
     f = model.forward(inputs, w)
-    flat = lambda a: a.reshape(-1, a.shape[-1])
+    n, flat = len(inputs), lambda a: a.reshape(-1, a.shape[-1])
     goal = targets.ravel()
     used = np.flatnonzero(goal >= 0)
-    cluster, place = goal[used] // PLACES, goal[used] % PLACES
-    hidden = flat(f["hidden"])[used]
-    error = _softmax_error(hidden @ w["out"] + w["bias"], cluster)
-    out = {"out": hidden.T @ error, "bias": error.sum(axis=0)}
+    order, cluster, place, edges = _by_cluster(goal[used])
+    used = used[order]
+    hidden = f["hidden"].take(used, axis=0)
+    error = _softmax_error(hidden @ w["out"] + w["bias"], cluster, len(used))
+    ones = np.ones(len(used), dtype=np.float32)
+    out = {"out": hidden.T @ error, "bias": ones @ error}
     d_used = error @ w["out"].T
     out["inner"], out["inner_bias"] = np.zeros_like(w["inner"]), np.zeros_like(w["inner_bias"])
-    for c in np.unique(cluster):
-        rows = np.flatnonzero(cluster == c)
-        # an error counts by its share of all targets, like those of the clusters
-        inner = _softmax_error(hidden[rows] @ w["inner"][c] + w["inner_bias"][c], place[rows]) * np.float32(len(rows) / len(used))
-        out["inner"][c], out["inner_bias"][c] = hidden[rows].T @ inner, inner.sum(axis=0)
-        d_used[rows] += inner @ w["inner"][c].T
+    # an error counts by its share of all targets, like those of the clusters
+    inner = _softmax_error(_places(hidden, w, cluster, edges), place, len(used))
+    for c in np.flatnonzero(np.diff(edges)):
+        rows = slice(edges[c], edges[c + 1])
+        out["inner"][c], out["inner_bias"][c] = hidden[rows].T @ inner[rows], ones[rows] @ inner[rows]
+        d_used[rows] += inner[rows] @ w["inner"][c].T
     d_hidden = np.zeros((len(goal), WIDTH), dtype=np.float32)
     d_hidden[used] = d_used
-    d_hidden = d_hidden.reshape(f["hidden"].shape)
-    out["o"] = flat(f["mixed"]).T @ flat(d_hidden)
-    d_mixed = d_hidden @ w["o"].T
-    d_attend = d_mixed @ f["v"].transpose(0, 2, 1)
-    d_v = f["attend"].transpose(0, 2, 1) @ d_mixed
-    d_scores = f["attend"] * (d_attend - (d_attend * f["attend"]).sum(axis=2, keepdims=True)) / np.float32(np.sqrt(WIDTH))
-    d_q, d_k = d_scores @ f["k"], d_scores.transpose(0, 2, 1) @ f["q"]
-    late = f["x"][:, HALF:]
-    out |= {"q": flat(late).T @ flat(d_q), "k": flat(f["x"]).T @ flat(d_k), "v": flat(f["x"]).T @ flat(d_v)}
-    d_x = d_k @ w["k"].T + d_v @ w["v"].T
-    d_x[:, HALF:] += d_hidden + d_q @ w["q"].T
+    out["o"] = flat(f["mixed"]).T @ d_hidden
+    d_mixed = (d_hidden @ w["o"].T).reshape(n, HALF, WIDTH)
+    d_scores = d_mixed @ f["v"].transpose(0, 2, 1)
+    # the mean of these under the attention is what the mixed vector has of d_mixed
+    d_scores -= np.einsum("ijk,ijk->ij", d_mixed, f["mixed"])[..., None]
+    d_scores *= f["attend"]
+    d_k, d_v = flat(d_scores.transpose(0, 2, 1) @ f["q"]), flat(f["attend"].transpose(0, 2, 1) @ d_mixed)
+    d_q = flat(d_scores @ f["k"])
+    out |= {"q": f["late"].T @ d_q * SCALE, "k": f["x"].T @ d_k, "v": f["x"].T @ d_v}
+    d_x = (d_k @ w["k"].T + d_v @ w["v"].T).reshape(n, WINDOW, WIDTH)
+    d_x[:, HALF:] += (d_hidden + d_q @ (w["q"] * SCALE).T).reshape(n, HALF, WIDTH)
     out["place"] = d_x.sum(axis=0)
-    out["embed"] = np.zeros_like(w["embed"])
-    np.add.at(out["embed"], inputs.ravel(), flat(d_x))
+    at, columns = inputs.ravel().astype(np.int64), flat(d_x).T.astype(np.float64, order="C")
+    out["embed"] = np.stack([np.bincount(at, weights=x, minlength=NONE + 1) for x in columns], axis=1).astype(np.float32)
     return out
 
 
@@ -368,23 +440,21 @@ def fit(docs: DataFrame, counts: DataFrame, tokenizer: str, n_ids: int, end_id:
     order = np.argsort(often.column("word").to_numpy().view(np.uint64))
     words, times = (often.column(c).to_numpy()[order] for c in ("word", "count"))
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 1
-    # written, so that a task has one Python worker at a time
-    rows = stage_table(segments(docs, text), "lm-segments")
     aside = min(1 / 8, sample_chars / 8 / chars)
+    # written, so that texts are encoded once; they themselves are needed of the segments left out
+    rows = encoded(segments(docs, text), tokenizer, n_ids, end_id)
+    rows = stage_table(rows.withColumn("text", F.when(F.col("draw") < aside, F.col("text"))), "lm-segments")
     learnt = rows.filter(F.col("draw") >= aside)
-    cache, times_of = word_cache(tokenizer), subword_counts(learnt, tokenizer, n_ids, end_id)
-
-    def local(some: DataFrame) -> tuple[pa.Array, np.ndarray]:
-        table = some.select("text", "last").toArrow()
-        return pa.chunked_array(table.column("text").chunks, pa.string()).combine_chunks(), np.array(table.column("last").to_pylist(), dtype=bool)
-
-    sample = local(learnt.filter(F.col("draw") < aside + sample_chars / chars))
-    ids, per_text = _training_ids(cache, *sample, end_id)
+    times_of = subword_counts(learnt, tokenizer, n_ids, end_id)
+    sample = learnt.filter(F.col("draw") < aside + sample_chars / chars).select("ids").toArrow().column("ids")
+    ids, per_text = _ids_of(sample, n_ids)
     attention = train(ids, per_text, n_ids, counts=times_of)
     go_on(learnt, attention, tokenizer, end_id)
     scorer = Scorer(attention, words.view(np.uint64), times, total, distinct)
-    texts, last = local(rows.filter(F.col("draw") < aside))
+    left_out = rows.filter(F.col("draw") < aside).select("text", "last").toArrow()
+    texts, last = pa.chunked_array(left_out.column("text").chunks, pa.string()).combine_chunks(), np.array(left_out.column("last").to_pylist(), dtype=bool)
     if len(texts):
+        cache = word_cache(tokenizer)
         hashes, n_words = word_hashes(texts)
         ids, per_word, per_text = subwords(cache, texts, end_id)
         scores = scorer.attention_scores(ids, per_word, per_text)

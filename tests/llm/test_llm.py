@@ -200,6 +200,30 @@ def test_lm_learns_from_all_training_texts(spark):
     assert scorer.attention.log_probs(ids, per_text).mean() > -8
 
 
+def test_lm_encodes_training_texts_once(spark):
+    texts = ["Alpha beta\u00a0gamma \u0144\u0085x\x1cy " * 30, "", "tail \x0b end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = language_model.encoded(language_model.segments(docs, "text"), WORDS, 49_408, 1)
+    plain = [i for t in texts for w in t.encode().lower().split() for i in packing.word_cache(WORDS).ids([w.decode()])[0]]
+    # no later pass needs the texts or the tokenizer
+    held = rows.drop("text")
+    n = language_model.subword_counts(held, "/no/tokenizer", 49_408, 1)
+    assert (n == np.bincount([*plain, 1, 1, 1], minlength=49_408)).all()
+    model = language_model.train(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 49_408, counts=n)
+    assert language_model.go_on(held, model, "/no/tokenizer", 1) == n.sum()
+
+
+def test_softmax_of_large_logits():
+    logits = np.array([[500.0, 0.0, -500.0, 499.0], [-900.0, -901.0, -2000.0, -900.0], [1.0, 2.0, 3.0, 4.0]])
+    want = logits - np.logaddexp.reduce(logits, axis=1)[:, None]
+    for at in range(4):
+        found = language_model._log_softmax_at(logits.astype(np.float32), np.full(3, at))
+        assert np.allclose(found, want[:, at], rtol=1e-4)
+    w = {k: v * 60 for k, v in language_model.train(np.arange(200), np.array([200]), 300, steps=1, batch=8).weights.items()}
+    f = language_model.Attention(w, np.arange(300), np.zeros(300)).forward(np.arange(64).reshape(2, 32).astype(np.int16), w)
+    assert np.allclose(f["attend"].sum(axis=2), 1, atol=1e-4) and not f["attend"][:, ~language_model.SEEN].any()
+
+
 # 4 fingerprints
 
 
